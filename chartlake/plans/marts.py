@@ -168,7 +168,7 @@ def weekly_feature_changes(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> Da
         "previous",
         (F.col("current") - F.col("previous")).alias("change"),
         "change_pct",
-    )
+    ).filter(F.col("chart_date").isNotNull())
 
 
 # --- Q4 ---------------------------------------------------------------------------
@@ -381,3 +381,60 @@ def period_comparison(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFra
         "period_sample",
         "baseline_sample",
     )
+
+
+# --- trailing weather and week-over-week history (JN-8, WN-2) --------------------
+
+def trailing_weather(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
+    """Mean weather of the 7 days ending on every chart date (JN-8), before
+    any category rule."""
+    charted = (
+        by_country(star.fact, cfg.country)
+        .select("date_id")
+        .distinct()
+        .join(calendar_side(star.dim_time.select("date_id", "date")), "date_id")
+        .select(F.col("date").alias("chart_date"))
+    )
+    days = star.dim_weather.join(calendar_side(star.dim_time.select("date_id", "date")), "date_id")
+    return trailing_window(
+        days, charted, 7,
+        {
+            "avg_temperature": "temperature_avg",
+            "avg_precipitation": "precipitation_mm",
+            "avg_sunshine": "sunshine_hours",
+            "avg_wind_speed": "wind_speed_kmh",
+        },
+    )
+
+
+def weekly_change_history(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
+    """Every chart date vs the chart exactly 7 days earlier (WN-2, all dates).
+
+    Per-date feature means (valence not NULL) are joined to themselves on
+    ``date - 7``: an equi-join on a per-date table, so a missing week gives
+    NULL previous values instead of comparing with an older chart.
+    """
+    per_date = (
+        by_country(star.fact, cfg.country)
+        .select("track_id", "date_id")
+        .join(calendar_side(star.dim_time.select("date_id", "date")), "date_id")
+        .join(star.dim_track.filter(F.col("valence").isNotNull()).select("track_id", *WEEKLY_FEATURES), "track_id")
+        .groupBy("date")
+        .agg(*[F.avg(f).alias(f) for f in WEEKLY_FEATURES])
+    )
+    prev = per_date.select(F.date_add("date", 7).alias("date"), *[F.col(f).alias("p_" + f) for f in WEEKLY_FEATURES])
+    joined = per_date.join(calendar_side(prev), "date", "left")
+    long = joined.select(
+        F.col("date").alias("chart_date"),
+        _inline([
+            F.struct(F.lit(f).alias("metric"), F.col(f).alias("current"), F.col("p_" + f).alias("previous"))
+            for f in WEEKLY_FEATURES
+        ]),
+    )
+    return long.select(
+        "chart_date", "metric", "current", "previous",
+        (F.col("current") - F.col("previous")).alias("change"),
+        F.when(F.col("previous").isNull(), F.lit(None).cast("double"))
+        .otherwise(sc.change_pct("current", "previous"))
+        .alias("change_pct"),
+    )

@@ -6,6 +6,7 @@ the test star schema lazily from the raw tables and run one operator on it.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,8 +14,16 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartlake import config as C
+from chartlake import schemas as SCH
 from chartlake import sql_oracle as O
+from chartlake.functions import calendar as CAL
+from chartlake.operators import incremental as INC
+from chartlake.operators import loaders as LD
+from chartlake.operators import quality as Q
+from chartlake.plans import chart_tables as CT
 from chartlake.plans import marts as M
+from chartlake.sources import fixture_docs as DOCS
+from chartlake.sources import staging as ST
 from chartlake.sources import testdata as TD
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +56,11 @@ def _star(spark: SparkSession, sf_dir: str):
 
 
 MART_DE = TD.MART
+# Parameters of the loader / incremental queries on the fixture.
+PARTIAL_CALENDAR_END = "2001-01-01"     # time dimension cut for the skip counter
+INCREMENTAL_CUTOFF_ID = 20010901        # facts before this date_id count as loaded
+LANDED_BEFORE = "1998-01-01"            # chart dates already staged
+REMAINING_RANGE = (_dt.date(1996, 1, 1), _dt.date(2000, 12, 31))
 MART_ALL = C.MartConfig(country=None, periods=TD.PERIODS, baseline=TD.BASELINE)
 
 
@@ -131,3 +145,389 @@ def _keys(spark, sf):
 @register("period_comparison", O.period_comparison("de"))
 def _periods(spark, sf):
     return M.period_comparison(_star(spark, sf), MART_DE)
+
+
+# --- windows over dates (JN-8, WN-2) ------------------------------------------------
+
+@register("trailing_weather", O.trailing_weather(None))
+def _trailing(spark, sf):
+    return M.trailing_weather(_star(spark, sf), MART_ALL)
+
+
+@register("weekly_change_history", O.weekly_change_history("de"))
+def _history(spark, sf):
+    return M.weekly_change_history(_star(spark, sf), MART_DE)
+
+
+# --- calendar (GEN-*, SC-1, SC-2) -------------------------------------------------------
+
+@register("dim_time_build", O.DIM_TIME_BUILD)
+def _dim_time(spark, sf):
+    return _star(spark, sf).dim_time
+
+
+@register("dim_time_extend", O.DIM_TIME_EXTEND)
+def _dim_time_extend(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    bounds = TD.ship_bounds(fx.lineitem)
+    last_ship = bounds.select("last_ship").scalar()
+    existing = fx.dim_time.filter(F.col("date") <= last_ship)
+    today = bounds.select(F.date_add("last_ship", TD.TAIL_DAYS)).scalar()
+    return LD.extend_dim_time(existing, today)
+
+
+@register("sunday_bounds", O.SUNDAY_BOUNDS)
+def _sundays(spark, sf):
+    t = _star(spark, sf).dim_time
+    months = t.groupBy(F.date_trunc("month", F.col("date").cast("timestamp")).cast("date").alias("month_start")).agg(
+        F.min("date").alias("first_day"), F.max("date").alias("last_day")
+    )
+    return months.select(
+        "month_start",
+        CAL.first_sunday_on_or_after("first_day").alias("first_sunday"),
+        CAL.last_sunday_on_or_before("last_day").alias("last_sunday"),
+    )
+
+
+@register("calendar_span", O.CALENDAR_SPAN)
+def _span(spark, sf):
+    b = TD.ship_bounds(TD.load_fixture(spark, sf).lineitem)
+    return b.select(
+        "first_ship", "last_ship",
+        CAL.span_days("first_ship", "last_ship").alias("expected_days"),
+        F.explode(CAL.span_years("first_ship", "last_ship")).alias("year"),
+    )
+
+
+@register("date_labels", O.DATE_LABELS)
+def _labels(spark, sf):
+    s = _star(spark, sf)
+    d = s.fact.select("date_id").distinct().join(s.dim_time, "date_id").select("date")
+    return d.select(
+        "date",
+        CAL.iso_label("date").alias("iso"),
+        CAL.day_month_label("date").alias("day_month"),
+        CAL.day_month_year_label("date").alias("day_month_year"),
+        CAL.api_noon_label("date").alias("api_date"),
+        CAL.is_sunday("date").alias("is_sunday"),
+    )
+
+
+# --- loaders (LD-1 ... LD-5) --------------------------------------------------------------
+
+@register("daily_weather", O.DAILY_WEATHER)
+def _daily(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    return LD.daily_weather(TD.weather_readings(fx.weather_raw))
+
+
+@register("dim_weather_load", O.DIM_WEATHER)
+def _dim_weather(spark, sf):
+    return _star(spark, sf).dim_weather
+
+
+@register("dim_track_load", O.DIM_TRACK_LOAD)
+def _dim_track_load(spark, sf):
+    return LD.load_tracks(TD.load_fixture(spark, sf).features_staged)
+
+
+@register("fact_load", O.FACT_LOAD)
+def _fact(spark, sf):
+    return _star(spark, sf).fact
+
+
+@register("fact_load_partial_calendar", O.FACT_LOAD_PARTIAL)
+def _fact_partial(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    cal_2000 = fx.dim_time.filter(F.col("date") < F.lit(PARTIAL_CALENDAR_END).cast("date"))
+    return LD.load_facts(fx.chart_raw, cal_2000, fx.dim_weather)
+
+
+@register("fact_load_skipped", O.FACT_LOAD_SKIPPED)
+def _fact_skipped(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    cal_2000 = fx.dim_time.filter(F.col("date") < F.lit(PARTIAL_CALENDAR_END).cast("date"))
+    rows = fx.chart_raw.select("chart_date")
+    return LD.skipped_dates(rows, cal_2000, "chart_date").agg(F.count(F.lit(1)).alias("skipped"))
+
+
+def _chart_entries(fx) -> DataFrame:
+    """Flattened chart entries of the fixture (names from the song ids)."""
+    p = F.col("position")
+    return fx.chart_raw.select(
+        "chart_date", "country", "position", "streams", "song_uuid",
+        F.concat(F.lit("Title "), F.col("song_uuid")).alias("song_name"),
+        F.when(p % 7 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("Artist "), F.col("song_uuid"))).alias(
+            "artist_name"
+        ),
+        F.concat(F.lit("cover/"), F.col("song_uuid"), F.lit(".jpg")).alias("image_url"),
+    )
+
+
+@register("placeholder_tracks", O.PLACEHOLDER_TRACKS)
+def _placeholders(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    known = fx.dim_track.filter(F.col("track_id").cast("long") % 7 != 0)
+    return LD.placeholder_tracks(_chart_entries(fx), known)
+
+
+@register("incremental_chart_load", O.INCREMENTAL_CHART_LOAD)
+def _incr_load(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    existing = fx.fact.filter(F.col("date_id") < INCREMENTAL_CUTOFF_ID)
+    return LD.new_chart_facts(_chart_entries(fx), fx.dim_time, fx.dim_weather, existing)
+
+
+@register("track_feature_merge", O.TRACK_FEATURE_MERGE)
+def _merge(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    return LD.merge_track_features(fx.dim_track, fx.features_staged)
+
+
+@register("updated_track_count", O.UPDATED_TRACK_COUNT)
+def _merge_count(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    return LD.updated_track_count(fx.dim_track, fx.features_staged)
+
+
+# --- incremental marks and backlogs (LD-7 ... LD-15) ---------------------------------------
+
+@register("missing_chart_sundays", O.MISSING_CHART_SUNDAYS)
+def _miss_sundays(spark, sf):
+    return INC.missing_chart_sundays(_star(spark, sf))
+
+
+@register("missing_weather_dates", O.MISSING_WEATHER_DATES)
+def _miss_weather(spark, sf):
+    return INC.missing_weather_dates(_star(spark, sf))
+
+
+@register("missing_features", O.MISSING_FEATURES)
+def _miss_features(spark, sf):
+    return INC.missing_features(_star(spark, sf).dim_track)
+
+
+@register("weather_gap_ranges", O.WEATHER_GAP_RANGES)
+def _gaps(spark, sf):
+    return INC.weather_gap_ranges(_star(spark, sf))
+
+
+@register("feature_backlog", O.FEATURE_BACKLOG)
+def _backlog(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    return INC.feature_backlog(fx.chart_raw, fx.features_staged)
+
+
+@register("backlog_batches", O.BACKLOG_BATCHES)
+def _batches(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    return INC.backlog_batches(INC.feature_backlog(fx.chart_raw, fx.features_staged)).select(
+        "song_uuid", "position_in_backlog", "batch"
+    )
+
+
+@register("remaining_dates", O.REMAINING_DATES)
+def _remaining(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    available = fx.chart_raw.select(CAL.api_noon_label("chart_date").alias("api_date"))
+    landed = fx.chart_raw.filter(F.col("chart_date") < F.lit(LANDED_BEFORE).cast("date")).select("chart_date")
+    return INC.remaining_dates(available, INC.landed_dates(landed), *REMAINING_RANGE)
+
+
+@register("landed_dates", O.LANDED_DATES)
+def _landed(spark, sf):
+    return INC.landed_dates(TD.load_fixture(spark, sf).chart_raw)
+
+
+@register("incremental_plan", O.INCREMENTAL_PLAN)
+def _plan(spark, sf):
+    return INC.incremental_plan(_star(spark, sf))
+
+
+# --- sources and sinks (SRC-*, SNK-*) ----------------------------------------------------------
+
+@register("chart_top_n", O.CHART_TOP_N)
+def _top_n(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    path = DOCS.land_text(DOCS.chart_pages_json(fx.chart_raw), ST.shared_path(spark, "pages"))
+    items = ST.chart_items(ST.read_chart_pages(spark, path), top_n=50)
+    return items.select(
+        CAL.parse_api_date("chart_date").alias("chart_date"), "country",
+        F.col("item.position").alias("position"), F.col("item.song.uuid").alias("song_uuid"),
+        F.col("item.metric").alias("streams"),
+    )
+
+
+@register("flatten_chart_items", O.FLATTEN_CHART_ITEMS)
+def _flatten_items(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    path = DOCS.land_text(DOCS.chart_pages_json(fx.chart_raw), ST.shared_path(spark, "pages"))
+    flat = ST.flatten_chart_items(ST.chart_items(ST.read_chart_pages(spark, path)), F.lit(None).cast("string"))
+    return flat.drop("fetched_at", "raw_json")
+
+
+@register("flatten_song_features", O.FLATTEN_SONG_FEATURES)
+def _flatten_songs(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    path = DOCS.land_text(DOCS.song_docs_json(fx.part), ST.shared_path(spark, "songs"))
+    docs = spark.read.text(path).select(
+        F.get_json_object("value", "$.song_uuid").alias("song_uuid"), F.col("value").alias("json")
+    )
+    return ST.flatten_song_features(docs)
+
+
+@register("explode_weather_arrays", O.EXPLODE_WEATHER_ARRAYS)
+def _weather_docs(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    path = DOCS.land_text(DOCS.weather_docs_json(fx.weather_raw), ST.shared_path(spark, "weather"))
+    return ST.explode_weather_arrays(spark.read.schema(SCH.WEATHER_DOC_DDL).json(path))
+
+
+@register("dim_location", O.DIM_LOCATION)
+def _locations(spark, sf):
+    return ST.location_dimension(TD.read_table(spark, sf, "nation"))
+
+
+def _staged_chart_rows(fx) -> DataFrame:
+    e = _chart_entries(fx)
+    return e.select(
+        CAL.api_noon_label("chart_date").alias("chart_date"),
+        F.lit(None).cast("string").alias("fetched_at"),
+        "position",
+        F.lit(None).cast("int").alias("old_position"),
+        F.lit(None).cast("int").alias("position_change"),
+        "streams",
+        F.lit("STABLE").alias("entry_state"),
+        F.lit(None).cast("string").alias("entry_date"),
+        F.lit(None).cast("string").alias("rank_date"),
+        F.lit(None).cast("int").alias("weeks_on_chart"),
+        F.lit("week").alias("time_unit"),
+        "song_uuid", "song_name", "artist_name", "image_url",
+        F.to_json(F.struct("position", "song_uuid", "country")).alias("raw_json"),
+    )
+
+
+@register("src_chart_csv", O.SRC_CHART_CSV)
+def _chart_csv(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    path = ST.shared_path(spark, "charts_csv")
+    ST.write_csv(_staged_chart_rows(fx), path)
+    return ST.read_chart_csv(spark, path).drop("fetched_at", "raw_json")
+
+
+@register("src_feature_csv", O.SRC_FEATURE_CSV)
+def _feature_csv(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    path = ST.shared_path(spark, "features_csv")
+    ST.write_csv(fx.features_staged, path)
+    return ST.read_feature_csv(spark, path)
+
+
+@register("sink_append_roundtrip", O.FACT_LOAD)
+def _append(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    path = ST.shared_path(spark, "fact_append")
+    early = F.col("date_id") < INCREMENTAL_CUTOFF_ID
+    ST.append_parquet(fx.fact.filter(early), path)
+    ST.append_parquet(fx.fact.filter(~early), path)
+    return spark.read.schema(SCH.FACT_TRACK_CHART).parquet(path)
+
+
+@register("staging_union_sorted", O.STAGING_UNION_SORTED)
+def _union_sorted(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    rows = fx.chart_raw.select("chart_date", "country", "position", "song_uuid", "streams")
+    old = F.col("chart_date") < F.lit(LANDED_BEFORE).cast("date")
+    return ST.union_sorted_charts(rows.filter(old), rows.filter(~old))
+
+
+@register("staging_union_dedup", O.STAGING_UNION_DEDUP)
+def _union_dedup(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    part = fx.part.filter(F.col("p_partkey") % 2 == 0)
+    new = part.select(
+        F.col("p_partkey").cast("string").alias("song_uuid"),
+        F.concat(F.lit("New "), F.col("p_name")).alias("song_name"),
+        F.col("p_brand").alias("artist_name"),
+        (F.col("p_size") * 2.0).alias("duration"),
+    )
+    return ST.union_first_wins(fx.features_staged, new).select(
+        "song_uuid", "song_name", "artist_name", "duration", "danceability", "genres"
+    )
+
+
+# --- quality and summaries -------------------------------------------------------------------
+
+def _expected_days(fx):
+    b = TD.ship_bounds(fx.lineitem)
+    return b.select(CAL.span_days("first_ship", F.date_add("last_ship", TD.TAIL_DAYS))).scalar()
+
+
+@register("dq_report", O.DQ_REPORT)
+def _dq(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    return Q.dq_report(fx.star, _expected_days(fx))
+
+
+@register("dq_passed", O.DQ_PASSED)
+def _dq_passed(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    return Q.dq_passed(Q.dq_report(fx.star, _expected_days(fx)))
+
+
+@register("load_summary", O.LOAD_SUMMARY)
+def _load_summary(spark, sf):
+    return Q.load_summary(_star(spark, sf))
+
+
+@register("staging_summary", O.STAGING_SUMMARY)
+def _staging_summary(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    return Q.staging_summary(fx.chart_raw, fx.features_staged)
+
+
+# --- chart-ready tables ---------------------------------------------------------------------
+
+@register("chart_top_cards", O.CHART_TOP_CARDS)
+def _cards(spark, sf):
+    return CT.top_cards(_star(spark, sf), MART_DE)
+
+
+@register("weekly_trend_labels", O.WEEKLY_TREND_LABELS)
+def _trend(spark, sf):
+    return CT.weekly_trend_labels(_star(spark, sf), MART_DE)
+
+
+@register("chart_season_series", O.CHART_SEASON_SERIES)
+def _season_series(spark, sf):
+    return CT.season_series(_star(spark, sf), MART_DE)
+
+
+@register("chart_season_totals", O.CHART_SEASON_TOTALS)
+def _season_totals(spark, sf):
+    return CT.season_totals(_star(spark, sf), MART_DE)
+
+
+@register("chart_axis_ranges", O.CHART_AXIS_RANGES)
+def _axis(spark, sf):
+    return CT.axis_ranges(_star(spark, sf), MART_DE)
+
+
+@register("chart_weather_series", O.CHART_WEATHER_SERIES)
+def _weather_series(spark, sf):
+    return CT.weather_series(_star(spark, sf), MART_DE)
+
+
+@register("chart_top_keys", O.CHART_TOP_KEYS)
+def _top_keys(spark, sf):
+    return CT.top_keys(_star(spark, sf), MART_ALL)
+
+
+@register("chart_sunshine_series", O.CHART_SUNSHINE_SERIES)
+def _sun_series(spark, sf):
+    return CT.sunshine_series(_star(spark, sf), MART_DE)
+
+
+@register("chart_period_bars", O.CHART_PERIOD_BARS)
+def _period_bars(spark, sf):
+    return CT.period_bars(_star(spark, sf), MART_DE)

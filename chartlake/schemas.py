@@ -127,7 +127,7 @@ CHART_ITEM_DDL = (
     "entryState:string, entryDate:string, rankDate:string, timeOnChart:int, "
     f"timeOnChartUnit:string, song:{SONG_REF}>"
 )
-CHART_PAGE_DDL = f"chart_date string, items array<{CHART_ITEM_DDL}>"
+CHART_PAGE_DDL = f"chart_date string, country string, items array<{CHART_ITEM_DDL}>"
 
 AUDIO_DDL = (
     "struct<acousticness:double, danceability:double, energy:double, instrumentalness:double, "
