@@ -22,6 +22,7 @@ from chartlake.operators import loaders as LD
 from chartlake.operators import quality as Q
 from chartlake.plans import chart_tables as CT
 from chartlake.plans import marts as M
+from chartlake.plans import warehouse as WH
 from chartlake.sources import fixture_docs as DOCS
 from chartlake.sources import staging as ST
 from chartlake.sources import testdata as TD
@@ -531,3 +532,74 @@ def _sun_series(spark, sf):
 @register("chart_period_bars", O.CHART_PERIOD_BARS)
 def _period_bars(spark, sf):
     return CT.period_bars(_star(spark, sf), MART_DE)
+
+
+# --- full / incremental warehouse loads and the stream (LD-13, LD-14, 2.13) -------------------
+
+@register("warehouse_row_counts", O.WAREHOUSE_ROW_COUNTS)
+def _warehouse_counts(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    root = ST.shared_path(spark, "warehouse")
+    WH.write_star(fx.star, root)
+    return WH.row_counts(WH.read_star(spark, root))
+
+
+@register("warehouse_build_dq", O.DQ_REPORT)
+def _warehouse_build(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    src = WH.Sources(
+        chart_entries=fx.chart_raw,
+        features=fx.features_staged,
+        weather_readings=TD.weather_readings(fx.weather_raw),
+        dim_time=fx.dim_time,
+    )
+    root = ST.shared_path(spark, "warehouse")
+    # full load of the fixture; tracks come from the fixture dimension
+    star = WH.build_star(spark, src)
+    WH.write_star(TD.Star(dim_time=star.dim_time, dim_track=fx.dim_track, dim_weather=star.dim_weather,
+                          fact=star.fact), root)
+    return Q.dq_report(WH.read_star(spark, root), _expected_days(fx))
+
+
+@register("warehouse_refresh_twice", O.WAREHOUSE_REFRESH)
+def _warehouse_refresh(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    root = ST.shared_path(spark, "warehouse")
+    last_ship = TD.ship_bounds(fx.lineitem).select("last_ship").scalar()
+    known = fx.dim_track.filter(F.col("track_id").cast("long") % 7 != 0)
+    WH.write_star(
+        TD.Star(
+            dim_time=fx.dim_time.filter(F.col("date") <= last_ship),
+            dim_track=known,
+            dim_weather=fx.dim_weather.filter(F.col("date_id") < INCREMENTAL_CUTOFF_ID),
+            fact=fx.fact.filter(F.col("date_id") < INCREMENTAL_CUTOFF_ID),
+        ),
+        root,
+    )
+    today = TD.ship_bounds(fx.lineitem).select(F.date_add("last_ship", TD.TAIL_DAYS)).scalar()
+    landing = WH.Landing(
+        chart_entries=_chart_entries(fx),
+        weather_readings=TD.weather_readings(fx.weather_raw),
+        features=fx.features_staged,
+    )
+    WH.refresh_warehouse(spark, root, landing, today)
+    WH.refresh_warehouse(spark, root, landing, today)
+    return WH.row_counts(WH.read_star(spark, root))
+
+
+@register("incremental_stream", O.INCREMENTAL_STREAM)
+def _stream(spark, sf):
+    from chartlake.streaming import chart_stream as CS
+
+    fx = TD.load_fixture(spark, sf)
+    root = ST.shared_path(spark, "warehouse")
+    early = F.col("date_id") < INCREMENTAL_CUTOFF_ID
+    WH.write_star(TD.Star(dim_time=fx.dim_time, dim_track=fx.dim_track, dim_weather=fx.dim_weather,
+                          fact=fx.fact.filter(early)), root)
+    cutoff = F.to_date(F.lit(str(INCREMENTAL_CUTOFF_ID)), "yyyyMMdd")
+    new_pages = DOCS.chart_pages_json(fx.chart_raw.filter(F.col("chart_date") >= cutoff)).repartition(3)
+    landing = DOCS.land_text(new_pages, ST.shared_path(spark, "landing"))
+    q = CS.start_chart_stream(spark, landing, root, ST.shared_path(spark, "stream_ckpt"),
+                              available_now=True, max_files_per_trigger=1)
+    q.awaitTermination()
+    return WH.read_star(spark, root).fact

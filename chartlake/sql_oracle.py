@@ -911,3 +911,27 @@ SELECT feature, round(pa, 6) AS period_avg, round(ba, 6) AS baseline_avg, round(
        CAST(row_number() OVER (ORDER BY abs((ba - pa) / pa * 100) DESC NULLS LAST, feature) AS INTEGER) AS bar_order
 FROM r
 """)
+
+
+# --- warehouse loads and the stream ---------------------------------------------------------
+
+WAREHOUSE_ROW_COUNTS = with_fixture("""
+SELECT 'dim_time' AS "table", count(*) AS rows FROM dim_time
+UNION ALL SELECT 'dim_track', count(*) FROM dim_track
+UNION ALL SELECT 'dim_weather', count(*) FROM dim_weather
+UNION ALL SELECT 'fact_track_chart', count(*) FROM fact_track_chart
+""")
+
+WAREHOUSE_REFRESH = with_fixture("""
+, placeholders AS (
+  SELECT DISTINCT song_uuid FROM chart_raw WHERE CAST(song_uuid AS BIGINT) % 7 = 0)
+SELECT 'dim_time' AS "table", count(*) AS rows FROM dim_time
+UNION ALL SELECT 'dim_track', (SELECT count(*) FROM dim_track WHERE CAST(track_id AS BIGINT) % 7 <> 0)
+                             + (SELECT count(*) FROM placeholders)
+UNION ALL SELECT 'dim_weather', count(*) FROM dim_weather
+UNION ALL SELECT 'fact_track_chart', count(*) FROM fact_track_chart
+""")
+
+INCREMENTAL_STREAM = with_fixture("""
+SELECT * FROM fact_track_chart WHERE date_id < 20010901 OR chart_position % 50 <> 0
+""")
