@@ -33,10 +33,14 @@ ORACLES: dict[str, str] = {}
 
 
 def edge(df: DataFrame, digits: int = 6) -> DataFrame:
-    """Round double columns for the cross-engine comparison."""
+    """Round double columns for the cross-engine comparison: to 10 places
+    first (absorbs last-bit differences of summation order), then half-up to
+    ``digits`` -- the oracle SQL applies the same two steps."""
     return df.select(
         *[
-            F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+            F.round(F.round(F.col(f.name), 10), digits).alias(f.name)
+            if isinstance(f.dataType, T.DoubleType)
+            else F.col(f.name)
             for f in df.schema.fields
         ]
     )

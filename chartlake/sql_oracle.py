@@ -123,8 +123,33 @@ features_staged AS (
 """
 
 
+def stable_round(sql: str, digits: int = 6) -> str:
+    """Rewrite every ``round(x, 6)`` as a two-step decimal rounding: first to
+    10 places (absorbs last-bit differences of float summation order), then
+    half away from zero to 6 places -- the same rule as the Spark side."""
+    out, i, token = [], 0, "round("
+    while True:
+        j = sql.find(token, i)
+        if j < 0:
+            out.append(sql[i:])
+            return "".join(out)
+        depth, k = 1, j + len(token)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(sql[k], 0)
+            k += 1
+        inner = sql[j + len(token):k - 1]
+        arg, _, nd = inner.rpartition(",")
+        out.append(sql[i:j])
+        if nd.strip() == str(digits):
+            arg = stable_round(arg, digits)
+            out.append(f"CAST(round(CAST({arg} AS DECIMAL(38, 10)), {digits}) AS DOUBLE)")
+        else:
+            out.append(token + stable_round(inner, digits) + ")")
+        i = k
+
+
 def with_fixture(select: str) -> str:
-    return FIXTURE + select
+    return FIXTURE + stable_round(select)
 
 
 # Event periods and baseline year of the fixture (same as testdata.PERIODS).
