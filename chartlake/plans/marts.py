@@ -55,8 +55,8 @@ def kpis(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
     charted_dates = star.fact.select("date_id").distinct().join(
         calendar_side(star.dim_time.select("date_id", "date")), "date_id"
     )
-    first_date = charted_dates.agg(F.min("date")).scalar()
-    last_date = charted_dates.agg(F.max("date")).scalar()
+    span = charted_dates.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
+    first_date, last_date = span.getField("lo"), span.getField("hi")
     agg = joined.agg(
         F.coalesce(F.sum("streams"), F.lit(0)).cast("long").alias("total_streams"),
         F.count(F.lit(1)).alias("unique_tracks"),
@@ -109,54 +109,51 @@ def weekly_feature_changes(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> Da
     Features: mean over the entries (valence not NULL) of each chart; change
     and percent change.  Weather: mean over [L-6, L] vs [L-13, L-7], change
     only.  All weather rows count, whatever the country.
+
+    The chart entries of both weeks and the weather days of both periods are
+    unioned and reduced by ONE conditional aggregate (no join of one-row
+    frames, no second pass), then unpivoted.
     """
-    latest_id = latest_chart_date_id(star, cfg.country)
     t = star.dim_time.select("date_id", "date")
-    latest = t.filter(F.col("date_id") == latest_id).agg(F.max("date")).scalar()
+    latest = (
+        by_country(star.fact, cfg.country).select("date_id").distinct()
+        .join(calendar_side(t), "date_id").agg(F.max("date")).scalar()
+    )
     prev = F.date_sub(latest, 7)
 
-    two_weeks = calendar_side(t.filter(F.col("date").isin(latest, prev)))
     entries = (
         by_country(star.fact, cfg.country)
         .select("track_id", "date_id")
-        .join(two_weeks, "date_id")
+        .join(calendar_side(t.filter(F.col("date").isin(latest, prev))), "date_id")
         .join(star.dim_track.filter(F.col("valence").isNotNull()).select("track_id", *WEEKLY_FEATURES), "track_id")
+        .select("date", "track_id", *WEEKLY_FEATURES)
     )
-    cur = F.col("date") == latest
-    was = F.col("date") == prev
-    audio = entries.agg(
+    weather_days = star.dim_weather.join(
+        calendar_side(t.filter(F.col("date").between(F.date_sub(latest, 13), latest))), "date_id"
+    ).select("date", *[F.col(c).alias("w_" + m) for m, c in WEEKLY_WEATHER])
+    both = entries.unionByName(weather_days, allowMissingColumns=True)
+
+    cur, was = F.col("date") == latest, F.col("date") == prev
+    wcur, wprev = F.col("date") >= F.date_sub(latest, 6), F.col("date") <= prev
+    wide = both.agg(
         F.count_distinct("track_id").alias("unique_songs"),
         *[F.avg(F.when(cur, F.col(f))).alias("c_" + f) for f in WEEKLY_FEATURES],
         *[F.avg(F.when(was, F.col(f))).alias("p_" + f) for f in WEEKLY_FEATURES],
-    )
-    weather_days = star.dim_weather.join(
-        calendar_side(t.filter(F.col("date").between(F.date_sub(latest, 13), latest))), "date_id"
-    )
-    wcur = F.col("date") >= F.date_sub(latest, 6)
-    wprev = F.col("date") <= prev
-    weather = weather_days.agg(
-        *[F.avg(F.when(wcur, F.col(c))).alias("c_" + m) for m, c in WEEKLY_WEATHER],
-        *[F.avg(F.when(wprev, F.col(c))).alias("p_" + m) for m, c in WEEKLY_WEATHER],
-    )
-    feat_rows = audio.select(
-        "unique_songs",
-        _inline([
-            F.struct(F.lit("feature").alias("metric_kind"), F.lit(f).alias("metric"),
-                     F.col("c_" + f).alias("current"), F.col("p_" + f).alias("previous"))
-            for f in WEEKLY_FEATURES
-        ]),
-    ).withColumn("change_pct", sc.change_pct("current", "previous"))
-    unique_songs = audio.select("unique_songs").scalar()
-    weather_rows = weather.select(
-        unique_songs.alias("unique_songs"),
-        _inline([
-            F.struct(F.lit("weather").alias("metric_kind"), F.lit(m).alias("metric"),
-                     F.col("c_" + m).alias("current"), F.col("p_" + m).alias("previous"))
-            for m, _ in WEEKLY_WEATHER
-        ]),
-    ).withColumn("change_pct", F.lit(None).cast("double"))
-    out = feat_rows.unionByName(weather_rows)
-    return out.select(
+        *[F.avg(F.when(wcur, F.col("w_" + m))).alias("c_" + m) for m, _ in WEEKLY_WEATHER],
+        *[F.avg(F.when(wprev, F.col("w_" + m))).alias("p_" + m) for m, _ in WEEKLY_WEATHER],
+    )
+    rows = [
+        F.struct(F.lit("feature").alias("metric_kind"), F.lit(f).alias("metric"),
+                 F.col("c_" + f).alias("current"), F.col("p_" + f).alias("previous"))
+        for f in WEEKLY_FEATURES
+    ] + [
+        F.struct(F.lit("weather").alias("metric_kind"), F.lit(m).alias("metric"),
+                 F.col("c_" + m).alias("current"), F.col("p_" + m).alias("previous"))
+        for m, _ in WEEKLY_WEATHER
+    ]
+    long = wide.select("unique_songs", _inline(rows))
+    pct = F.when(F.col("metric_kind") == "feature", sc.change_pct("current", "previous"))
+    return long.select(
         F.lit(latest).cast("date").alias("chart_date"),
         prev.alias("previous_chart_date"),
         cal.period_label(F.date_sub(latest, 6), latest).alias("weather_period_current"),
@@ -167,7 +164,7 @@ def weekly_feature_changes(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> Da
         "current",
         "previous",
         (F.col("current") - F.col("previous")).alias("change"),
-        "change_pct",
+        pct.alias("change_pct"),
     ).filter(F.col("chart_date").isNotNull())
 
 
