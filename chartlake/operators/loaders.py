@@ -281,3 +281,20 @@ def updated_track_count(dim_track: DataFrame, staged: DataFrame) -> DataFrame:
     """Number of known tracks the merge touches (the loader's return value)."""
     ids = staged.select(F.col("song_uuid").alias("track_id")).distinct()
     return dim_track.select("track_id").join(ids, "track_id", "left_semi").agg(F.count(F.lit(1)).alias("updated"))
+
+
+# --- key sets (ST-2, ST-5, JN-10, JN-11) ------------------------------------------------
+
+def charted_ids(entries: DataFrame) -> DataFrame:
+    """Distinct non-NULL song ids of chart entries (ST-5)."""
+    return entries.select(F.col("song_uuid").alias("track_id")).filter(F.col("track_id").isNotNull()).distinct()
+
+
+def new_track_ids(entries: DataFrame, dim_track: DataFrame) -> DataFrame:
+    """Charted ids not in the track dimension (JN-10, ST-2)."""
+    return charted_ids(entries).join(dim_track.select("track_id"), "track_id", "left_anti")
+
+
+def known_track_ids(entries: DataFrame, dim_track: DataFrame) -> DataFrame:
+    """Charted ids already in the track dimension (JN-11)."""
+    return charted_ids(entries).join(dim_track.select("track_id"), "track_id", "left_semi")

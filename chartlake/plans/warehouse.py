@@ -86,6 +86,24 @@ def next_track_version(spark: SparkSession, root: str):
     return current_track_version(spark, root) + 1
 
 
+def create_warehouse(spark: SparkSession, root: str) -> list[str]:
+    """Create every missing table as an empty table of its schema (SNK-5).
+    Returns the names created; existing tables are left untouched."""
+    from chartlake.sources.staging import path_exists
+
+    created = []
+    for name, schema in S.WAREHOUSE.items():
+        if path_exists(spark, _p(root, name)):
+            continue
+        empty = spark.createDataFrame([], schema)
+        if name == "dim_track":
+            write_dim_track_version(empty, root, 0)
+        else:
+            append_table(empty, root, name)
+        created.append(name)
+    return created
+
+
 # --- full load ------------------------------------------------------------------------
 
 @dataclass(frozen=True)

@@ -607,3 +607,33 @@ def _stream(spark, sf):
                               available_now=True, max_files_per_trigger=1)
     q.awaitTermination()
     return WH.read_star(spark, root).fact
+
+
+# --- key sets, ranges, repair -------------------------------------------------------------
+
+@register("new_tracks", O.NEW_TRACKS)
+def _new_tracks(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    known = fx.dim_track.filter(F.col("track_id").cast("long") % 7 != 0)
+    return LD.new_track_ids(fx.chart_raw, known)
+
+
+@register("known_tracks", O.KNOWN_TRACKS)
+def _known_tracks(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    known = fx.dim_track.filter(F.col("track_id").cast("long") % 7 != 0)
+    return LD.known_track_ids(fx.chart_raw, known)
+
+
+@register("date_ranges", O.DATE_RANGES)
+def _date_ranges(spark, sf):
+    return INC.missing_weather_ranges(_star(spark, sf))
+
+
+@register("relink_weather", O.FACT_LOAD)
+def _relink(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    stale = fx.fact.withColumn(
+        "weather_id", F.when(F.col("chart_position") % 3 == 0, F.lit(None).cast("int")).otherwise(F.col("weather_id"))
+    )
+    return LD.relink_weather(stale, fx.dim_weather)

@@ -211,8 +211,17 @@ def append_parquet(df: DataFrame, path: str) -> None:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when a table folder exists (local or any Hadoop file system)."""
     if path.startswith("file:") or path.startswith("/"):
-        return os.path.exists(path.replace("file:", ""))
+        return os.path.exists(path.replace("file:", "", 1))
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def read_or_empty(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
+    """Landed keys so far, or an empty frame of the schema when nothing has
+    landed yet (SRC-8)."""
+    if not path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).format(fmt).load(path)

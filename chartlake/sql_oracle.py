@@ -960,3 +960,20 @@ UNION ALL SELECT 'fact_track_chart', count(*) FROM fact_track_chart
 INCREMENTAL_STREAM = with_fixture("""
 SELECT * FROM fact_track_chart WHERE date_id < 20010901 OR chart_position % 50 <> 0
 """)
+
+
+# --- key sets and ranges --------------------------------------------------------------------
+
+NEW_TRACKS = with_fixture("""
+SELECT DISTINCT song_uuid AS track_id FROM chart_raw WHERE CAST(song_uuid AS BIGINT) % 7 = 0
+""")
+
+KNOWN_TRACKS = with_fixture("""
+SELECT DISTINCT song_uuid AS track_id FROM chart_raw WHERE CAST(song_uuid AS BIGINT) % 7 <> 0
+""")
+
+DATE_RANGES = with_fixture(f"""
+, d AS (SELECT date FROM dim_time WHERE date > {_LATEST_WEATHER}),
+g AS (SELECT date, date - CAST(row_number() OVER (ORDER BY date) AS INTEGER) AS grp FROM d)
+SELECT min(date) AS start, max(date) AS "end", count(*) AS days FROM g GROUP BY grp
+""")

@@ -41,3 +41,27 @@ def test_refresh_is_idempotent_and_versions_tracks(spark):
     assert tracks.select("track_id").distinct().count() == tracks.count()
     merged = tracks.filter(F.col("danceability").isNotNull()).count()
     assert merged > 0
+
+
+def test_create_warehouse_only_missing_tables(spark):
+    root = ST.shared_path(spark, "test_create")
+    assert sorted(WH.create_warehouse(spark, root)) == ["dim_time", "dim_track", "dim_weather", "fact_track_chart"]
+    assert WH.create_warehouse(spark, root) == []
+    star = WH.read_star(spark, root)
+    assert star.fact.count() == 0 and star.dim_track.count() == 0
+    assert star.fact.schema.names == [f.name for f in WH.S.FACT_TRACK_CHART.fields]
+
+
+def test_read_or_empty_and_staged_chart_write(spark):
+    from chartlake import schemas as S
+
+    path = ST.shared_path(spark, "test_staged")
+    assert ST.read_or_empty(spark, path, S.CHART_ENTRY).count() == 0
+    rows = spark.createDataFrame(
+        [(dt.date(2024, 1, 7), 2, "b"), (dt.date(2024, 1, 7), 1, "a"), (dt.date(2023, 12, 31), 1, "c")],
+        "chart_date date, position int, song_uuid string")
+    staged = ST.union_sorted_charts(None, rows)
+    assert [r.song_uuid for r in staged.collect()] == ["c", "a", "b"]
+    ST.write_staged_charts(staged, path)
+    back = spark.read.parquet(path)
+    assert back.count() == 3 and "chart_date" in back.columns
