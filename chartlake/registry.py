@@ -174,7 +174,7 @@ def _dim_time(spark, sf):
 @register("dim_time_extend", O.DIM_TIME_EXTEND)
 def _dim_time_extend(spark, sf):
     fx = TD.load_fixture(spark, sf)
-    bounds = TD.ship_bounds(fx.lineitem)
+    bounds = fx.bounds
     last_ship = bounds.select("last_ship").scalar()
     existing = fx.dim_time.filter(F.col("date") <= last_ship)
     today = bounds.select(F.date_add("last_ship", TD.TAIL_DAYS)).scalar()
@@ -196,7 +196,7 @@ def _sundays(spark, sf):
 
 @register("calendar_span", O.CALENDAR_SPAN)
 def _span(spark, sf):
-    b = TD.ship_bounds(TD.load_fixture(spark, sf).lineitem)
+    b = TD.load_fixture(spark, sf).bounds
     return b.select(
         "first_ship", "last_ship",
         CAL.span_days("first_ship", "last_ship").alias("expected_days"),
@@ -464,7 +464,7 @@ def _union_dedup(spark, sf):
 # --- quality and summaries -------------------------------------------------------------------
 
 def _expected_days(fx):
-    b = TD.ship_bounds(fx.lineitem)
+    b = fx.bounds
     return b.select(CAL.span_days("first_ship", F.date_add("last_ship", TD.TAIL_DAYS))).scalar()
 
 
@@ -569,7 +569,7 @@ def _warehouse_build(spark, sf):
 def _warehouse_refresh(spark, sf):
     fx = TD.load_fixture(spark, sf)
     root = ST.shared_path(spark, "warehouse")
-    last_ship = TD.ship_bounds(fx.lineitem).select("last_ship").scalar()
+    last_ship = fx.bounds.select("last_ship").scalar()
     known = fx.dim_track.filter(F.col("track_id").cast("long") % 7 != 0)
     WH.write_star(
         TD.Star(
@@ -580,7 +580,7 @@ def _warehouse_refresh(spark, sf):
         ),
         root,
     )
-    today = TD.ship_bounds(fx.lineitem).select(F.date_add("last_ship", TD.TAIL_DAYS)).scalar()
+    today = fx.bounds.select(F.date_add("last_ship", TD.TAIL_DAYS)).scalar()
     landing = WH.Landing(
         chart_entries=_chart_entries(fx),
         weather_readings=TD.weather_readings(fx.weather_raw),

@@ -28,6 +28,7 @@ from chartlake.functions import calendar as cal
 from chartlake.functions import scalars as sc
 from chartlake.operators import loaders as ld
 from chartlake.operators.dims import Star
+from chartlake.session import cut_lineage
 
 # Fixed values of the fixture rules (FIXTURES.md B).
 # ---------------------------------------------------------------------------
@@ -65,6 +66,7 @@ class Fixture:
     features_staged: DataFrame
     lineitem: DataFrame
     part: DataFrame
+    bounds: DataFrame  # one row: first_ship, last_ship
 
     @property
     def dim_time(self) -> DataFrame:
@@ -91,16 +93,15 @@ def ship_bounds(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def fixture_dim_time(lineitem: DataFrame, labels: C.Labels = C.Labels()) -> DataFrame:
-    bounds = ship_bounds(lineitem).select(
-        F.col("first_ship").alias("start"), F.date_add("last_ship", TAIL_DAYS).alias("end")
-    )
-    return ld.dim_time_from_bounds(bounds, labels)
+def fixture_dim_time(bounds: DataFrame, labels: C.Labels = C.Labels()) -> DataFrame:
+    """Every day from the first ship date to the last one plus the tail."""
+    rng = bounds.select(F.col("first_ship").alias("start"), F.date_add("last_ship", TAIL_DAYS).alias("end"))
+    return ld.dim_time_from_bounds(rng, labels)
 
 
-def fixture_weather_raw(lineitem: DataFrame, nation: DataFrame) -> DataFrame:
+def fixture_weather_raw(bounds: DataFrame, nation: DataFrame) -> DataFrame:
     """Readings per (day, location) in the weather_raw shape of FIXTURES.md."""
-    spine = ship_bounds(lineitem).select(
+    spine = bounds.select(
         F.explode(F.sequence("first_ship", "last_ship", F.expr("interval 1 day"))).alias("date")
     )
     per_loc = spine.filter(F.dayofmonth("date") <= WEATHER_LAST_DAY).select(
@@ -224,16 +225,35 @@ def fixture_features_staged(part: DataFrame) -> DataFrame:
     return part.filter(k % 3 == 0).select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in S.SONG_FEATURES.fields])
 
 
-def load_fixture(spark: SparkSession, sf_dir: str, labels: C.Labels = C.Labels(), top_n: int = C.TOP_N) -> Fixture:
-    """All derived tables of the test star schema (lazy)."""
+def load_fixture(
+    spark: SparkSession,
+    sf_dir: str,
+    labels: C.Labels = C.Labels(),
+    top_n: int = C.TOP_N,
+    materialize: bool = True,
+) -> Fixture:
+    """All derived tables of the test star schema.
+
+    With ``materialize`` (the default) the two results computed from
+    ``lineitem`` -- the calendar bounds (one row) and the ranked weekly charts
+    (at most ``top_n`` rows per country and week) -- are checkpointed into the
+    shared checkpoint folder as they are built, so a query that uses the fact
+    table in several branches aggregates ``lineitem`` exactly once instead of
+    once per branch.
+    """
+    keep = cut_lineage if materialize else (lambda df: df)
     lineitem = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
     part = read_table(spark, sf_dir, "part")
     nation = read_table(spark, sf_dir, "nation")
 
-    dim_time = fixture_dim_time(lineitem, labels)
-    weather_raw = fixture_weather_raw(lineitem, nation)
+    # Only the two results that scan lineitem are materialised; the calendar,
+    # weather and fact tables derive from them cheaply (per-day tables and
+    # joins of small tables), so they stay lazy.
+    bounds = keep(ship_bounds(lineitem))
+    dim_time = fixture_dim_time(bounds, labels)
+    weather_raw = fixture_weather_raw(bounds, nation)
     dim_weather = ld.load_weather(ld.daily_weather(weather_readings(weather_raw)), dim_time)
-    chart_raw = rank_charts(chart_totals(lineitem), top_n)
+    chart_raw = keep(rank_charts(chart_totals(lineitem), top_n))
     fact = ld.load_facts(chart_raw, dim_time, dim_weather)
     star = Star(dim_time=dim_time, dim_track=fixture_dim_track(part), dim_weather=dim_weather, fact=fact)
     return Fixture(
@@ -243,4 +263,5 @@ def load_fixture(spark: SparkSession, sf_dir: str, labels: C.Labels = C.Labels()
         features_staged=fixture_features_staged(part),
         lineitem=lineitem,
         part=part,
+        bounds=bounds,
     )
