@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartlake import config as C
@@ -178,6 +178,21 @@ def relink_weather(fact: DataFrame, dim_weather: DataFrame) -> DataFrame:
 
 # --- incremental chart load (LD-4) --------------------------------------------
 
+def first_per_key(df: DataFrame, key: str, order: list[Column], last: bool = False) -> DataFrame:
+    """One row per ``key``: the first (or last) by ``order``.
+
+    An aggregate (``min_by`` / ``max_by`` over the whole row), not a window:
+    it combines map side, so a key holding a third of all rows never piles
+    up in one task.  The full row is appended to the order as a tie-break, so
+    the pick is deterministic.
+    """
+    cols = [c for c in df.columns if c != key]
+    row = F.struct(*[F.col(c) for c in cols])
+    rank = F.struct(*order, row)
+    pick = F.max_by(row, rank) if last else F.min_by(row, rank)
+    return df.groupBy(key).agg(pick.alias("_row")).select(key, *[F.col("_row").getField(c).alias(c) for c in cols])
+
+
 def placeholder_tracks(
     entries: DataFrame, dim_track: DataFrame, cfg: C.LoadConfig = C.DEFAULT_LOAD
 ) -> DataFrame:
@@ -187,13 +202,17 @@ def placeholder_tracks(
     and artist come from its first entry by (chart_date, position).  Audio
     columns stay NULL ("features not fetched yet").
     """
-    w = Window.partitionBy("song_uuid").orderBy(F.col("chart_date").asc_nulls_last(), F.col("position").asc_nulls_last())
-    new = (
+    keep = ["song_uuid", "chart_date", "position", "song_name", "artist_name"]
+    if "image_url" in entries.columns:
+        keep.append("image_url")
+    candidates = (
         entries.filter(F.col("song_uuid").isNotNull())
+        .select(*keep)
         .join(dim_track.select(F.col("track_id").alias("song_uuid")), "song_uuid", "left_anti")
-        .withColumn("_rn", F.row_number().over(w))
-        .filter(F.col("_rn") == 1)
     )
+    order = [F.coalesce(F.col("chart_date"), F.lit("9999-12-31").cast("date")),
+             F.coalesce(F.col("position"), F.lit(2**31 - 1))]
+    new = first_per_key(candidates, "song_uuid", order)
     cols = {
         "track_id": F.col("song_uuid"),
         "track_name": sc.with_default(F.col("song_name"), cfg.default_name),
@@ -230,8 +249,7 @@ def latest_staged(staged: DataFrame, order_col: str | None = None) -> DataFrame:
     """
     if order_col is None:
         return staged
-    w = Window.partitionBy("song_uuid").orderBy(F.col(order_col).desc())
-    return staged.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    return first_per_key(staged, "song_uuid", [F.col(order_col)], last=True)
 
 
 def merge_track_features(dim_track: DataFrame, staged: DataFrame, order_col: str | None = None) -> DataFrame:

@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartlake import schemas as S
@@ -200,9 +200,10 @@ def union_first_wins(existing: DataFrame | None, new: DataFrame, key: str = "son
     """Staging features = old ∪ new, first row per key wins (SNK-3, WN-4)."""
     if existing is None:
         return new
+    from chartlake.operators.loaders import first_per_key
+
     tagged = existing.withColumn("_src", F.lit(0)).unionByName(new.withColumn("_src", F.lit(1)), allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy("_src")
-    return tagged.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_src")
+    return first_per_key(tagged, key, [F.col("_src")]).drop("_src").select(*tagged.drop("_src").columns)
 
 
 def append_parquet(df: DataFrame, path: str) -> None:

@@ -153,3 +153,14 @@ def test_explode_weather_arrays_index_aligned(spark):
     rows = st.explode_weather_arrays(docs).orderBy("date").collect()
     assert [(r.date, r.temperature_avg, r.precipitation_mm, r.sunshine_hours) for r in rows] == [
         (D(2024, 1, 1), 1.0, 0.5, None), (D(2024, 1, 2), 2.0, None, 2.0)]
+
+
+def test_first_per_key_hot_key_is_map_side_combined(spark):
+    hot = [("hot", i, f"v{i}") for i in range(3000)]
+    cold = [(f"k{i}", i, "x") for i in range(6000)]
+    df = spark.createDataFrame(hot + cold, "k string, seq int, v string").repartition(8)
+    out = ld.first_per_key(df, "k", [F.col("seq")], last=True)
+    rows = {r.k: (r.seq, r.v) for r in out.collect()}
+    assert len(rows) == 6001 and rows["hot"] == (2999, "v2999")
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan  # combined before the shuffle
