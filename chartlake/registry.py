@@ -65,6 +65,7 @@ MART_DE = TD.MART
 PARTIAL_CALENDAR_END = "2001-01-01"     # time dimension cut for the skip counter
 INCREMENTAL_CUTOFF_ID = 20010901        # facts before this date_id count as loaded
 LANDED_BEFORE = "1998-01-01"            # chart dates already staged
+KNOWN_BEFORE = "1995-07-01"             # tracks of the initial load: charted before this
 REMAINING_RANGE = (_dt.date(1996, 1, 1), _dt.date(2000, 12, 31))
 MART_ALL = C.MartConfig(country=None, periods=TD.PERIODS, baseline=TD.BASELINE)
 
@@ -256,6 +257,18 @@ def _fact_skipped(spark, sf):
     return LD.skipped_dates(rows, cal_2000, "chart_date").agg(F.count(F.lit(1)).alias("skipped"))
 
 
+def _tracks_before_cutoff(fx) -> DataFrame:
+    """Track dimension of an initial load that covered the first half year:
+    the tracks charted before ``KNOWN_BEFORE``."""
+    first_load = F.col("chart_date") < F.lit(KNOWN_BEFORE).cast("date")
+    before = fx.chart_raw.filter(first_load).select(F.col("song_uuid").alias("track_id"))
+    return fx.dim_track.join(before, "track_id", "left_semi")
+
+
+def _cutoff_date():
+    return F.to_date(F.lit(str(INCREMENTAL_CUTOFF_ID)), "yyyyMMdd")
+
+
 def _chart_entries(fx) -> DataFrame:
     """Flattened chart entries of the fixture (names from the song ids)."""
     p = F.col("position")
@@ -272,7 +285,7 @@ def _chart_entries(fx) -> DataFrame:
 @register("placeholder_tracks", O.PLACEHOLDER_TRACKS)
 def _placeholders(spark, sf):
     fx = TD.load_fixture(spark, sf)
-    known = fx.dim_track.filter(F.col("track_id").cast("long") % 7 != 0)
+    known = _tracks_before_cutoff(fx)
     return LD.placeholder_tracks(_chart_entries(fx), known)
 
 
@@ -570,7 +583,7 @@ def _warehouse_refresh(spark, sf):
     fx = TD.load_fixture(spark, sf)
     root = ST.shared_path(spark, "warehouse")
     last_ship = fx.bounds.select("last_ship").scalar()
-    known = fx.dim_track.filter(F.col("track_id").cast("long") % 7 != 0)
+    known = _tracks_before_cutoff(fx)
     WH.write_star(
         TD.Star(
             dim_time=fx.dim_time.filter(F.col("date") <= last_ship),
@@ -600,7 +613,7 @@ def _stream(spark, sf):
     early = F.col("date_id") < INCREMENTAL_CUTOFF_ID
     WH.write_star(TD.Star(dim_time=fx.dim_time, dim_track=fx.dim_track, dim_weather=fx.dim_weather,
                           fact=fx.fact.filter(early)), root)
-    cutoff = F.to_date(F.lit(str(INCREMENTAL_CUTOFF_ID)), "yyyyMMdd")
+    cutoff = _cutoff_date()
     new_pages = DOCS.chart_pages_json(fx.chart_raw.filter(F.col("chart_date") >= cutoff)).repartition(3)
     landing = DOCS.land_text(new_pages, ST.shared_path(spark, "landing"))
     q = CS.start_chart_stream(spark, landing, root, ST.shared_path(spark, "stream_ckpt"),
@@ -614,14 +627,14 @@ def _stream(spark, sf):
 @register("new_tracks", O.NEW_TRACKS)
 def _new_tracks(spark, sf):
     fx = TD.load_fixture(spark, sf)
-    known = fx.dim_track.filter(F.col("track_id").cast("long") % 7 != 0)
+    known = _tracks_before_cutoff(fx)
     return LD.new_track_ids(fx.chart_raw, known)
 
 
 @register("known_tracks", O.KNOWN_TRACKS)
 def _known_tracks(spark, sf):
     fx = TD.load_fixture(spark, sf)
-    known = fx.dim_track.filter(F.col("track_id").cast("long") % 7 != 0)
+    known = _tracks_before_cutoff(fx)
     return LD.known_track_ids(fx.chart_raw, known)
 
 
@@ -633,7 +646,8 @@ def _date_ranges(spark, sf):
 @register("relink_weather", O.FACT_LOAD)
 def _relink(spark, sf):
     fx = TD.load_fixture(spark, sf)
+    # facts of 2001 loaded before their weather: weather_id still NULL
     stale = fx.fact.withColumn(
-        "weather_id", F.when(F.col("chart_position") % 3 == 0, F.lit(None).cast("int")).otherwise(F.col("weather_id"))
+        "weather_id", F.when(F.col("date_id") >= 20010101, F.lit(None).cast("int")).otherwise(F.col("weather_id"))
     )
     return LD.relink_weather(stale, fx.dim_weather)

@@ -519,8 +519,11 @@ _ENTRIES = """, entries AS (
   FROM chart_raw)
 """
 
-PLACEHOLDER_TRACKS = with_fixture(_ENTRIES + """
-, known AS (SELECT track_id FROM dim_track WHERE CAST(track_id AS BIGINT) % 7 <> 0),
+_KNOWN = """(SELECT track_id FROM dim_track
+   WHERE track_id IN (SELECT song_uuid FROM chart_raw WHERE chart_date < DATE '1995-07-01'))"""
+
+PLACEHOLDER_TRACKS = with_fixture(_ENTRIES + f"""
+, known AS {_KNOWN},
 firsts AS (
   SELECT *, row_number() OVER (PARTITION BY song_uuid ORDER BY chart_date, position) AS rn
   FROM entries WHERE song_uuid NOT IN (SELECT track_id FROM known))
@@ -948,11 +951,8 @@ UNION ALL SELECT 'fact_track_chart', count(*) FROM fact_track_chart
 """)
 
 WAREHOUSE_REFRESH = with_fixture("""
-, placeholders AS (
-  SELECT DISTINCT song_uuid FROM chart_raw WHERE CAST(song_uuid AS BIGINT) % 7 = 0)
 SELECT 'dim_time' AS "table", count(*) AS rows FROM dim_time
-UNION ALL SELECT 'dim_track', (SELECT count(*) FROM dim_track WHERE CAST(track_id AS BIGINT) % 7 <> 0)
-                             + (SELECT count(*) FROM placeholders)
+UNION ALL SELECT 'dim_track', (SELECT count(DISTINCT song_uuid) FROM chart_raw)
 UNION ALL SELECT 'dim_weather', count(*) FROM dim_weather
 UNION ALL SELECT 'fact_track_chart', count(*) FROM fact_track_chart
 """)
@@ -964,12 +964,12 @@ SELECT * FROM fact_track_chart WHERE date_id < 20010901 OR chart_position % 50 <
 
 # --- key sets and ranges --------------------------------------------------------------------
 
-NEW_TRACKS = with_fixture("""
-SELECT DISTINCT song_uuid AS track_id FROM chart_raw WHERE CAST(song_uuid AS BIGINT) % 7 = 0
+NEW_TRACKS = with_fixture(f"""
+SELECT DISTINCT song_uuid AS track_id FROM chart_raw WHERE song_uuid NOT IN {_KNOWN}
 """)
 
-KNOWN_TRACKS = with_fixture("""
-SELECT DISTINCT song_uuid AS track_id FROM chart_raw WHERE CAST(song_uuid AS BIGINT) % 7 <> 0
+KNOWN_TRACKS = with_fixture(f"""
+SELECT DISTINCT song_uuid AS track_id FROM chart_raw WHERE song_uuid IN {_KNOWN}
 """)
 
 DATE_RANGES = with_fixture(f"""
