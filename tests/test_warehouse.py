@@ -65,3 +65,23 @@ def test_read_or_empty_and_staged_chart_write(spark):
     ST.write_staged_charts(staged, path)
     back = spark.read.parquet(path)
     assert back.count() == 3 and "chart_date" in back.columns
+
+
+def test_stream_replay_with_lost_checkpoint_loads_nothing_twice(spark):
+    from chartlake.sources import fixture_docs as DOCS
+    from chartlake.streaming import chart_stream as CS
+
+    fx = TD.load_fixture(spark, SF_SMALL)
+    root = ST.shared_path(spark, "test_stream")
+    early = F.col("date_id") < 20010101
+    WH.write_star(Star(dim_time=fx.dim_time, dim_track=fx.dim_track, dim_weather=fx.dim_weather,
+                       fact=fx.fact.filter(early)), root)
+    pages = DOCS.chart_pages_json(fx.chart_raw.filter(F.col("chart_date") >= dt.date(2001, 1, 1))).repartition(2)
+    landing = DOCS.land_text(pages, ST.shared_path(spark, "test_landing"))
+    for _ in range(2):  # second run: new checkpoint folder, same files -> replay of every batch
+        q = CS.start_chart_stream(spark, landing, root, ST.shared_path(spark, "test_ckpt"), max_files_per_trigger=1)
+        q.awaitTermination()
+    fact = WH.read_star(spark, root).fact
+    expected = fx.fact.filter(early | (F.col("chart_position") % 50 != 0)).count()
+    assert fact.count() == expected
+    assert fact.select("fact_id").distinct().count() == expected
