@@ -98,11 +98,11 @@ def sunshine_series(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame
     """Sunshine mart ordered by exact sunshine, values in percent."""
     s = M.danceability_by_sunshine(star, cfg)
     return s.select(
-        "sunshine_bucket",
+        "sunshine_hours",
         "exact_sunshine",
         (F.col("avg_danceability") * 100).alias("danceability_pct"),
         (F.col("avg_valence") * 100).alias("valence_pct"),
-        F.row_number().over(Window.orderBy("exact_sunshine", "sunshine_bucket")).alias("point_order"),
+        F.row_number().over(Window.orderBy("exact_sunshine", "sunshine_hours")).alias("point_order"),
     )
 
 

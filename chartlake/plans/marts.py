@@ -73,6 +73,8 @@ def kpis(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
         .alias("feature_coverage_pct"),
         first_date.alias("first_chart_date"),
         last_date.alias("last_chart_date"),
+        F.coalesce(F.concat(first_date.cast("string"), F.lit(" - "), last_date.cast("string")), F.lit("N/A"))
+        .alias("date_range"),
     )
 
 
@@ -259,7 +261,7 @@ def danceability_by_sunshine(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) ->
     )
     bucket = sc.sunshine_bucket("sunshine_hours", cfg.labels, cfg.null_sunshine_bucket)
     return (
-        entries.groupBy(bucket.alias("sunshine_bucket"))
+        entries.groupBy(bucket.alias("sunshine_hours"))
         .agg(
             F.avg("sunshine_hours").alias("exact_sunshine"),
             F.avg("danceability").alias("avg_danceability"),

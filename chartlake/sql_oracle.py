@@ -182,7 +182,11 @@ SELECT CAST(coalesce((SELECT sum(stream_count) FROM f), 0) AS BIGINT) AS total_s
                   WHERE k.danceability IS NOT NULL) * 100.0 / (SELECT count(DISTINCT track_id) FROM f)
             ELSE 0 END, 6) AS feature_coverage_pct,
        (SELECT min(t.date) FROM dim_time t JOIN fact_track_chart x ON x.date_id = t.date_id) AS first_chart_date,
-       (SELECT max(t.date) FROM dim_time t JOIN fact_track_chart x ON x.date_id = t.date_id) AS last_chart_date
+       (SELECT max(t.date) FROM dim_time t JOIN fact_track_chart x ON x.date_id = t.date_id) AS last_chart_date,
+       coalesce(strftime((SELECT min(t.date) FROM dim_time t JOIN fact_track_chart x ON x.date_id = t.date_id), '%Y-%m-%d')
+                || ' - ' ||
+                strftime((SELECT max(t.date) FROM dim_time t JOIN fact_track_chart x ON x.date_id = t.date_id), '%Y-%m-%d'),
+                'N/A') AS date_range
 """)
 
 
@@ -315,7 +319,7 @@ SELECT CASE WHEN w.sunshine_hours = 0 THEN '0h'
             WHEN w.sunshine_hours < 4 THEN '1-4h'
             WHEN w.sunshine_hours < 8 THEN '4-8h'
             WHEN w.sunshine_hours < 12 THEN '8-12h'
-            ELSE '12h+' END AS sunshine_bucket,
+            ELSE '12h+' END AS sunshine_hours,
        round(avg(w.sunshine_hours), 6) AS exact_sunshine,
        round(avg(k.danceability), 6) AS avg_danceability,
        round(avg(k.valence), 6) AS avg_valence
@@ -908,14 +912,14 @@ CHART_SUNSHINE_SERIES = with_fixture("""
 , q6 AS (
   SELECT CASE WHEN w.sunshine_hours = 0 THEN '0h' WHEN w.sunshine_hours < 4 THEN '1-4h'
               WHEN w.sunshine_hours < 8 THEN '4-8h' WHEN w.sunshine_hours < 12 THEN '8-12h' ELSE '12h+' END
-           AS sunshine_bucket,
+           AS sunshine_hours,
          avg(w.sunshine_hours) AS exact_sunshine, avg(k.danceability) AS d, avg(k.valence) AS v
   FROM dim_track k JOIN fact_track_chart f ON k.track_id = f.track_id JOIN dim_weather w ON f.weather_id = w.weather_id
   WHERE k.danceability IS NOT NULL AND k.valence IS NOT NULL AND f.country = 'de'
   GROUP BY 1 HAVING count(f.fact_id) > 20)
-SELECT sunshine_bucket, round(exact_sunshine, 6) AS exact_sunshine, round(d * 100, 6) AS danceability_pct,
+SELECT sunshine_hours, round(exact_sunshine, 6) AS exact_sunshine, round(d * 100, 6) AS danceability_pct,
        round(v * 100, 6) AS valence_pct,
-       CAST(row_number() OVER (ORDER BY exact_sunshine NULLS FIRST, sunshine_bucket) AS INTEGER) AS point_order
+       CAST(row_number() OVER (ORDER BY exact_sunshine NULLS FIRST, sunshine_hours) AS INTEGER) AS point_order
 FROM q6
 """)
 

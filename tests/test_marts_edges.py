@@ -64,9 +64,9 @@ def test_sunshine_having_and_null_bucket(spark):
     wx = [(D(2024, 1, 1) + dt.timedelta(days=i), 1.0, 1.0, 1.0, None if i < 25 else 5.0) for i in range(30)]
     s = star(spark, tr, fa, wx)
     base = M.danceability_by_sunshine(s, C.MartConfig(country="de", sunshine_min_count=20)).collect()
-    assert [(r.sunshine_bucket, r.exact_sunshine) for r in base] == [("12h+", None)]
+    assert [(r.sunshine_hours, r.exact_sunshine) for r in base] == [("12h+", None)]
     sane = M.danceability_by_sunshine(s, C.MartConfig(country="de", sunshine_min_count=2, null_sunshine_bucket="n/a"))
-    assert sorted(r.sunshine_bucket for r in sane.collect()) == ["4-8h", "n/a"]
+    assert sorted(r.sunshine_hours for r in sane.collect()) == ["4-8h", "n/a"]
 
 
 def test_acoustic_keeps_null_weather_group(spark):
