@@ -234,9 +234,17 @@ def new_chart_facts(
     existing_fact: DataFrame,
     cfg: C.LoadConfig = C.DEFAULT_LOAD,
 ) -> DataFrame:
-    """Facts of chart entries not loaded yet (LD-4, idempotent by fact_id)."""
-    facts = load_facts(entries, dim_time, dim_weather, cfg)
-    return facts.join(existing_fact.select("fact_id"), "fact_id", "left_anti")
+    """Facts of chart entries not loaded yet (LD-4, idempotent by fact_id).
+
+    Entries repeated inside the batch (a replayed page) collapse to one fact.
+    The existing facts are first cut to the dates being loaded (a per-day key
+    set, broadcast), so the key anti-join touches only those weeks, not the
+    whole fact table.
+    """
+    facts = first_per_key(load_facts(entries, dim_time, dim_weather, cfg), "fact_id", [])
+    dates = calendar_side(facts.select("date_id").distinct())
+    touched = existing_fact.select("fact_id", "date_id").join(dates, "date_id", "left_semi")
+    return facts.join(touched.select("fact_id"), "fact_id", "left_anti")
 
 
 # --- feature merge (LD-5) -----------------------------------------------------------
