@@ -23,12 +23,23 @@ CALENDAR_ROW_BUDGET = 40_000
 
 @dataclass(frozen=True)
 class Star:
-    """The four warehouse tables (lazy DataFrames)."""
+    """The four warehouse tables (lazy DataFrames).
+
+    ``calendar_days`` is the number of days the time dimension spans, read
+    from metadata when the star is built or opened; it bounds the size of
+    every per-day table, and :meth:`calendar` uses it to decide between a
+    broadcast and a shuffle join.
+    """
 
     dim_time: DataFrame
     dim_track: DataFrame
     dim_weather: DataFrame
     fact: DataFrame
+    calendar_days: int | None = None
+
+    def calendar(self, df: DataFrame) -> DataFrame:
+        """Join side for a per-day table of this star (see :func:`calendar_side`)."""
+        return calendar_side(df, self.calendar_days)
 
     def tables(self) -> dict[str, DataFrame]:
         return {
@@ -40,12 +51,13 @@ class Star:
 
 
 def calendar_side(df: DataFrame, span_days: int | None = None) -> DataFrame:
-    """Broadcast a per-day calendar table (time or weather dimension).
+    """Join side for a table with at most one row per calendar day.
 
-    ``span_days`` is the number of days the table can cover; when it is known
-    and above :data:`CALENDAR_ROW_BUDGET` the table is left to the planner.
-    A per-day table cannot exceed its calendar span, which is what makes the
-    hint safe without an extra job.
+    ``span_days`` is the number of days the calendar covers (an upper bound of
+    the table's rows).  Within :data:`CALENDAR_ROW_BUDGET` the table is
+    broadcast; above it the join is left to the planner (sort-merge or
+    shuffle-hash, AQE may still convert it).  ``None`` means the caller built
+    the table itself from a bounded range (hand-made frames in tests).
     """
     if span_days is not None and span_days > CALENDAR_ROW_BUDGET:
         return df

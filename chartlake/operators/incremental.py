@@ -10,19 +10,19 @@ from pyspark.sql import functions as F
 
 from chartlake import config as C
 from chartlake.functions import calendar as cal
-from chartlake.operators.dims import Star, calendar_side
+from chartlake.operators.dims import Star
 from chartlake.operators.ranges import batches, date_ranges
 
 
 def latest_fact_date(star: Star) -> Column:
     """Scalar: latest date that has facts (any country)."""
-    dated = star.fact.select("date_id").distinct().join(calendar_side(star.dim_time.select("date_id", "date")), "date_id")
+    dated = star.fact.select("date_id").distinct().join(star.calendar(star.dim_time.select("date_id", "date")), "date_id")
     return dated.agg(F.max("date")).scalar()
 
 
 def latest_weather_date(star: Star) -> Column:
     dated = star.dim_weather.select("date_id").distinct().join(
-        calendar_side(star.dim_time.select("date_id", "date")), "date_id"
+        star.calendar(star.dim_time.select("date_id", "date")), "date_id"
     )
     return dated.agg(F.max("date")).scalar()
 

@@ -74,10 +74,11 @@ def daily_weather(readings: DataFrame) -> DataFrame:
     )
 
 
-def load_weather(daily: DataFrame, dim_time: DataFrame) -> DataFrame:
+def load_weather(daily: DataFrame, dim_time: DataFrame, span_days: int | None = None) -> DataFrame:
     """Weather dimension rows (LD-1): date -> date_id lookup, unmatched dates
-    skipped; ``weather_id = date_id`` (one row per date)."""
-    keyed = daily.join(calendar_side(dim_time.select("date", "date_id")), "date", "inner")
+    skipped; ``weather_id = date_id`` (one row per date).  ``span_days``: days
+    the time dimension covers (see :func:`calendar_side`)."""
+    keyed = daily.join(calendar_side(dim_time.select("date", "date_id"), span_days), "date", "inner")
     return keyed.select(
         F.col("date_id").alias("weather_id"),
         "date_id",
@@ -88,10 +89,11 @@ def load_weather(daily: DataFrame, dim_time: DataFrame) -> DataFrame:
     )
 
 
-def skipped_dates(rows: DataFrame, dim_time: DataFrame, date_col: str = "date") -> DataFrame:
+def skipped_dates(rows: DataFrame, dim_time: DataFrame, date_col: str = "date",
+                  span_days: int | None = None) -> DataFrame:
     """Rows whose date is absent from the time dimension (JN-6 counter)."""
     return rows.join(
-        calendar_side(dim_time.select(F.col("date").alias(date_col))), date_col, "left_anti"
+        calendar_side(dim_time.select(F.col("date").alias(date_col)), span_days), date_col, "left_anti"
     )
 
 
@@ -137,6 +139,7 @@ def load_facts(
     dim_time: DataFrame,
     dim_weather: DataFrame,
     cfg: C.LoadConfig = C.DEFAULT_LOAD,
+    span_days: int | None = None,
 ) -> DataFrame:
     """Fact rows from chart entries (LD-3).
 
@@ -153,8 +156,8 @@ def load_facts(
         sc.nullable_int(F.col("position")).alias("chart_position"),
         F.col("streams").try_cast("long").alias("stream_count"),
     ).filter(F.col("track_id").isNotNull())
-    keyed = rows.join(calendar_side(dim_time.select("date", "date_id")), "date", "inner")
-    linked = keyed.join(calendar_side(one_weather_per_date(dim_weather)), "date_id", "left")
+    keyed = rows.join(calendar_side(dim_time.select("date", "date_id"), span_days), "date", "inner")
+    linked = keyed.join(calendar_side(one_weather_per_date(dim_weather), span_days), "date_id", "left")
     return linked.select(
         fact_key("date_id", "country", "chart_position").alias("fact_id"),
         "track_id",
@@ -166,10 +169,10 @@ def load_facts(
     )
 
 
-def relink_weather(fact: DataFrame, dim_weather: DataFrame) -> DataFrame:
+def relink_weather(fact: DataFrame, dim_weather: DataFrame, span_days: int | None = None) -> DataFrame:
     """Idempotent repair: fill weather_id of facts loaded before their weather."""
     lookup = one_weather_per_date(dim_weather).withColumnRenamed("weather_id", "_w")
-    return fact.join(calendar_side(lookup), "date_id", "left").select(
+    return fact.join(calendar_side(lookup, span_days), "date_id", "left").select(
         "fact_id", "track_id", "date_id",
         F.coalesce("weather_id", "_w").alias("weather_id"),
         "country", "stream_count", "chart_position",
@@ -233,6 +236,7 @@ def new_chart_facts(
     dim_weather: DataFrame,
     existing_fact: DataFrame,
     cfg: C.LoadConfig = C.DEFAULT_LOAD,
+    span_days: int | None = None,
 ) -> DataFrame:
     """Facts of chart entries not loaded yet (LD-4, idempotent by fact_id).
 
@@ -241,8 +245,8 @@ def new_chart_facts(
     set, broadcast), so the key anti-join touches only those weeks, not the
     whole fact table.
     """
-    facts = first_per_key(load_facts(entries, dim_time, dim_weather, cfg), "fact_id", [])
-    dates = calendar_side(facts.select("date_id").distinct())
+    facts = first_per_key(load_facts(entries, dim_time, dim_weather, cfg, span_days), "fact_id", [])
+    dates = calendar_side(facts.select("date_id").distinct(), span_days)
     touched = existing_fact.select("fact_id", "date_id").join(dates, "date_id", "left_semi")
     return facts.join(touched.select("fact_id"), "fact_id", "left_anti")
 

@@ -17,6 +17,7 @@ def trailing_window(
     measures: dict[str, str],
     date_col: str = "date",
     anchor_col: str = "chart_date",
+    span_days: int | None = None,
 ) -> DataFrame:
     """Mean of each measure over the ``width`` days ending on every anchor
     date (inclusive), one row per anchor that has at least one day.
@@ -33,7 +34,7 @@ def trailing_window(
         ),
         *[F.col(src).alias(f"_m_{name}") for name, src in measures.items()],
     )
-    keys = calendar_side(anchors.select(F.col(anchor_col).cast("date").alias(anchor_col)).distinct())
+    keys = calendar_side(anchors.select(F.col(anchor_col).cast("date").alias(anchor_col)).distinct(), span_days)
     return fanned.join(keys, anchor_col).groupBy(anchor_col).agg(
         *[F.avg(f"_m_{name}").alias(name) for name in measures]
     )

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from chartlake import config as C
 from chartlake.functions import calendar as cal
 from chartlake.functions import scalars as sc
-from chartlake.operators.dims import Star, by_country, calendar_side
+from chartlake.operators.dims import Star, by_country
 from chartlake.operators.ranges import trailing_window
 
 SEASON_FEATURES = ("danceability", "energy", "instrumentalness", "loudness", "valence", "tempo", "acousticness")
@@ -32,7 +32,7 @@ def _inline(rows: list[Column]) -> Column:
 def latest_chart_date_id(star: Star, country: str | None) -> Column:
     """Scalar sub-query: date_id of the latest chart with a time row."""
     dated = by_country(star.fact, country).join(
-        calendar_side(star.dim_time.select("date_id")), "date_id", "left_semi"
+        star.calendar(star.dim_time.select("date_id")), "date_id", "left_semi"
     )
     return dated.agg(F.max("date_id")).scalar()
 
@@ -53,7 +53,7 @@ def kpis(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
     joined = per_track.join(featured, "track_id", "left")
     avg_temp = star.dim_weather.agg(F.avg("temperature_avg")).scalar()
     charted_dates = star.fact.select("date_id").distinct().join(
-        calendar_side(star.dim_time.select("date_id", "date")), "date_id"
+        star.calendar(star.dim_time.select("date_id", "date")), "date_id"
     )
     span = charted_dates.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
     first_date, last_date = span.getField("lo"), span.getField("hi")
@@ -86,7 +86,7 @@ def current_top_tracks(star: Star, cfg: C.MartConfig = C.DEFAULT_MART, country:
     latest = latest_chart_date_id(star, ctry)
     week = by_country(star.fact, ctry).filter(F.col("date_id") == latest)
     return (
-        week.join(calendar_side(star.dim_time.select("date_id", "date")), "date_id")
+        week.join(star.calendar(star.dim_time.select("date_id", "date")), "date_id")
         .join(star.dim_track.select("track_id", "track_name", "artist_names", "image_url"), "track_id")
         .select(
             "track_name",
@@ -119,19 +119,19 @@ def weekly_feature_changes(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> Da
     t = star.dim_time.select("date_id", "date")
     latest = (
         by_country(star.fact, cfg.country).select("date_id").distinct()
-        .join(calendar_side(t), "date_id").agg(F.max("date")).scalar()
+        .join(star.calendar(t), "date_id").agg(F.max("date")).scalar()
     )
     prev = F.date_sub(latest, 7)
 
     entries = (
         by_country(star.fact, cfg.country)
         .select("track_id", "date_id")
-        .join(calendar_side(t.filter(F.col("date").isin(latest, prev))), "date_id")
+        .join(star.calendar(t.filter(F.col("date").isin(latest, prev))), "date_id")
         .join(star.dim_track.filter(F.col("valence").isNotNull()).select("track_id", *WEEKLY_FEATURES), "track_id")
         .select("date", "track_id", *WEEKLY_FEATURES)
     )
     weather_days = star.dim_weather.join(
-        calendar_side(t.filter(F.col("date").between(F.date_sub(latest, 13), latest))), "date_id"
+        star.calendar(t.filter(F.col("date").between(F.date_sub(latest, 13), latest))), "date_id"
     ).select("date", *[F.col(c).alias("w_" + m) for m, c in WEEKLY_WEATHER])
     both = entries.unionByName(weather_days, allowMissingColumns=True)
 
@@ -178,7 +178,7 @@ def audio_features_by_season(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) ->
     entries = (
         by_country(star.fact, cfg.country)
         .select("fact_id", "track_id", "date_id")
-        .join(calendar_side(star.dim_time.select("date_id", "season")), "date_id")
+        .join(star.calendar(star.dim_time.select("date_id", "season")), "date_id")
         .join(tracks, "track_id")
     )
     return (
@@ -201,12 +201,12 @@ def weekly_weather(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
         by_country(star.fact, cfg.country)
         .select("date_id")
         .distinct()
-        .join(calendar_side(star.dim_time.select("date_id", "date")), "date_id")
+        .join(star.calendar(star.dim_time.select("date_id", "date")), "date_id")
         .select(F.col("date").alias("chart_date"))
     )
-    days = star.dim_weather.join(calendar_side(star.dim_time.select("date_id", "date")), "date_id")
+    days = star.dim_weather.join(star.calendar(star.dim_time.select("date_id", "date")), "date_id")
     means = trailing_window(
-        days, charted, 7,
+        days, charted, 7, span_days=star.calendar_days, measures=
         {"avg_temperature": "temperature_avg", "avg_precipitation": "precipitation_mm", "avg_sunshine": "sunshine_hours"},
     )
     cat = sc.week_weather("avg_precipitation", "avg_sunshine", cfg.labels)
@@ -224,13 +224,13 @@ def audio_features_by_weather(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) ->
     weather (NULL rain / temperature count as 0).
     """
     weeks = weekly_weather(star, cfg).join(
-        calendar_side(star.dim_time.select("date_id", F.col("date").alias("chart_date"))), "chart_date"
+        star.calendar(star.dim_time.select("date_id", F.col("date").alias("chart_date"))), "chart_date"
     )
     tracks = star.dim_track.filter(F.col("danceability").isNotNull()).select("track_id", *SEASON_FEATURES)
     entries = (
         by_country(star.fact, cfg.country)
         .select("track_id", "date_id")
-        .join(calendar_side(weeks), "date_id")
+        .join(star.calendar(weeks), "date_id")
         .join(tracks, "track_id")
     )
     return (
@@ -255,7 +255,7 @@ def danceability_by_sunshine(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) ->
     tracks = star.dim_track.filter(F.col("danceability").isNotNull() & F.col("valence").isNotNull()).select(
         "track_id", "danceability", "valence"
     )
-    weather = calendar_side(star.dim_weather.select("weather_id", "sunshine_hours"))
+    weather = star.calendar(star.dim_weather.select("weather_id", "sunshine_hours"))
     entries = by_country(star.fact, cfg.country).select("fact_id", "track_id", "weather_id").join(weather, "weather_id").join(
         tracks, "track_id"
     )
@@ -280,7 +280,7 @@ def seasonal_streaming_trends(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) ->
     return (
         by_country(star.fact, cfg.country)
         .select("date_id", "stream_count")
-        .join(calendar_side(star.dim_time.select("date_id", "season", "month")), "date_id")
+        .join(star.calendar(star.dim_time.select("date_id", "season", "month")), "date_id")
         .groupBy("season", "month")
         .agg(F.sum("stream_count").alias("total_streams"))
         .orderBy("month")
@@ -293,7 +293,7 @@ def acoustic_vs_electronic(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> Da
     """Mean streams per (track type, same-day weather) (Q8); the NULL weather
     group is kept; HAVING count > ``cfg.acoustic_min_count``."""
     tracks = star.dim_track.filter(F.col("acousticness").isNotNull()).select("track_id", "acousticness")
-    weather = calendar_side(star.dim_weather.select("weather_id", "precipitation_mm", "sunshine_hours"))
+    weather = star.calendar(star.dim_weather.select("weather_id", "precipitation_mm", "sunshine_hours"))
     entries = by_country(star.fact, cfg.country).select("fact_id", "track_id", "weather_id", "stream_count").join(
         weather, "weather_id"
     ).join(tracks, "track_id")
@@ -321,7 +321,7 @@ def key_distribution(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFram
     entries = (
         by_country(star.fact, cfg.country)
         .select("fact_id", "track_id", "date_id")
-        .join(calendar_side(star.dim_time.select("date_id", "season")), "date_id")
+        .join(star.calendar(star.dim_time.select("date_id", "season")), "date_id")
         .join(tracks, "track_id")
     )
     return entries.groupBy("key_name", "season").agg(F.count("fact_id").alias("track_count"))
@@ -352,7 +352,7 @@ def period_comparison(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFra
     entries = (
         by_country(star.fact, cfg.country)
         .select("fact_id", "track_id", "date_id")
-        .join(calendar_side(period_flags(star, cfg)), "date_id")
+        .join(star.calendar(period_flags(star, cfg)), "date_id")
         .join(tracks, "track_id")
     )
     p, b = F.col("in_period"), F.col("in_baseline")
@@ -391,12 +391,12 @@ def trailing_weather(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFram
         by_country(star.fact, cfg.country)
         .select("date_id")
         .distinct()
-        .join(calendar_side(star.dim_time.select("date_id", "date")), "date_id")
+        .join(star.calendar(star.dim_time.select("date_id", "date")), "date_id")
         .select(F.col("date").alias("chart_date"))
     )
-    days = star.dim_weather.join(calendar_side(star.dim_time.select("date_id", "date")), "date_id")
+    days = star.dim_weather.join(star.calendar(star.dim_time.select("date_id", "date")), "date_id")
     return trailing_window(
-        days, charted, 7,
+        days, charted, 7, span_days=star.calendar_days, measures=
         {
             "avg_temperature": "temperature_avg",
             "avg_precipitation": "precipitation_mm",
@@ -416,13 +416,13 @@ def weekly_change_history(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> Dat
     per_date = (
         by_country(star.fact, cfg.country)
         .select("track_id", "date_id")
-        .join(calendar_side(star.dim_time.select("date_id", "date")), "date_id")
+        .join(star.calendar(star.dim_time.select("date_id", "date")), "date_id")
         .join(star.dim_track.filter(F.col("valence").isNotNull()).select("track_id", *WEEKLY_FEATURES), "track_id")
         .groupBy("date")
         .agg(*[F.avg(f).alias(f) for f in WEEKLY_FEATURES])
     )
     prev = per_date.select(F.date_add("date", 7).alias("date"), *[F.col(f).alias("p_" + f) for f in WEEKLY_FEATURES])
-    joined = per_date.join(calendar_side(prev), "date", "left")
+    joined = per_date.join(star.calendar(prev), "date", "left")
     long = joined.select(
         F.col("date").alias("chart_date"),
         _inline([

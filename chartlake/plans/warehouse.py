@@ -45,13 +45,24 @@ def read_dim_track(spark: SparkSession, root: str) -> DataFrame:
     return allv.filter(F.col("v") == latest).drop("v")
 
 
+def calendar_days(dim_time: DataFrame) -> int | None:
+    """Days spanned by a time dimension (min/max of one small column): the
+    size bound of every per-day table of the star."""
+    row = dim_time.agg(F.min("date").alias("lo"), F.max("date").alias("hi")).first()
+    if row is None or row["lo"] is None:
+        return None
+    return (row["hi"] - row["lo"]).days + 1
+
+
 def read_star(spark: SparkSession, root: str) -> Star:
     """The four tables with their declared schemas."""
+    dim_time = spark.read.schema(S.DIM_TIME).parquet(_p(root, "dim_time"))
     return Star(
-        dim_time=spark.read.schema(S.DIM_TIME).parquet(_p(root, "dim_time")),
+        dim_time=dim_time,
         dim_track=read_dim_track(spark, root),
         dim_weather=spark.read.schema(S.DIM_WEATHER).parquet(_p(root, "dim_weather")),
         fact=spark.read.schema(S.FACT_TRACK_CHART).parquet(_p(root, "fact_track_chart")),
+        calendar_days=calendar_days(dim_time),
     )
 
 
@@ -121,11 +132,15 @@ class Sources:
 def build_star(spark: SparkSession, src: Sources, cfg: C.LoadConfig = C.DEFAULT_LOAD,
                labels: C.Labels = C.Labels()) -> Star:
     """The four warehouse tables of a full load, as lazy DataFrames."""
-    dim_time = src.dim_time if src.dim_time is not None else ld.build_dim_time(spark, src.start, src.end, labels=labels)
-    dim_weather = ld.load_weather(ld.daily_weather(src.weather_readings), dim_time)
+    if src.dim_time is not None:
+        dim_time, span = src.dim_time, calendar_days(src.dim_time)
+    else:
+        dim_time = ld.build_dim_time(spark, src.start, src.end, labels=labels)
+        span = (src.end - src.start).days + 1
+    dim_weather = ld.load_weather(ld.daily_weather(src.weather_readings), dim_time, span)
     dim_track = ld.load_tracks(src.features, cfg)
-    fact = ld.load_facts(src.chart_entries, dim_time, dim_weather, cfg)
-    return Star(dim_time=dim_time, dim_track=dim_track, dim_weather=dim_weather, fact=fact)
+    fact = ld.load_facts(src.chart_entries, dim_time, dim_weather, cfg, span)
+    return Star(dim_time=dim_time, dim_track=dim_track, dim_weather=dim_weather, fact=fact, calendar_days=span)
 
 
 def write_star(star: Star, root: str) -> None:
@@ -191,7 +206,8 @@ def refresh_warehouse(spark: SparkSession, root: str, landing: Landing, today,
     # 2. weather for dates without weather
     if landing.weather_readings is not None:
         daily = ld.daily_weather(landing.weather_readings)
-        new = ld.load_weather(daily, star.dim_time).join(star.dim_weather.select("date_id"), "date_id", "left_anti")
+        new = ld.load_weather(daily, star.dim_time, star.calendar_days).join(
+            star.dim_weather.select("date_id"), "date_id", "left_anti")
         append_table(new, root, "dim_weather")
         star = read_star(spark, root)
     # 3. charts: placeholder tracks for unknown ids, then new facts
@@ -201,7 +217,8 @@ def refresh_warehouse(spark: SparkSession, root: str, landing: Landing, today,
         # new ids only: appended to the current version, no rewrite
         write_dim_track_version(placeholders, root, current_track_version(spark, root))
         star = read_star(spark, root)
-        append_table(ld.new_chart_facts(entries, star.dim_time, star.dim_weather, star.fact, cfg), root, "fact_track_chart")
+        append_table(ld.new_chart_facts(entries, star.dim_time, star.dim_weather, star.fact, cfg, star.calendar_days),
+                     root, "fact_track_chart")
         star = read_star(spark, root)
     # 4. features for tracks without them
     if landing.features is not None:

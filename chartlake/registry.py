@@ -246,7 +246,7 @@ def _fact(spark, sf):
 def _fact_partial(spark, sf):
     fx = TD.load_fixture(spark, sf)
     cal_2000 = fx.dim_time.filter(F.col("date") < F.lit(PARTIAL_CALENDAR_END).cast("date"))
-    return LD.load_facts(fx.chart_raw, cal_2000, fx.dim_weather)
+    return LD.load_facts(fx.chart_raw, cal_2000, fx.dim_weather, span_days=fx.star.calendar_days)
 
 
 @register("fact_load_skipped", O.FACT_LOAD_SKIPPED)
@@ -254,7 +254,7 @@ def _fact_skipped(spark, sf):
     fx = TD.load_fixture(spark, sf)
     cal_2000 = fx.dim_time.filter(F.col("date") < F.lit(PARTIAL_CALENDAR_END).cast("date"))
     rows = fx.chart_raw.select("chart_date")
-    return LD.skipped_dates(rows, cal_2000, "chart_date").agg(F.count(F.lit(1)).alias("skipped"))
+    return LD.skipped_dates(rows, cal_2000, "chart_date", fx.star.calendar_days).agg(F.count(F.lit(1)).alias("skipped"))
 
 
 def _tracks_before_cutoff(fx) -> DataFrame:
@@ -293,7 +293,8 @@ def _placeholders(spark, sf):
 def _incr_load(spark, sf):
     fx = TD.load_fixture(spark, sf)
     existing = fx.fact.filter(F.col("date_id") < INCREMENTAL_CUTOFF_ID)
-    return LD.new_chart_facts(_chart_entries(fx), fx.dim_time, fx.dim_weather, existing)
+    return LD.new_chart_facts(_chart_entries(fx), fx.dim_time, fx.dim_weather, existing,
+                              span_days=fx.star.calendar_days)
 
 
 @register("track_feature_merge", O.TRACK_FEATURE_MERGE)
@@ -650,4 +651,4 @@ def _relink(spark, sf):
     stale = fx.fact.withColumn(
         "weather_id", F.when(F.col("date_id") >= 20010101, F.lit(None).cast("int")).otherwise(F.col("weather_id"))
     )
-    return LD.relink_weather(stale, fx.dim_weather)
+    return LD.relink_weather(stale, fx.dim_weather, fx.star.calendar_days)

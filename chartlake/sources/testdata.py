@@ -93,6 +93,15 @@ def ship_bounds(lineitem: DataFrame) -> DataFrame:
     )
 
 
+def calendar_span(bounds: DataFrame) -> int | None:
+    """Days covered by the fixture calendar, read from the one-row bounds
+    table (metadata for the broadcast decision, not data)."""
+    row = bounds.first()
+    if row is None or row["first_ship"] is None:
+        return None
+    return (row["last_ship"] - row["first_ship"]).days + 1 + TAIL_DAYS
+
+
 def fixture_dim_time(bounds: DataFrame, labels: C.Labels = C.Labels()) -> DataFrame:
     """Every day from the first ship date to the last one plus the tail."""
     rng = bounds.select(F.col("first_ship").alias("start"), F.date_add("last_ship", TAIL_DAYS).alias("end"))
@@ -250,12 +259,14 @@ def load_fixture(
     # weather and fact tables derive from them cheaply (per-day tables and
     # joins of small tables), so they stay lazy.
     bounds = keep(ship_bounds(lineitem))
+    span = calendar_span(bounds)
     dim_time = fixture_dim_time(bounds, labels)
     weather_raw = fixture_weather_raw(bounds, nation)
-    dim_weather = ld.load_weather(ld.daily_weather(weather_readings(weather_raw)), dim_time)
+    dim_weather = ld.load_weather(ld.daily_weather(weather_readings(weather_raw)), dim_time, span)
     chart_raw = keep(rank_charts(chart_totals(lineitem), top_n))
-    fact = ld.load_facts(chart_raw, dim_time, dim_weather)
-    star = Star(dim_time=dim_time, dim_track=fixture_dim_track(part), dim_weather=dim_weather, fact=fact)
+    fact = ld.load_facts(chart_raw, dim_time, dim_weather, span_days=span)
+    star = Star(dim_time=dim_time, dim_track=fixture_dim_track(part), dim_weather=dim_weather, fact=fact,
+                calendar_days=span)
     return Fixture(
         star=star,
         chart_raw=chart_raw,

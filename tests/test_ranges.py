@@ -68,3 +68,26 @@ def test_remaining_dates(spark):
     landed = spark.createDataFrame([(D(2024, 1, 14),)], "chart_date date")
     got = sorted(r.chart_date for r in inc.remaining_dates(avail, landed, D(2024, 1, 1), D(2024, 2, 3)).collect())
     assert got == [D(2024, 1, 7)]
+
+
+def test_calendar_side_broadcast_only_within_budget(spark):
+    from chartlake.operators.dims import CALENDAR_ROW_BUDGET, calendar_side
+
+    df = spark.range(10).withColumnRenamed("id", "k")
+    hinted = calendar_side(df, 3650)._jdf.queryExecution().analyzed().toString()
+    plain = calendar_side(df, CALENDAR_ROW_BUDGET + 1)._jdf.queryExecution().analyzed().toString()
+    assert "broadcast" in hinted.lower() and "broadcast" not in plain.lower()
+
+
+def test_mart_without_broadcast_gives_same_rows(spark):
+    import dataclasses
+
+    from chartlake.plans import marts as M
+    from chartlake.sources import testdata as TD
+    from conftest import SF_SMALL
+
+    star = TD.load_fixture(spark, SF_SMALL).star
+    wide = dataclasses.replace(star, calendar_days=10**6)  # forces the shuffle-join path
+    a = sorted(tuple(r) for r in M.audio_features_by_weather(star, TD.MART).collect())
+    b = sorted(tuple(r) for r in M.audio_features_by_weather(wide, TD.MART).collect())
+    assert len(a) == len(b) and all(x[0] == y[0] and abs(x[1] - y[1]) < 1e-9 for x, y in zip(a, b))
