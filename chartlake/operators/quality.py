@@ -19,19 +19,20 @@ def _count(df: DataFrame) -> Column:
 
 
 def table_counts(star: Star) -> dict[str, Column]:
-    fact_counts = star.fact.agg(
-        F.count(F.lit(1)).alias("n"), F.count("weather_id").alias("with_weather")
-    )
-    track_counts = star.dim_track.agg(
-        F.count(F.lit(1)).alias("n"), F.count("danceability").alias("with_features")
-    )
+    """Row counts as scalar sub-queries: one aggregate (one scan) per table."""
+    facts = star.fact.agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.count("weather_id").alias("with_weather"))
+    ).scalar()
+    tracks = star.dim_track.agg(
+        F.struct(F.count(F.lit(1)).alias("n"), F.count("danceability").alias("with_features"))
+    ).scalar()
     return {
         "time_rows": _count(star.dim_time),
         "weather_rows": _count(star.dim_weather),
-        "track_rows": track_counts.select("n").scalar(),
-        "tracks_with_features": track_counts.select("with_features").scalar(),
-        "fact_rows": fact_counts.select("n").scalar(),
-        "facts_with_weather": fact_counts.select("with_weather").scalar(),
+        "track_rows": tracks.getField("n"),
+        "tracks_with_features": tracks.getField("with_features"),
+        "fact_rows": facts.getField("n"),
+        "facts_with_weather": facts.getField("with_weather"),
     }
 
 
@@ -86,8 +87,10 @@ def load_summary(star: Star) -> DataFrame:
 
 def staging_summary(charts: DataFrame, features: DataFrame) -> DataFrame:
     """Staged chart rows, date range, distinct songs and staged feature rows."""
-    n_features = features.agg(F.count(F.lit(1))).scalar()
-    n_feature_songs = features.agg(F.count_distinct("song_uuid")).scalar()
+    feats = features.agg(
+        F.struct(F.count(F.lit(1)).alias("rows"), F.count_distinct("song_uuid").alias("songs"))
+    ).scalar()
+    n_features, n_feature_songs = feats.getField("rows"), feats.getField("songs")
     return charts.agg(
         F.count(F.lit(1)).alias("chart_rows"),
         F.min(F.col("chart_date").cast("date")).alias("first_chart_date"),
