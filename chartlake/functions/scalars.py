@@ -159,9 +159,14 @@ def thousands_label(x) -> Column:
     return F.concat((as_col(x).cast("double") / 1e3).cast("long").cast("string"), F.lit("K"))
 
 
+def ratio(part, whole) -> Column:
+    """part / whole as double, NULL when whole is 0 or NULL."""
+    return F.try_divide(as_col(part).cast("double"), as_col(whole).cast("double"))
+
+
 def percent_of(part, whole) -> Column:
     """part / whole * 100, NULL when whole is 0 or NULL (SC-20)."""
-    return F.try_divide(as_col(part).cast("double"), as_col(whole).cast("double")) * 100.0
+    return ratio(part, whole) * 100.0
 
 
 def change_pct(current, previous) -> Column:
@@ -170,8 +175,9 @@ def change_pct(current, previous) -> Column:
     return F.when(F.coalesce(prev, F.lit(0.0)) == 0, F.lit(0.0)).otherwise((cur - prev) / prev * 100.0)
 
 
-def trend_label(change, threshold: float, labels: C.Labels = C.Labels()) -> Column:
-    """|d| < threshold -> flat, d > 0 -> up, else down (SC-22)."""
+def trend_label(change, threshold, labels: C.Labels = C.Labels()) -> Column:
+    """|d| < threshold -> flat, d > 0 -> up, else down (SC-22); the threshold
+    may be a number or a Column (per-row thresholds)."""
     d = as_col(change)
     return F.when(F.abs(d) < threshold, F.lit(labels.flat)).when(d > 0, F.lit(labels.up)).when(
         d.isNotNull(), F.lit(labels.down)

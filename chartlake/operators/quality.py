@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartlake import config as C
+from chartlake.functions import scalars as sc
 from chartlake.operators.dims import Star
 
 
@@ -40,8 +41,8 @@ def dq_report(star: Star, expected_days: Column | int) -> DataFrame:
     """Rules table (rule, severity, actual, threshold, passed)."""
     c = table_counts(star)
     exp = expected_days if isinstance(expected_days, Column) else F.lit(expected_days)
-    coverage = F.try_divide(c["tracks_with_features"].cast("double"), c["track_rows"].cast("double"))
-    linkage = F.try_divide(c["facts_with_weather"].cast("double"), c["fact_rows"].cast("double"))
+    coverage = sc.ratio(c["tracks_with_features"], c["track_rows"])
+    linkage = sc.ratio(c["facts_with_weather"], c["fact_rows"])
 
     def rule(name: str, severity: str, actual: Column, threshold: Column, passed: Column) -> Column:
         return F.struct(
@@ -78,10 +79,10 @@ def load_summary(star: Star) -> DataFrame:
     return star.dim_time.sparkSession.range(1).select(
         c["track_rows"].alias("tracks"),
         c["tracks_with_features"].alias("tracks_with_features"),
-        (F.try_divide(c["tracks_with_features"].cast("double"), c["track_rows"].cast("double")) * 100).alias("feature_pct"),
+        sc.percent_of(c["tracks_with_features"], c["track_rows"]).alias("feature_pct"),
         c["fact_rows"].alias("facts"),
         c["facts_with_weather"].alias("facts_with_weather"),
-        (F.try_divide(c["facts_with_weather"].cast("double"), c["fact_rows"].cast("double")) * 100).alias("weather_pct"),
+        sc.percent_of(c["facts_with_weather"], c["fact_rows"]).alias("weather_pct"),
     )
 
 

@@ -37,13 +37,8 @@ def weekly_trend_labels(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataF
         F.lit(C.FEATURE_TREND_THRESHOLD)
     )
     d = F.col("change")
-    label = (
-        F.when(F.abs(d) < thr, F.lit(cfg.labels.flat))
-        .when(d > 0, F.lit(cfg.labels.up))
-        .when(d.isNotNull(), F.lit(cfg.labels.down))
-    )
     return w.select("metric_kind", "metric", "current", "previous", "change", "change_pct",
-                    F.abs(d).alias("abs_change"), label.alias("trend"))
+                    F.abs(d).alias("abs_change"), sc.trend_label(d, thr, cfg.labels).alias("trend"))
 
 
 def season_series(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:

@@ -58,7 +58,7 @@ def kpis(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
     span = charted_dates.agg(F.struct(F.min("date").alias("lo"), F.max("date").alias("hi"))).scalar()
     first_date, last_date = span.getField("lo"), span.getField("hi")
     agg = joined.agg(
-        F.coalesce(F.sum("streams"), F.lit(0)).cast("long").alias("total_streams"),
+        sc.zero_if_null(F.sum("streams")).cast("long").alias("total_streams"),
         F.count(F.lit(1)).alias("unique_tracks"),
         F.count(F.when(F.col("danceability").isNotNull(), F.lit(1))).alias("tracks_with_features"),
     )
@@ -66,7 +66,7 @@ def kpis(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
         "total_streams",
         sc.compact_count("total_streams").alias("total_streams_label"),
         "unique_tracks",
-        F.coalesce(avg_temp, F.lit(0.0)).alias("avg_temp"),
+        sc.zero_if_null(avg_temp).cast("double").alias("avg_temp"),
         "tracks_with_features",
         F.when(F.col("unique_tracks") > 0, F.col("tracks_with_features") / F.col("unique_tracks") * 100.0)
         .otherwise(F.lit(0.0))
