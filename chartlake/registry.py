@@ -122,6 +122,12 @@ def _sunshine(spark, sf):
     return M.danceability_by_sunshine(_star(spark, sf), MART_DE)
 
 
+@register("danceability_by_sunshine_null_bucket", O.danceability_by_sunshine("de", 20, "no data"))
+def _sunshine_null(spark, sf):
+    cfg = C.MartConfig(country="de", periods=TD.PERIODS, baseline=TD.BASELINE, null_sunshine_bucket="no data")
+    return M.danceability_by_sunshine(_star(spark, sf), cfg)
+
+
 @register("seasonal_streaming_trends", O.seasonal_streaming_trends(None))
 def _trends(spark, sf):
     return M.seasonal_streaming_trends(_star(spark, sf), MART_ALL)
@@ -137,9 +143,10 @@ def _acoustic(spark, sf):
     return M.acoustic_vs_electronic(_star(spark, sf), MART_ALL)
 
 
-@register("acoustic_vs_electronic_min2400", O.acoustic_vs_electronic(None, 2400))
-def _acoustic_2400(spark, sf):
-    cfg = C.MartConfig(country=None, acoustic_min_count=2400)
+@register("acoustic_vs_electronic_min3200", O.acoustic_vs_electronic(None, 3200))
+def _acoustic_3200(spark, sf):
+    # at sf0.01 this limit drops the acoustic/rain and electronic/rain groups
+    cfg = C.MartConfig(country=None, acoustic_min_count=3200)
     return M.acoustic_vs_electronic(_star(spark, sf), cfg)
 
 

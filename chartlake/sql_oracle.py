@@ -313,9 +313,10 @@ GROUP BY c.weather_category
 """)
 
 
-def danceability_by_sunshine(country: str | None = "de", min_count: int = 20) -> str:
+def danceability_by_sunshine(country: str | None = "de", min_count: int = 20, null_bucket: str | None = None) -> str:
+    null_case = f"WHEN w.sunshine_hours IS NULL THEN '{null_bucket}'" if null_bucket else ""
     return with_fixture(f"""
-SELECT CASE WHEN w.sunshine_hours = 0 THEN '0h'
+SELECT CASE {null_case} WHEN w.sunshine_hours = 0 THEN '0h'
             WHEN w.sunshine_hours < 4 THEN '1-4h'
             WHEN w.sunshine_hours < 8 THEN '4-8h'
             WHEN w.sunshine_hours < 12 THEN '8-12h'
