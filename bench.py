@@ -49,7 +49,11 @@ def timed(fn, repeats: int = REPEATS) -> float:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16, app="chartlake-bench")
+    # BENCH_EVENT_LOG_DIR: write Spark's event log there (stage / task timings, no UI needed)
+    log_dir = os.environ.get("BENCH_EVENT_LOG_DIR")
+    extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": log_dir} if log_dir else None
+    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2 if cpus.isdigit() else 16,
+                          app="chartlake-bench", extra_conf=extra)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 
