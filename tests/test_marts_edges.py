@@ -112,3 +112,18 @@ def test_kpis_country_scope(spark, small):
     assert de.total_streams == 600 and de.unique_tracks == 3 and de.tracks_with_features == 2
     assert de.first_chart_date == SUN1 and de.last_chart_date == SUN3  # range ignores the country
     assert de.total_streams_label == "0.0K"
+
+
+def test_empty_star_gives_empty_marts_and_zero_kpis(spark):
+    s = star(spark, [("a", dict(danceability=0.5, valence=0.5, energy=0.5, acousticness=0.5, key=1, mode=1))],
+             [], [])
+    k = M.kpis(s, C.MartConfig(country="de")).first()
+    assert (k.total_streams, k.unique_tracks, k.feature_coverage_pct, k.avg_temp) == (0, 0, 0.0, 0.0)
+    assert k.first_chart_date is None and k.date_range == "N/A" and k.total_streams_label == "0.0K"
+    cfg = C.MartConfig(country=None)
+    for mart in (M.current_top_tracks, M.weekly_feature_changes, M.audio_features_by_season,
+                 M.audio_features_by_weather, M.danceability_by_sunshine, M.seasonal_streaming_trends,
+                 M.acoustic_vs_electronic, M.key_distribution, M.weekly_change_history, M.trailing_weather):
+        assert mart(s, cfg).count() == 0, mart.__name__
+    p = M.period_comparison(s, cfg).collect()
+    assert len(p) == 3 and all(r.period_avg is None and r.period_sample == 0 for r in p)
