@@ -88,6 +88,12 @@ def ordered_backlog(backlog: DataFrame) -> DataFrame:
     return backlog.orderBy(*backlog_order())
 
 
+def backlog_head(backlog: DataFrame, n: int) -> DataFrame:
+    """The first ``n`` songs of the ordered backlog: one fetch run's request
+    budget (SO-8).  Plans as a top-k (TakeOrderedAndProject), no full sort."""
+    return ordered_backlog(backlog).limit(n)
+
+
 def backlog_batches(backlog: DataFrame, size: int = C.FEATURE_BATCH_SONGS) -> DataFrame:
     """Numbered fetch batches of ``size`` songs in backlog order (LD-15)."""
     return batches(backlog, backlog_order(), size)

@@ -352,6 +352,12 @@ def _batches(spark, sf):
     )
 
 
+@register("feature_backlog_head", O.FEATURE_BACKLOG_HEAD)
+def _backlog_head(spark, sf):
+    fx = TD.load_fixture(spark, sf)
+    return INC.backlog_head(INC.feature_backlog(fx.chart_raw, fx.features_staged), C.FEATURE_BATCH_SONGS)
+
+
 @register("remaining_dates", O.REMAINING_DATES)
 def _remaining(spark, sf):
     fx = TD.load_fixture(spark, sf)

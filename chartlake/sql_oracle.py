@@ -599,6 +599,10 @@ _BACKLOG = """, backlog AS (
 
 FEATURE_BACKLOG = with_fixture(_BACKLOG + "SELECT * FROM backlog")
 
+FEATURE_BACKLOG_HEAD = with_fixture(_BACKLOG + """
+SELECT * FROM backlog ORDER BY latest_chart_date DESC, best_position, song_uuid LIMIT 50
+""")
+
 BACKLOG_BATCHES = with_fixture(_BACKLOG + """
 , numbered AS (
   SELECT song_uuid, row_number() OVER (ORDER BY latest_chart_date DESC, best_position, song_uuid) - 1 AS pos
