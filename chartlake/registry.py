@@ -264,7 +264,7 @@ def _fact_skipped(spark, sf):
     return LD.skipped_dates(rows, cal_2000, "chart_date", fx.star.calendar_days).agg(F.count(F.lit(1)).alias("skipped"))
 
 
-def _tracks_before_cutoff(fx) -> DataFrame:
+def _initial_load_tracks(fx) -> DataFrame:
     """Track dimension of an initial load that covered the first half year:
     the tracks charted before ``KNOWN_BEFORE``."""
     first_load = F.col("chart_date") < F.lit(KNOWN_BEFORE).cast("date")
@@ -292,7 +292,7 @@ def _chart_entries(fx) -> DataFrame:
 @register("placeholder_tracks", O.PLACEHOLDER_TRACKS)
 def _placeholders(spark, sf):
     fx = TD.load_fixture(spark, sf)
-    known = _tracks_before_cutoff(fx)
+    known = _initial_load_tracks(fx)
     return LD.placeholder_tracks(_chart_entries(fx), known)
 
 
@@ -597,7 +597,7 @@ def _warehouse_refresh(spark, sf):
     fx = TD.load_fixture(spark, sf)
     root = ST.shared_path(spark, "warehouse")
     last_ship = fx.bounds.select("last_ship").scalar()
-    known = _tracks_before_cutoff(fx)
+    known = _initial_load_tracks(fx)
     WH.write_star(
         TD.Star(
             dim_time=fx.dim_time.filter(F.col("date") <= last_ship),
@@ -641,14 +641,14 @@ def _stream(spark, sf):
 @register("new_tracks", O.NEW_TRACKS)
 def _new_tracks(spark, sf):
     fx = TD.load_fixture(spark, sf)
-    known = _tracks_before_cutoff(fx)
+    known = _initial_load_tracks(fx)
     return LD.new_track_ids(fx.chart_raw, known)
 
 
 @register("known_tracks", O.KNOWN_TRACKS)
 def _known_tracks(spark, sf):
     fx = TD.load_fixture(spark, sf)
-    known = _tracks_before_cutoff(fx)
+    known = _initial_load_tracks(fx)
     return LD.known_track_ids(fx.chart_raw, known)
 
 
