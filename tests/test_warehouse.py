@@ -85,3 +85,11 @@ def test_stream_replay_with_lost_checkpoint_loads_nothing_twice(spark):
     expected = fx.fact.filter(early | (F.col("chart_position") % 50 != 0)).count()
     assert fact.count() == expected
     assert fact.select("fact_id").distinct().count() == expected
+
+
+def test_read_star_reports_calendar_span(spark):
+    fx = TD.load_fixture(spark, SF_SMALL)
+    root = ST.shared_path(spark, "test_span")
+    WH.write_star(fx.star, root)
+    star = WH.read_star(spark, root)
+    assert star.calendar_days == fx.star.calendar_days == fx.dim_time.count()
