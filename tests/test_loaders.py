@@ -164,3 +164,16 @@ def test_first_per_key_hot_key_is_map_side_combined(spark):
     assert len(rows) == 6001 and rows["hot"] == (2999, "v2999")
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan  # combined before the shuffle
+
+
+def test_relink_weather_idempotent_and_keeps_existing(spark):
+    t = dim_time(spark, D(2024, 1, 1), D(2024, 1, 10))
+    w = weather(spark, [(D(2024, 1, 7), 1.0, 1.0, 1.0, 1.0)])
+    charts = spark.createDataFrame([(D(2024, 1, 7), "a", 10, 1), (D(2024, 1, 8), "b", 5, 2)],
+                                   "chart_date date, song_uuid string, streams long, position int")
+    facts = ld.load_facts(charts, t, spark.createDataFrame([], S.DIM_WEATHER))
+    assert [r.weather_id for r in facts.orderBy("track_id").collect()] == [None, None]
+    once = ld.relink_weather(facts, w)
+    twice = ld.relink_weather(once, w)
+    got = sorted((r.track_id, r.weather_id) for r in twice.collect())
+    assert got == [("a", 20240107), ("b", None)] == sorted((r.track_id, r.weather_id) for r in once.collect())

@@ -91,3 +91,20 @@ def test_mart_without_broadcast_gives_same_rows(spark):
     a = sorted(tuple(r) for r in M.audio_features_by_weather(star, TD.MART).collect())
     b = sorted(tuple(r) for r in M.audio_features_by_weather(wide, TD.MART).collect())
     assert len(a) == len(b) and all(x[0] == y[0] and abs(x[1] - y[1]) < 1e-9 for x, y in zip(a, b))
+
+
+def test_incremental_plan_up_to_date(spark):
+    from chartlake import schemas as S
+    from chartlake.operators.dims import Star
+    from tiny import dim_time, tracks, weather
+
+    t = dim_time(spark, D(2024, 1, 1), D(2024, 1, 7))
+    wx = weather(spark, [(D(2024, 1, 1) + dt.timedelta(days=i), 1.0, 1.0, 1.0, 1.0) for i in range(7)])
+    fact = spark.createDataFrame([(20240107001, "a", 20240107, 20240107, "de", 1, 1)], S.FACT_TRACK_CHART)
+    star = Star(dim_time=t, dim_track=tracks(spark, [("a", dict(danceability=0.5))]), dim_weather=wx, fact=fact)
+    r = inc.incremental_plan(star).first()
+    assert (r.missing_weather_dates, r.missing_chart_sundays, r.missing_features, r.up_to_date) == (0, 0, 0, True)
+    star2 = Star(dim_time=dim_time(spark, D(2024, 1, 1), D(2024, 1, 21)), dim_track=star.dim_track,
+                 dim_weather=wx, fact=fact)
+    r2 = inc.incremental_plan(star2).first()
+    assert (r2.missing_weather_dates, r2.missing_chart_sundays, r2.up_to_date) == (14, 2, False)
