@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 from chartlake.llm.common import BLANKS, col, fresh, text_or_empty
 from chartlake.session import cut_lineage
 
-#: Mean digests of a part (about 4 MB of slots).
-PART_KEYS = 1 << 16
+#: Mean digests of a part (about 250 KB of slots); parts grow in number with the history, not in size.
+PART_KEYS = 1 << 12
 #: Bits per key in each level of the hash.
 GAMMA = 2.0
 SLOT = np.dtype([("digest", "V32"), ("id", "<i8"), ("has_id", "?"), ("cp", "<i8"), ("n", "<i8")])
