@@ -84,28 +84,31 @@ def _arc_record(version: int, page_id: int | None, url: str | None, payload: byt
     return f"{_field(url or '')} 0.0.0.0 {ARC_DATE} text/html {middle}{len(block)}\n".encode("utf-8", "surrogatepass") + block + b"\n"
 
 
-def pages_to_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(content binary): archives of about ``ARCHIVE_BYTES``, of both versions in turn."""
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def archive(made: list[bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([b"".join(made)], pa.binary())], names=["content"])
 
-    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def archive(made: list[bytes]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([b"".join(made)], pa.binary())], names=["content"])
+    version, made, size = 1, [], 0
+    for batch in batches:
+        for page_id, url, html in zip(*batch.columns, strict=True):
+            if not made:
+                made, size = [_version_block(version)], 0
+            made.append(_arc_record(version, page_id.as_py(), url.as_py(), (html.as_py() or "").encode("utf-8", "surrogatepass")))
+            size += len(made[-1])
+            if size >= ARCHIVE_BYTES:
+                yield archive(made)
+                version, made = 3 - version, []
+    if made:
+        yield archive(made)
 
-        version, made, size = 1, [], 0
-        for batch in batches:
-            for page_id, url, html in zip(*batch.columns, strict=True):
-                if not made:
-                    made, size = [_version_block(version)], 0
-                made.append(_arc_record(version, page_id.as_py(), url.as_py(), (html.as_py() or "").encode("utf-8", "surrogatepass")))
-                size += len(made[-1])
-                if size >= ARCHIVE_BYTES:
-                    yield archive(made)
-                    version, made = 3 - version, []
-        if made:
-            yield archive(made)
 
-    chosen = pages.select(col(id_col).cast("long").alias("page_id"), col(url_col).cast("string").alias("url"), col(html_col).cast("string").alias("html"))
-    return chosen.mapInArrow(pack, "content binary")
+def _chosen(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
+    return pages.select(col(id_col).cast("long").alias("page_id"), col(url_col).cast("string").alias("url"), col(html_col).cast("string").alias("html"))
+
+
+def pages_to_arc(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """(content binary): archives of about ``ARCHIVE_BYTES``, of both versions in turn."""
+    return _chosen(pages, id_col, url_col, html_col).mapInArrow(_pack, "content binary")
 
 
 def parse_arc(data: bytes) -> Iterator[dict]:
@@ -142,27 +145,35 @@ def parse_arc(data: bytes) -> Iterator[dict]:
                "payload_digest": digest_of(payload)}
 
 
+_RECORD = pa.schema([(a, {"long": pa.int64(), "int": pa.int32()}.get(b, pa.string())) for a, b in (x.split() for x in RECORD.split(", "))])
+
+
+def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for value in batch.column(0):
+            data = value.as_py() or b""
+            if data[:2] == b"\x1f\x8b":
+                data = gunzip(data)
+            rows, size = [], 0
+            for record in parse_arc(data):
+                rows.append(record)
+                size += record["payload_bytes"]
+                if size > ARCHIVE_BYTES:
+                    yield pa.RecordBatch.from_pylist(rows, schema=_RECORD)
+                    rows, size = [], 0
+            if rows:
+                yield pa.RecordBatch.from_pylist(rows, schema=_RECORD)
+
+
 def read_arc(archives: DataFrame, content_col: str = "content") -> DataFrame:
     """The records of ARC archives given as binary values, gzipped or not."""
-    schema = pa.schema([(a, {"long": pa.int64(), "int": pa.int32()}.get(b, pa.string())) for a, b in (x.split() for x in RECORD.split(", "))])
+    return archives.select(col(content_col)).mapInArrow(_unpack, RECORD)
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for value in batch.column(0):
-                data = value.as_py() or b""
-                if data[:2] == b"\x1f\x8b":
-                    data = gunzip(data)
-                rows, size = [], 0
-                for record in parse_arc(data):
-                    rows.append(record)
-                    size += record["payload_bytes"]
-                    if size > ARCHIVE_BYTES:
-                        yield pa.RecordBatch.from_pylist(rows, schema=schema)
-                        rows, size = [], 0
-                if rows:
-                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
 
-    return archives.select(col(content_col)).mapInArrow(parse, RECORD)
+def records_of(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``read_arc(pages_to_arc(pages))`` in one Python worker a task: the
+    archives are written and parsed there and never leave it."""
+    return _chosen(pages, id_col, url_col, html_col).mapInArrow(lambda batches: _unpack(_pack(batches)), RECORD)
 
 
 def gunzip(data: bytes) -> bytes:
@@ -211,9 +222,11 @@ def to_warc(records: DataFrame, min_bytes: int = 0) -> DataFrame:
     return joined.withColumn("body", body).select("page_id", F.concat(F.concat_ws("\r\n", *lines), F.lit("\r\n\r\n"), F.col("body")).alias("warc"))
 
 
-def write_warc(warc: DataFrame, folder: str, parts: int) -> None:
-    """Gzip archives, about even in size: records are dealt by hash of their text."""
-    warc.select("warc").repartition(parts, F.xxhash64("warc")).write.option("lineSep", "\r\n\r\n").option("compression", "gzip").text(folder)
+def write_warc(warc: DataFrame, folder: str, records_per_file: int) -> None:
+    """Gzip archives as the partitions come, cut by number of records, so that a
+    file stays small enough to be read as one value."""
+    warc.select("warc").write.option("lineSep", "\r\n\r\n").option("compression", "gzip") \
+        .option("maxRecordsPerFile", records_per_file).text(folder)
 
 
 def parse_warc(data: bytes) -> Iterator[tuple[dict, bytes]]:
@@ -260,7 +273,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
 def convert(pages: DataFrame, min_bytes: int = 0) -> tuple[DataFrame, str]:
     """Pages through ARC archives into WARC archives and back: (records read back, folder)."""
     spark = pages.sparkSession
-    size = pages.agg(F.sum(F.octet_length(F.coalesce("html", F.lit(""))).cast("long") + 600)).first()[0] or 0
+    size = pages.select(F.octet_length(F.coalesce("html", F.lit(""))).cast("long").alias("n")).agg(F.avg("n")).first()[0] or 0
     folder = shared_folder(spark, "warc")
-    write_warc(to_warc(read_arc(pages_to_arc(pages)), min_bytes), folder, max(1, -(-size // (2 * ARCHIVE_BYTES))))
+    write_warc(to_warc(records_of(pages), min_bytes), folder, max(1, int(2 * ARCHIVE_BYTES / (size + 600))))
     return read_warc(spark, folder), folder
