@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartlake.llm.common import BLANKS, col, fresh, text_or_empty
+from chartlake.llm.common import BLANKS, col, fresh, partitions, text_or_empty
 from chartlake.session import cut_lineage
 
 #: Mean digests of a part (about 250 KB of slots); parts grow in number with the history, not in size.
@@ -237,7 +237,7 @@ def groups_of(rows: DataFrame, batches: int = 2) -> DataFrame:
     batches by hash of the id; each is looked up in the history of those before."""
     held = None
     distinct = rows.select("digest").distinct().count()
-    parts = max(1, math.ceil(distinct / PART_KEYS))
+    parts = max(partitions(rows.sparkSession), math.ceil(distinct / PART_KEYS))
     for b in range(batches):
         own = best(rows.where(F.pmod(F.xxhash64("id", "cp"), F.lit(batches)) == b))
         held = own if held is None else add_batch(build_history(held, parts), own, parts)
