@@ -80,8 +80,8 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
 
     Alternating large-star and small-star steps: each is one aggregation by
     node and one join on it, so nothing passes through the driver but a count
-    and a checksum.  Hub nodes meet a one-row side, so the adaptive skew join
-    may split them.  Self edges are allowed, an empty input gives no rows.
+    and a checksum.  The smallest neighbours are written before the join, so both of
+    its sides are plain exchanges and the adaptive skew join may split a hub.  Self edges are allowed, an empty input gives no rows.
     """
     def pairs(df: DataFrame) -> DataFrame:
         return df.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
@@ -96,10 +96,11 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     while before[0]:
         # large star: the larger neighbours of each node move to the smallest of its neighbourhood
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        low = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
+        low = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         e = pairs(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         # small star: each node and its smaller neighbours move to the smallest of them
-        low = e.groupBy("a").agg(F.min("b").alias("m"))
+        e = cut_lineage(e)
+        low = cut_lineage(e.groupBy("a").agg(F.min("b").alias("m")))
         moved = e.join(low, "a")
         e = cut_lineage(pairs(moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))))
         now = mark(e)

@@ -228,6 +228,7 @@ def candidate_groups(nodes: DataFrame) -> DataFrame:
         F.xxhash64(F.lit(b), F.substring("sig", 4 * BAND * b + 1, 4 * BAND)) for b in range(BANDS)])).alias("bucket")
     members = nodes.select("node", bands)
     heads = members.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("bucket", "head")
+    heads = cut_lineage(heads)  # written, so that the skew join may split a hot bucket of the members
     ties = members.join(heads, "bucket").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     return components(cut_lineage(ties)).select("node", F.col("root").alias("grp"))
 
@@ -268,7 +269,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     placed = described.join(linked, "node", "left") \
         .select("id", "n", F.coalesce("root", "node").alias("class"), F.col("sig").isNotNull().alias("full"))
     full = placed.where("full")
-    best = full.groupBy("class").agg(F.min("id").alias("component_id"))
+    best = cut_lineage(full.groupBy("class").agg(F.min("id").alias("component_id")))
     out = full.join(best, "class").select("id", "n", "component_id") \
         .unionByName(placed.where("not full").select("id", "n", F.col("id").alias("component_id")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), "component_id",
