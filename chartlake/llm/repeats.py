@@ -344,6 +344,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     place = F.xxhash64("t1", "t2", "pos")
     shared = initial.groupBy("h").agg(F.min(place).alias("p1"), F.max(place).alias("p2"), F.max("w").alias("w2"), F.count(F.lit(1)).alias("n")) \
         .where("p1 != p2 or w2 > 1").select("h", (F.col("n") > hot).alias("hot"))
+    shared = cut_lineage(shared)  # written, so that the skew join may split a hot bucket
     left = cut_lineage(initial.join(shared, "h").groupBy("t1", "t2", "hot").agg(F.collect_set(F.struct("pos", "h", "w")).alias("at")))
     copies = cut_lineage(initial.where("first").groupBy("t1", "t2").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("t1", "t2"))
     remove_folder(spark, folder)
