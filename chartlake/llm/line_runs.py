@@ -23,7 +23,8 @@ from collections import defaultdict
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartlake.llm.common import BLANKS, LOWER, UPPER, col, content_key, fresh, partitions, remove_folder, shared_folder, text_or_empty
+from chartlake.llm.common import BLANKS, LOWER, UPPER, col, content_key, fresh, remove_folder, shared_folder, text_or_empty
+from chartlake.session import cut_lineage
 
 
 def lines_of(text: Column) -> Column:
@@ -120,6 +121,7 @@ def drop_lines(docs: DataFrame, frequent: DataFrame, text_col: str = "text") ->
         .where(F.length("key") > 0).select("t1", "t2", "at", h1.alias("h1"), h2.alias("h2")) \
         .join(frequent, ["h1", "h2"], "left_semi") \
         .groupBy("t1", "t2").agg(F.collect_set("at").alias("found"))
+    found = cut_lineage(found)  # written, so that the skew join may split the rows of a text with many copies
     joined = keyed.join(found, (col(t1) == F.col("t1")) & (col(t2) == F.col("t2")), "left")
     keep = F.filter(lines_of(text), lambda _, i: ~F.array_contains(col(drops), i))
     return joined.withColumn(drops, F.coalesce(F.col("found"), F.array().cast("array<int>"))) \
