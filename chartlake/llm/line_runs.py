@@ -112,7 +112,7 @@ def drop_lines(docs: DataFrame, frequent: DataFrame, text_col: str = "text") ->
     Only hashes and positions of lines are shuffled to meet the runs; the texts
     are shuffled once, by 128 bits of their content, to meet their positions.
     Equal texts have equal positions, so nothing depends on an id."""
-    drops, kept, t1, t2 = fresh(docs, "line_drops", "line_kept", "text_h1", "text_h2")
+    drops, kept, t1, t2, f1, f2, at = fresh(docs, "line_drops", "line_kept", "text_h1", "text_h2", "found_h1", "found_h2", "found_at")
     text = text_or_empty(text_col)
     k1, k2 = content_key(text)
     keyed = docs.withColumn(t1, k1).withColumn(t2, k2)
@@ -122,8 +122,8 @@ def drop_lines(docs: DataFrame, frequent: DataFrame, text_col: str = "text") ->
         .join(frequent, ["h1", "h2"], "left_semi") \
         .groupBy("t1", "t2").agg(F.collect_set("at").alias("found"))
     found = cut_lineage(found)  # written, so that the skew join may split the rows of a text with many copies
-    joined = keyed.join(found, (col(t1) == F.col("t1")) & (col(t2) == F.col("t2")), "left")
+    joined = keyed.join(found.toDF(f1, f2, at), (col(t1) == col(f1)) & (col(t2) == col(f2)), "left")
     keep = F.filter(lines_of(text), lambda _, i: ~F.array_contains(col(drops), i))
-    return joined.withColumn(drops, F.coalesce(F.col("found"), F.array().cast("array<int>"))) \
+    return joined.withColumn(drops, F.coalesce(col(at), F.array().cast("array<int>"))) \
         .select(*[col(c) for c in docs.columns], col(drops)) \
         .withColumn(kept, F.when(F.size(col(drops)) == 0, text).otherwise(F.array_join(keep, "\n")))

@@ -332,7 +332,7 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
     if length % 16:
         raise ValueError("length must be a multiple of 16")
     spark = docs.sparkSession
-    t1, t2, found, result = fresh(docs, "text_h1", "text_h2", "found", "repeats")
+    t1, t2, f1, f2, found, result = fresh(docs, "text_h1", "text_h2", "found_h1", "found_h2", "found", "repeats")
     k1, k2 = content_key(text_or_empty(text_col))
     keyed = docs.withColumn(t1, k1).withColumn(t2, k2)
 
@@ -351,8 +351,8 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
 
     # surroundings: the texts meet their positions by content, sorted, so that equal texts follow each other
     def surroundings(positions: DataFrame) -> DataFrame:
-        chosen = positions.select(F.col("t1").alias("l1"), F.col("t2").alias("l2"), F.col("at").alias(found)).hint("merge")
-        joined = keyed.join(chosen, (col(t1) == F.col("l1")) & (col(t2) == F.col("l2"))).sortWithinPartitions(t1, t2)
+        chosen = positions.select(F.col("t1").alias(f1), F.col("t2").alias(f2), F.col("at").alias(found)).hint("merge")
+        joined = keyed.join(chosen, (col(t1) == col(f1)) & (col(t2) == col(f2))).sortWithinPartitions(t1, t2)
         at = joined.columns.index
         return joined.mapInArrow(_surroundings(length, at(text_col), at(t1), at(t2), at(found)), PLACES)
 
@@ -363,9 +363,9 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
         twice = strings.groupBy("name").agg(F.min(place).alias("p1"), F.max(place).alias("p2")).where("p1 != p2").select("name")
         runs = runs.unionByName(strings.join(twice, "name", "left_semi").select("t1", "t2", F.col("pos").alias("a"), (F.col("pos") + length).alias("b")))
     runs = runs.unionByName(copies.select("t1", "t2", F.lit(0).alias("a"), F.lit(ALL).alias("b")))
-    per_text = runs.groupBy(F.col("t1").alias("r1"), F.col("t2").alias("r2")).agg(F.collect_list(F.struct("a", "b")).alias(found)).hint("merge")
+    per_text = runs.groupBy(F.col("t1").alias(f1), F.col("t2").alias(f2)).agg(F.collect_list(F.struct("a", "b")).alias(found)).hint("merge")
 
-    joined = keyed.join(per_text, (col(t1) == F.col("r1")) & (col(t2) == F.col("r2")), "left").select(*[col(c) for c in keyed.columns], col(found))
+    joined = keyed.join(per_text, (col(t1) == col(f1)) & (col(t2) == col(f2)), "left").select(*[col(c) for c in keyed.columns], col(found))
     added = T.StructType.fromDDL("n_bytes long, spans array<array<long>>, kept binary")
     names = fresh(docs, "n_bytes", "spans", "kept")
     schema = T.StructType([*keyed.schema.fields, *[T.StructField(n, f.dataType) for n, f in zip(names, added.fields, strict=True)]])
