@@ -91,12 +91,9 @@ class MartConfig:
     sunshine_min_count: int = 20
     acoustic_min_count: int = 10
     # Closed date ranges of the event periods and the baseline range.
-    periods: tuple[tuple[_dt.date, _dt.date], ...] = (
-        (_dt.date(1995, 3, 22), _dt.date(1995, 5, 31)),
-        (_dt.date(1995, 11, 2), _dt.date(1996, 5, 31)),
-        (_dt.date(1996, 12, 2), _dt.date(1997, 3, 31)),
-    )
-    baseline: tuple[_dt.date, _dt.date] = (_dt.date(2000, 1, 1), _dt.date(2000, 12, 31))
+    # No default: the period comparison needs both and says so.
+    periods: tuple[tuple[_dt.date, _dt.date], ...] = ()
+    baseline: tuple[_dt.date, _dt.date] | None = None
     labels: Labels = field(default_factory=Labels)
     # Reference parity: NULL sunshine falls in the last bucket.  Set to a label
     # to give NULL sunshine its own bucket instead.
@@ -112,7 +109,8 @@ class LoadConfig:
     top_n: int = TOP_N
     chart_batch_weeks: int = CHART_BATCH_WEEKS
     feature_batch_songs: int = FEATURE_BATCH_SONGS
-    missing_feature_cap: int = MISSING_FEATURE_CAP
+    # One fetch run's budget; None: all missing features.
+    missing_feature_cap: int | None = None
 
 
 DEFAULT_MART = MartConfig()

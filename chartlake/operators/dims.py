@@ -1,12 +1,11 @@
 """Join helpers for the star schema.
 
-Size rule: ``dim_time`` and ``dim_weather`` hold at most one row per calendar
-day (``date`` is unique in the time dimension, the weather loader keeps one
-row per date), so their size is bounded by the calendar span, not by the
-data volume: ~365 rows a year, a few dozen bytes each.  Those two are
-broadcast explicitly, after checking the span against a row budget.
-``dim_track`` grows with the data and is never hinted: the static planner or
-AQE picks broadcast or shuffle join from measured sizes.
+Size rule: tables with one row per calendar day (``dim_time``, whose ``date``
+is unique, and aggregates by date) are bounded by the calendar span, not by
+the data volume: ~365 rows a year, a few dozen bytes each.  They are broadcast
+explicitly, after checking the span against a row budget.  ``dim_weather``
+(nothing makes its rows unique per date) and ``dim_track`` are never hinted:
+the static planner or AQE picks broadcast or shuffle join from measured sizes.
 """
 
 from __future__ import annotations
@@ -56,10 +55,10 @@ def calendar_side(df: DataFrame, span_days: int | None = None) -> DataFrame:
     ``span_days`` is the number of days the calendar covers (an upper bound of
     the table's rows).  Within :data:`CALENDAR_ROW_BUDGET` the table is
     broadcast; above it the join is left to the planner (sort-merge or
-    shuffle-hash, AQE may still convert it).  ``None`` means the caller built
-    the table itself from a bounded range (hand-made frames in tests).
+    shuffle-hash, AQE may still convert it), and so it is when the span is
+    unknown (``None``).
     """
-    if span_days is not None and span_days > CALENDAR_ROW_BUDGET:
+    if span_days is None or span_days > CALENDAR_ROW_BUDGET:
         return df
     return F.broadcast(df)
 

@@ -44,10 +44,11 @@ def missing_weather_dates(star: Star) -> DataFrame:
     return star.dim_time.filter(F.col("date") > latest_weather_date(star)).select("date")
 
 
-def missing_features(dim_track: DataFrame, cap: int = C.MISSING_FEATURE_CAP) -> DataFrame:
-    """Tracks without audio features (NULL danceability), first ``cap`` by id
-    (LD-9).  The cap is the operator's feature: one fetch run's budget."""
-    return dim_track.filter(F.col("danceability").isNull()).select("track_id").orderBy("track_id").limit(cap)
+def missing_features(dim_track: DataFrame, cap: int | None = None) -> DataFrame:
+    """Tracks without audio features (NULL danceability), by id (LD-9); with
+    ``cap``, one fetch run's budget, only the first ones."""
+    missing = dim_track.filter(F.col("danceability").isNull()).select("track_id").orderBy("track_id")
+    return missing if cap is None else missing.limit(cap)
 
 
 def weather_gap_ranges(star: Star) -> DataFrame:
@@ -126,11 +127,11 @@ def landed_dates(staged_charts: DataFrame | None) -> DataFrame | None:
     return staged_charts.select(F.col("chart_date").cast("date").alias("chart_date")).distinct()
 
 
-def incremental_plan(star: Star, cap: int = C.MISSING_FEATURE_CAP) -> DataFrame:
-    """What the next incremental run would fetch (LD-14), one row."""
+def incremental_plan(star: Star) -> DataFrame:
+    """What is still missing (LD-14), one row; a fetch run's cap does not enter the counts."""
     n_weather = missing_weather_dates(star).agg(F.count(F.lit(1))).scalar()
     n_sundays = missing_chart_sundays(star).agg(F.count(F.lit(1))).scalar()
-    n_features = missing_features(star.dim_track, cap).agg(F.count(F.lit(1))).scalar()
+    n_features = star.dim_track.agg(F.count_if(F.col("danceability").isNull())).scalar()
     one = star.dim_time.sparkSession.range(1)
     return one.select(
         n_weather.alias("missing_weather_dates"),

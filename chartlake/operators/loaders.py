@@ -19,10 +19,6 @@ from chartlake.functions import calendar as cal
 from chartlake.functions import scalars as sc
 from chartlake.operators.dims import calendar_side, one_weather_per_date
 
-# Country slots of the fact key: fact_id = date_id * 1000 + slot + position.
-# Positions stay below 500, so two slots fit one date.
-COUNTRY_SLOTS = {"de": 0, "at": 500}
-
 
 # --- time dimension ---------------------------------------------------------
 
@@ -116,22 +112,19 @@ def track_columns(features: DataFrame, default_name: str = C.DEFAULT_LOAD.defaul
     ]
 
 
-def load_tracks(features: DataFrame, cfg: C.LoadConfig = C.DEFAULT_LOAD) -> DataFrame:
-    """Track dimension rows from staged features (LD-2).  Rows without a song
-    id are dropped (FL-11)."""
-    return features.filter(F.col("song_uuid").isNotNull()).select(*track_columns(features, cfg.default_name))
+def load_tracks(features: DataFrame, cfg: C.LoadConfig = C.DEFAULT_LOAD, order_col: str | None = None) -> DataFrame:
+    """Track dimension rows from staged features (LD-2), one per song (see
+    :func:`latest_staged`).  Rows without a song id are dropped (FL-11)."""
+    one = latest_staged(features, order_col)
+    return one.select(*track_columns(one, cfg.default_name))
 
 
 # --- facts ------------------------------------------------------------------------
 
-def fact_key(date_id, country, position) -> Column:
-    """Deterministic bigint fact key; the int form would overflow under ANSI."""
-    c = cal.as_col(country)
-    expr = None
-    for name, off in COUNTRY_SLOTS.items():
-        expr = F.when(c == name, F.lit(off)) if expr is None else expr.when(c == name, F.lit(off))
-    slot = expr.otherwise(F.lit(0))
-    return cal.as_col(date_id).cast("long") * 1000 + slot + cal.as_col(position).cast("long")
+def fact_key(date_id, country, track_id) -> Column:
+    """Deterministic fact key: the grain (date, country, track) as text, null-safe."""
+    parts = [F.coalesce(cal.as_col(c).cast("string"), F.lit("")) for c in (date_id, country, track_id)]
+    return F.concat_ws("|", *parts)
 
 
 def load_facts(
@@ -159,7 +152,7 @@ def load_facts(
     keyed = rows.join(calendar_side(dim_time.select("date", "date_id"), span_days), "date", "inner")
     linked = keyed.join(calendar_side(one_weather_per_date(dim_weather), span_days), "date_id", "left")
     return linked.select(
-        fact_key("date_id", "country", "chart_position").alias("fact_id"),
+        fact_key("date_id", "country", "track_id").alias("fact_id"),
         "track_id",
         "date_id",
         "weather_id",
@@ -240,28 +233,26 @@ def new_chart_facts(
 ) -> DataFrame:
     """Facts of chart entries not loaded yet (LD-4, idempotent by fact_id).
 
-    Entries repeated inside the batch (a replayed page) collapse to one fact.
-    The existing facts are first cut to the dates being loaded (a per-day key
+    Entries repeated inside the batch (a replayed page, a track at two
+    positions) collapse to one fact, the best position.  The existing facts are first cut to the dates being loaded (a per-day key
     set, broadcast), so the key anti-join touches only those weeks, not the
     whole fact table.
     """
-    facts = first_per_key(load_facts(entries, dim_time, dim_weather, cfg, span_days), "fact_id", [])
+    facts = load_facts(entries, dim_time, dim_weather, cfg, span_days)
     dates = calendar_side(facts.select("date_id").distinct(), span_days)
     touched = existing_fact.select("fact_id", "date_id").join(dates, "date_id", "left_semi")
-    return facts.join(touched.select("fact_id"), "fact_id", "left_anti")
+    new = facts.join(touched.select("fact_id"), "fact_id", "left_anti")
+    order = [F.coalesce(F.col("chart_position"), F.lit(2**31 - 1)), -F.coalesce(F.col("stream_count"), F.lit(0))]
+    return first_per_key(new, "fact_id", order)
 
 
 # --- feature merge (LD-5) -----------------------------------------------------------
 
 def latest_staged(staged: DataFrame, order_col: str | None = None) -> DataFrame:
-    """One staged row per song: the last one by ``order_col`` wins.
-
-    Without an order column the staged rows must already be one per song
-    (the staging dedupe guarantees it).
-    """
-    if order_col is None:
-        return staged
-    return first_per_key(staged, "song_uuid", [F.col(order_col)], last=True)
+    """One staged row per song: the last one by ``order_col`` wins; without an
+    order column, or where it ties, the greatest row by its columns in order."""
+    order = [F.col(order_col)] if order_col else []
+    return first_per_key(staged.filter(F.col("song_uuid").isNotNull()), "song_uuid", order, last=True)
 
 
 def merge_track_features(dim_track: DataFrame, staged: DataFrame, order_col: str | None = None) -> DataFrame:

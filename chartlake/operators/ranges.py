@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartlake.operators.dims import calendar_side
+from chartlake.session import cut_lineage
 
 
 def trailing_window(
@@ -43,26 +44,26 @@ def trailing_window(
 def ordered_index(df: DataFrame, order: list[Column], num_partitions: int | None = None, name: str = "idx") -> DataFrame:
     """Add a 0-based position in a total order without a single-task window.
 
-    The frame is range-partitioned on the order, rows are numbered inside each
-    partition (a window partitioned by the partition id), and every partition
-    is shifted by the row count of the partitions before it (a table of one
-    row per partition, broadcast).  Same result as a global ``row_number``,
-    but the numbering work is spread over all tasks.
+    The frame is range-partitioned and sorted on the order once and written
+    with a (partition, row) number, so everything after it sees the same
+    boundaries.  Every partition is shifted by the row count of the partitions
+    before it (a table of one row per partition, broadcast).  Same result as a
+    global ``row_number``, but the work is spread over all tasks.
     """
-    n = num_partitions or df.sparkSession.sparkContext.defaultParallelism
-    ranged = df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id())
-    w = Window.partitionBy("_pid").orderBy(*order)
-    numbered = ranged.withColumn("_rn", F.row_number().over(w))
-    sizes = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = df.repartitionByRange(num_partitions, *order) if num_partitions else df.repartitionByRange(*order)
+    # monotonically_increasing_id: partition number above bit 33, row number below
+    placed = cut_lineage(ranged.sortWithinPartitions(*order).withColumn("_at", F.monotonically_increasing_id()))
+    placed = placed.withColumn("_pid", F.shiftright("_at", 33)).withColumn("_rn", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    sizes = placed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(
         "_pid",
         (F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1))).alias("_off"),
     )
     # one row per partition: bounded by the partition count
     return (
-        numbered.join(F.broadcast(offsets), "_pid")
-        .withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn") - 1).cast("long"))
-        .drop("_pid", "_rn", "_off")
+        placed.join(F.broadcast(offsets), "_pid")
+        .withColumn(name, (F.coalesce(F.col("_off"), F.lit(0)) + F.col("_rn")).cast("long"))
+        .drop("_pid", "_rn", "_off", "_at")
     )
 
 

@@ -5,6 +5,10 @@ date") stay inside the plan as ``DataFrame.scalar()`` sub-queries, which
 Spark runs once and pushes into the scans as runtime filters; the
 "one query per chart date" loops become joins; "the same query with another
 constant" becomes conditional aggregation over a single scan.
+
+Marts that look up the tracks of facts first reduce the facts to one row per
+track and group (map-side combined), so a hit song reaches the track join as a
+few rows, and then take means weighted by the number of entries.
 """
 
 from __future__ import annotations
@@ -37,6 +41,12 @@ def latest_chart_date_id(star: Star, country: str | None) -> Column:
     return dated.agg(F.max("date_id")).scalar()
 
 
+def weighted_mean(value, n) -> Column:
+    """Mean of ``value`` over rows that stand for ``n`` entries each; NULL values do not count."""
+    v, n = cal.as_col(value), cal.as_col(n)
+    return F.try_divide(F.sum(v * n), F.sum(F.when(v.isNotNull(), n)).cast("double"))
+
+
 # --- Q1 ---------------------------------------------------------------------------
 
 def kpis(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
@@ -123,20 +133,28 @@ def weekly_feature_changes(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> Da
     )
     prev = F.date_sub(latest, 7)
 
+    # the two weeks as flags of the calendar days, worked out once on the small side
+    d = F.col("date")
+    days = t.withColumn("latest", latest).filter(d.between(F.date_sub("latest", 13), F.col("latest"))).select(
+        "date_id",
+        (d == F.col("latest")).alias("cur"),
+        (d == F.date_sub("latest", 7)).alias("was"),
+        (d >= F.date_sub("latest", 6)).alias("wcur"),
+        (d <= F.date_sub("latest", 7)).alias("wprev"),
+    )
     entries = (
         by_country(star.fact, cfg.country)
         .select("track_id", "date_id")
-        .join(star.calendar(t.filter(F.col("date").isin(latest, prev))), "date_id")
+        .join(star.calendar(days.filter("cur or was").select("date_id", "cur", "was")), "date_id")
         .join(star.dim_track.filter(F.col("valence").isNotNull()).select("track_id", *WEEKLY_FEATURES), "track_id")
-        .select("date", "track_id", *WEEKLY_FEATURES)
+        .select("cur", "was", "track_id", *WEEKLY_FEATURES)
+    )
+    weather_days = star.dim_weather.join(star.calendar(days.select("date_id", "wcur", "wprev")), "date_id").select(
+        "wcur", "wprev", *[F.col(c).alias("w_" + m) for m, c in WEEKLY_WEATHER]
     )
-    weather_days = star.dim_weather.join(
-        star.calendar(t.filter(F.col("date").between(F.date_sub(latest, 13), latest))), "date_id"
-    ).select("date", *[F.col(c).alias("w_" + m) for m, c in WEEKLY_WEATHER])
     both = entries.unionByName(weather_days, allowMissingColumns=True)
 
-    cur, was = F.col("date") == latest, F.col("date") == prev
-    wcur, wprev = F.col("date") >= F.date_sub(latest, 6), F.col("date") <= prev
+    cur, was, wcur, wprev = F.col("cur"), F.col("was"), F.col("wcur"), F.col("wprev")
     wide = both.agg(
         F.count_distinct("track_id").alias("unique_songs"),
         *[F.avg(F.when(cur, F.col(f))).alias("c_" + f) for f in WEEKLY_FEATURES],
@@ -175,18 +193,20 @@ def weekly_feature_changes(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> Da
 def audio_features_by_season(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
     """Mean audio features per season over chart entries (Q4)."""
     tracks = star.dim_track.filter(F.col("danceability").isNotNull()).select("track_id", *SEASON_FEATURES)
-    entries = (
+    per_track = (
         by_country(star.fact, cfg.country)
-        .select("fact_id", "track_id", "date_id")
+        .select("track_id", "date_id")
         .join(star.calendar(star.dim_time.select("date_id", "season")), "date_id")
-        .join(tracks, "track_id")
+        .groupBy("track_id", "season")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
     return (
-        entries.groupBy("season")
+        per_track.join(tracks, "track_id")
+        .groupBy("season")
         .agg(
-            *[F.avg(f).alias(f) for f in SEASON_FEATURES],
-            F.count("fact_id").alias("chart_entries"),
-            F.count_distinct("track_id").alias("unique_tracks"),
+            *[weighted_mean(f, "n").alias(f) for f in SEASON_FEATURES],
+            F.sum("n").alias("chart_entries"),
+            F.count(F.lit(1)).alias("unique_tracks"),
         )
         .orderBy(cal.season_rank("season", cfg.labels))
     )
@@ -227,21 +247,28 @@ def audio_features_by_weather(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) ->
         star.calendar(star.dim_time.select("date_id", F.col("date").alias("chart_date"))), "chart_date"
     )
     tracks = star.dim_track.filter(F.col("danceability").isNotNull()).select("track_id", *SEASON_FEATURES)
-    entries = (
+    per_track = (
         by_country(star.fact, cfg.country)
         .select("track_id", "date_id")
         .join(star.calendar(weeks), "date_id")
-        .join(tracks, "track_id")
+        .groupBy("track_id", "weather_category")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.sum("avg_sunshine").alias("sunshine"),
+            F.sum(F.coalesce("avg_precipitation", F.lit(0.0))).alias("precipitation"),
+            F.sum(F.coalesce("avg_temperature", F.lit(0.0))).alias("temperature"),
+        )
     )
     return (
-        entries.groupBy("weather_category")
+        per_track.join(tracks, "track_id")
+        .groupBy("weather_category")
         .agg(
-            F.avg("avg_sunshine").alias("avg_sunshine"),
-            F.avg(F.coalesce("avg_precipitation", F.lit(0.0))).alias("avg_precipitation"),
-            F.avg(F.coalesce("avg_temperature", F.lit(0.0))).alias("avg_temperature"),
-            *[F.avg(f).alias(f) for f in SEASON_FEATURES],
-            F.count(F.lit(1)).alias("chart_entries"),
-            F.count_distinct("track_id").alias("unique_tracks"),
+            (F.sum("sunshine") / F.sum("n")).alias("avg_sunshine"),
+            (F.sum("precipitation") / F.sum("n")).alias("avg_precipitation"),
+            (F.sum("temperature") / F.sum("n")).alias("avg_temperature"),
+            *[weighted_mean(f, "n").alias(f) for f in SEASON_FEATURES],
+            F.sum("n").alias("chart_entries"),
+            F.count(F.lit(1)).alias("unique_tracks"),
         )
         .orderBy(sc.label_rank("weather_category", cfg.labels.week_weather_order))
     )
@@ -255,18 +282,23 @@ def danceability_by_sunshine(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) ->
     tracks = star.dim_track.filter(F.col("danceability").isNotNull() & F.col("valence").isNotNull()).select(
         "track_id", "danceability", "valence"
     )
-    weather = star.calendar(star.dim_weather.select("weather_id", "sunshine_hours"))
-    entries = by_country(star.fact, cfg.country).select("fact_id", "track_id", "weather_id").join(weather, "weather_id").join(
-        tracks, "track_id"
-    )
+    weather = star.dim_weather.select("weather_id", "sunshine_hours")
     bucket = sc.sunshine_bucket("sunshine_hours", cfg.labels, cfg.null_sunshine_bucket)
+    per_track = (
+        by_country(star.fact, cfg.country)
+        .select("track_id", "weather_id")
+        .join(weather, "weather_id")
+        .groupBy("track_id", bucket.alias("bucket"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("sunshine_hours").alias("hours"), F.count("sunshine_hours").alias("n_hours"))
+    )
     return (
-        entries.groupBy(bucket.alias("sunshine_hours"))
+        per_track.join(tracks, "track_id")
+        .groupBy(F.col("bucket").alias("sunshine_hours"))
         .agg(
-            F.avg("sunshine_hours").alias("exact_sunshine"),
-            F.avg("danceability").alias("avg_danceability"),
-            F.avg("valence").alias("avg_valence"),
-            F.count("fact_id").alias("_n"),
+            F.try_divide(F.sum("hours"), F.sum("n_hours").cast("double")).alias("exact_sunshine"),
+            weighted_mean("danceability", "n").alias("avg_danceability"),
+            weighted_mean("valence", "n").alias("avg_valence"),
+            F.sum("n").alias("_n"),
         )
         .filter(F.col("_n") > cfg.sunshine_min_count)
         .drop("_n")
@@ -293,16 +325,18 @@ def acoustic_vs_electronic(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> Da
     """Mean streams per (track type, same-day weather) (Q8); the NULL weather
     group is kept; HAVING count > ``cfg.acoustic_min_count``."""
     tracks = star.dim_track.filter(F.col("acousticness").isNotNull()).select("track_id", "acousticness")
-    weather = star.calendar(star.dim_weather.select("weather_id", "precipitation_mm", "sunshine_hours"))
-    entries = by_country(star.fact, cfg.country).select("fact_id", "track_id", "weather_id", "stream_count").join(
-        weather, "weather_id"
-    ).join(tracks, "track_id")
+    weather = star.dim_weather.select("weather_id", "precipitation_mm", "sunshine_hours")
+    per_track = (
+        by_country(star.fact, cfg.country)
+        .select("track_id", "weather_id", "stream_count")
+        .join(weather, "weather_id")
+        .groupBy("track_id", sc.day_weather("precipitation_mm", "sunshine_hours", cfg.labels).alias("weather"))
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("stream_count").alias("streams"), F.count("stream_count").alias("n_streams"))
+    )
     return (
-        entries.groupBy(
-            sc.acoustic_type("acousticness", cfg.labels).alias("track_type"),
-            sc.day_weather("precipitation_mm", "sunshine_hours", cfg.labels).alias("weather"),
-        )
-        .agg(F.avg("stream_count").alias("avg_streams"), F.count("fact_id").alias("sample_size"))
+        per_track.join(tracks, "track_id")
+        .groupBy(sc.acoustic_type("acousticness", cfg.labels).alias("track_type"), "weather")
+        .agg(F.try_divide(F.sum("streams").cast("double"), F.sum("n_streams").cast("double")).alias("avg_streams"), F.sum("n").alias("sample_size"))
         .filter(F.col("sample_size") > cfg.acoustic_min_count)
     )
 
@@ -318,13 +352,14 @@ def key_distribution(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFram
     tracks = star.dim_track.filter(
         F.col("key").isNotNull() & F.col("mode").isNotNull() & F.col("key").between(0, 11)
     ).select("track_id", sc.note_name("key", "mode").alias("key_name"))
-    entries = (
+    per_track = (
         by_country(star.fact, cfg.country)
-        .select("fact_id", "track_id", "date_id")
+        .select("track_id", "date_id")
         .join(star.calendar(star.dim_time.select("date_id", "season")), "date_id")
-        .join(tracks, "track_id")
+        .groupBy("track_id", "season")
+        .agg(F.count(F.lit(1)).alias("n"))
     )
-    return entries.groupBy("key_name", "season").agg(F.count("fact_id").alias("track_count"))
+    return per_track.join(tracks, "track_id").groupBy("key_name", "season").agg(F.sum("n").alias("track_count"))
 
 
 # --- Q10 --------------------------------------------------------------------------
@@ -333,6 +368,8 @@ def period_flags(star: Star, cfg: C.MartConfig) -> DataFrame:
     """Time rows inside any event period or the baseline, with flags.
 
     Overlapping periods count once (an OR of closed ranges)."""
+    if not cfg.periods or cfg.baseline is None:
+        raise ValueError("the period comparison needs MartConfig.periods and MartConfig.baseline")
     d = F.col("date")
     in_period = F.lit(False)
     for a, b in cfg.periods:
@@ -349,18 +386,18 @@ def period_comparison(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFra
     tracks = star.dim_track.filter(
         F.col("valence").isNotNull() & F.col("energy").isNotNull() & F.col("danceability").isNotNull()
     ).select("track_id", *[c for _, c in PERIOD_FEATURES])
-    entries = (
+    per_track = (
         by_country(star.fact, cfg.country)
-        .select("fact_id", "track_id", "date_id")
+        .select("track_id", "date_id")
         .join(star.calendar(period_flags(star, cfg)), "date_id")
-        .join(tracks, "track_id")
-    )
-    p, b = F.col("in_period"), F.col("in_baseline")
-    wide = entries.agg(
-        *[F.avg(F.when(p, F.col(c))).alias("p_" + c) for _, c in PERIOD_FEATURES],
-        *[F.avg(F.when(b, F.col(c))).alias("b_" + c) for _, c in PERIOD_FEATURES],
-        F.count(F.when(p, F.col("fact_id"))).alias("period_sample"),
-        F.count(F.when(b, F.col("fact_id"))).alias("baseline_sample"),
+        .groupBy("track_id")
+        .agg(F.count_if("in_period").alias("n_period"), F.count_if("in_baseline").alias("n_baseline"))
+    )
+    wide = per_track.join(tracks, "track_id").agg(
+        *[weighted_mean(c, "n_period").alias("p_" + c) for _, c in PERIOD_FEATURES],
+        *[weighted_mean(c, "n_baseline").alias("b_" + c) for _, c in PERIOD_FEATURES],
+        F.coalesce(F.sum("n_period"), F.lit(0)).alias("period_sample"),
+        F.coalesce(F.sum("n_baseline"), F.lit(0)).alias("baseline_sample"),
     )
     long = wide.select(
         "period_sample",

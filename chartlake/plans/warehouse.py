@@ -4,10 +4,11 @@ Layout under ``root``: ``dim_time``, ``dim_weather`` and ``fact_track_chart``
 are append-only (every append is one atomic job; appends are made
 idempotent by anti-joins on the deterministic keys).  ``dim_track`` is
 updated in place by the feature merge, so it is versioned: every merge
-writes ``dim_track/v=<n+1>`` and readers take the highest version (a scalar
-sub-query on the partition column, pruned before the scan).  A path is never
-overwritten while it is being read.  The fact table is partitioned by
-country, the filter every mart applies.
+writes ``dim_track/v=<n+1>`` and readers take the highest complete version,
+found by listing folders.  A path is never overwritten while it is being read;
+the version before the current one stays for readers that still use it, older
+ones are deleted.  The fact table is partitioned by country, the filter every
+mart applies.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chartlake import config as C
 from chartlake import schemas as S
@@ -32,17 +32,24 @@ def _p(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-# dim_track plus its version column (a copy: StructType.add mutates).
-VERSIONED_TRACK = T.StructType(list(S.DIM_TRACK.fields) + [T.StructField("v", T.LongType(), True)])
+# --- read / write ------------------------------------------------------------------
 
+def track_versions(spark: SparkSession, root: str) -> list[int]:
+    """Complete versions of the track dimension, in order."""
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(_p(root, "dim_track"))
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in fs.listStatus(base)] if fs.exists(base) else []
+    return sorted(int(p.getName()[2:]) for p in found if p.getName().startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def _version_path(root: str, version: int) -> str:
+    return f"{_p(root, 'dim_track')}/v={version}"
 
-# --- read / write ------------------------------------------------------------------
 
 def read_dim_track(spark: SparkSession, root: str) -> DataFrame:
     """Current version of the track dimension."""
-    allv = spark.read.schema(VERSIONED_TRACK).parquet(_p(root, "dim_track"))
-    latest = allv.select(F.max("v")).scalar()
-    return allv.filter(F.col("v") == latest).drop("v")
+    return spark.read.schema(S.DIM_TRACK).parquet(_version_path(root, current_track_version(spark, root)))
 
 
 def calendar_days(dim_time: DataFrame) -> int | None:
@@ -87,23 +94,22 @@ def append_table(df: DataFrame, root: str, name: str) -> None:
         out.write.mode("append").parquet(_p(root, name))
 
 
-def write_dim_track_version(df: DataFrame, root: str, version) -> None:
-    """Append a complete track dimension as partition ``v=version`` (an int or
-    a scalar Column)."""
-    v = version if not isinstance(version, int) else F.lit(version)
-    out = _conform(df, S.DIM_TRACK).withColumn("v", v.cast("long"))
-    out.write.mode("append").partitionBy("v").parquet(_p(root, "dim_track"))
+def write_dim_track_version(df: DataFrame, root: str, version: int, append: bool = False) -> None:
+    """Write a complete track dimension as ``version``, or append new tracks to it."""
+    _conform(df, S.DIM_TRACK).write.mode("append" if append else "overwrite").parquet(_version_path(root, version))
 
 
-def current_track_version(spark: SparkSession, root: str):
-    """Scalar sub-query: highest written version."""
-    allv = spark.read.schema(VERSIONED_TRACK).parquet(_p(root, "dim_track"))
-    return allv.select(F.coalesce(F.max("v"), F.lit(-1))).scalar()
+def current_track_version(spark: SparkSession, root: str) -> int:
+    """Highest complete version."""
+    return track_versions(spark, root)[-1]
 
 
-def next_track_version(spark: SparkSession, root: str):
-    """Scalar sub-query: highest written version + 1."""
-    return current_track_version(spark, root) + 1
+def prune_track_versions(spark: SparkSession, root: str, keep: int = 2) -> None:
+    """Delete all versions but the last ``keep``."""
+    jvm = spark.sparkContext._jvm
+    for v in track_versions(spark, root)[:-keep]:
+        path = jvm.org.apache.hadoop.fs.Path(_version_path(root, v))
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def create_warehouse(spark: SparkSession, root: str) -> list[str]:
@@ -160,14 +166,32 @@ def write_star(star: Star, root: str) -> None:
     append_table(star.fact, root, "fact_track_chart")
 
 
+def load_star(spark: SparkSession, src: Sources, root: str, cfg: C.LoadConfig = C.DEFAULT_LOAD) -> None:
+    """Write a full load into ``root``, row by key: every append leaves out the
+    keys that are there already, so a load that is run again adds nothing."""
+    create_warehouse(spark, root)
+    star, old = build_star(spark, src, cfg), read_star(spark, root)
+    append_table(star.dim_time.join(old.dim_time.select("date_id"), "date_id", "left_anti"), root, "dim_time")
+    append_table(star.dim_weather.join(old.dim_weather.select("date_id"), "date_id", "left_anti"), root, "dim_weather")
+    tracks = star.dim_track.join(old.dim_track.select("track_id"), "track_id", "left_anti")
+    write_dim_track_version(tracks, root, current_track_version(spark, root), append=True)
+    written = read_star(spark, root)
+    facts = ld.new_chart_facts(src.chart_entries, written.dim_time, written.dim_weather, written.fact, cfg, written.calendar_days)
+    append_table(facts, root, "fact_track_chart")
+
+
+class LoadFailed(Exception):
+    """A full load whose written tables break a rule of severity ``error``."""
+
+
 def build_warehouse(spark: SparkSession, src: Sources, root: str, expected_days: int | None = None,
                     cfg: C.LoadConfig = C.DEFAULT_LOAD) -> DataFrame:
     """Full load (LD-13): build, write, then validate the written tables.
 
-    Returns the data-quality report of the written warehouse; a failed write
-    raises, which stops the load at that step.
+    Returns the data-quality report of the written warehouse.  A failed write
+    raises, which stops the load at that step; so does a failed error rule.
     """
-    write_star(build_star(spark, src, cfg), root)
+    load_star(spark, src, root, cfg)
     written = read_star(spark, root)
     exp = expected_days
     if exp is None and src.start is not None and src.end is not None:
@@ -176,7 +200,11 @@ def build_warehouse(spark: SparkSession, src: Sources, root: str, expected_days:
         exp_col = written.dim_time.agg(cal.span_days(F.min("date"), F.max("date"))).scalar()
     else:
         exp_col = F.lit(exp)
-    return q.dq_report(written, exp_col)
+    report = q.dq_report(written, exp_col)
+    failed = [r["rule"] for r in report.filter("severity = 'error' and not passed").select("rule").collect()]  # six rules at most
+    if failed:
+        raise LoadFailed(f"rules not met: {', '.join(failed)}")
+    return report
 
 
 def row_counts(star: Star) -> DataFrame:
@@ -224,7 +252,7 @@ def refresh_warehouse(spark: SparkSession, root: str, landing: Landing, today,
         entries = landing.chart_entries
         placeholders = ld.placeholder_tracks(entries, star.dim_track, cfg)
         # new ids only: appended to the current version, no rewrite
-        write_dim_track_version(placeholders, root, current_track_version(spark, root))
+        write_dim_track_version(placeholders, root, current_track_version(spark, root), append=True)
         star = read_star(spark, root)
         append_table(ld.new_chart_facts(entries, star.dim_time, star.dim_weather, star.fact, cfg, star.calendar_days),
                      root, "fact_track_chart")
@@ -233,11 +261,8 @@ def refresh_warehouse(spark: SparkSession, root: str, landing: Landing, today,
     if landing.features is not None:
         wanted = star.dim_track.filter(F.col("danceability").isNull()).select(F.col("track_id").alias("song_uuid"))
         staged = landing.features.join(wanted, "song_uuid", "left_semi")
-        _new_track_version(spark, root, ld.merge_track_features(star.dim_track, staged))
-    return inc.incremental_plan(read_star(spark, root), cfg.missing_feature_cap)
-
-
-def _new_track_version(spark: SparkSession, root: str, dim_track: DataFrame) -> None:
-    """Write ``dim_track`` as the next version (reads the old one, writes a new
-    folder: never overwrites a path it reads)."""
-    write_dim_track_version(dim_track, root, next_track_version(spark, root))
+        if not staged.isEmpty():
+            version = current_track_version(spark, root) + 1
+            write_dim_track_version(ld.merge_track_features(star.dim_track, staged), root, version)
+            prune_track_versions(spark, root)
+    return inc.incremental_plan(read_star(spark, root))

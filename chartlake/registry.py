@@ -17,6 +17,7 @@ from chartlake import config as C
 from chartlake import schemas as SCH
 from chartlake import sql_oracle as O
 from chartlake.functions import calendar as CAL
+from chartlake.functions import scalars as SC
 from chartlake.operators import incremental as INC
 from chartlake.operators import loaders as LD
 from chartlake.operators import quality as Q
@@ -176,7 +177,7 @@ def _history(spark, sf):
 
 @register("dim_time_build", O.DIM_TIME_BUILD)
 def _dim_time(spark, sf):
-    return _star(spark, sf).dim_time
+    return TD.load_fixture(spark, sf).dim_time
 
 
 @register("dim_time_extend", O.DIM_TIME_EXTEND)
@@ -191,7 +192,7 @@ def _dim_time_extend(spark, sf):
 
 @register("sunday_bounds", O.SUNDAY_BOUNDS)
 def _sundays(spark, sf):
-    t = _star(spark, sf).dim_time
+    t = TD.load_fixture(spark, sf).dim_time
     months = t.groupBy(F.date_trunc("month", F.col("date").cast("timestamp")).cast("date").alias("month_start")).agg(
         F.min("date").alias("first_day"), F.max("date").alias("last_day")
     )
@@ -236,24 +237,24 @@ def _daily(spark, sf):
 
 @register("dim_weather_load", O.DIM_WEATHER)
 def _dim_weather(spark, sf):
-    return _star(spark, sf).dim_weather
+    return TD.load_fixture(spark, sf).dim_weather
 
 
 @register("dim_track_load", O.DIM_TRACK_LOAD)
 def _dim_track_load(spark, sf):
-    return LD.load_tracks(TD.load_fixture(spark, sf).features_staged)
+    return LD.load_tracks(TD.load_fixture(spark, sf).features_all)
 
 
 @register("fact_load", O.FACT_LOAD)
 def _fact(spark, sf):
-    return _star(spark, sf).fact
+    return TD.load_fixture(spark, sf).fact
 
 
 @register("fact_load_partial_calendar", O.FACT_LOAD_PARTIAL)
 def _fact_partial(spark, sf):
     fx = TD.load_fixture(spark, sf)
     cal_2000 = fx.dim_time.filter(F.col("date") < F.lit(PARTIAL_CALENDAR_END).cast("date"))
-    return LD.load_facts(fx.chart_raw, cal_2000, fx.dim_weather, span_days=fx.star.calendar_days)
+    return LD.load_facts(fx.chart_raw, cal_2000, fx.dim_weather, span_days=fx.span)
 
 
 @register("fact_load_skipped", O.FACT_LOAD_SKIPPED)
@@ -261,7 +262,7 @@ def _fact_skipped(spark, sf):
     fx = TD.load_fixture(spark, sf)
     cal_2000 = fx.dim_time.filter(F.col("date") < F.lit(PARTIAL_CALENDAR_END).cast("date"))
     rows = fx.chart_raw.select("chart_date")
-    return LD.skipped_dates(rows, cal_2000, "chart_date", fx.star.calendar_days).agg(F.count(F.lit(1)).alias("skipped"))
+    return LD.skipped_dates(rows, cal_2000, "chart_date", fx.span).agg(F.count(F.lit(1)).alias("skipped"))
 
 
 def _initial_load_tracks(fx) -> DataFrame:
@@ -301,7 +302,7 @@ def _incr_load(spark, sf):
     fx = TD.load_fixture(spark, sf)
     existing = fx.fact.filter(F.col("date_id") < INCREMENTAL_CUTOFF_ID)
     return LD.new_chart_facts(_chart_entries(fx), fx.dim_time, fx.dim_weather, existing,
-                              span_days=fx.star.calendar_days)
+                              span_days=fx.span)
 
 
 @register("track_feature_merge", O.TRACK_FEATURE_MERGE)
@@ -330,7 +331,7 @@ def _miss_weather(spark, sf):
 
 @register("missing_features", O.MISSING_FEATURES)
 def _miss_features(spark, sf):
-    return INC.missing_features(_star(spark, sf).dim_track)
+    return INC.missing_features(TD.load_fixture(spark, sf).dim_track)
 
 
 @register("weather_gap_ranges", O.WEATHER_GAP_RANGES)
@@ -347,9 +348,7 @@ def _backlog(spark, sf):
 @register("backlog_batches", O.BACKLOG_BATCHES)
 def _batches(spark, sf):
     fx = TD.load_fixture(spark, sf)
-    return INC.backlog_batches(INC.feature_backlog(fx.chart_raw, fx.features_staged)).select(
-        "song_uuid", "position_in_backlog", "batch"
-    )
+    return INC.backlog_batches(INC.feature_backlog(fx.chart_raw, fx.features_staged))
 
 
 @register("feature_backlog_head", O.FEATURE_BACKLOG_HEAD)
@@ -395,7 +394,7 @@ def _flatten_items(spark, sf):
     fx = TD.load_fixture(spark, sf)
     path = DOCS.land_text(DOCS.chart_pages_json(fx.chart_raw), ST.shared_path(spark, "pages"))
     flat = ST.flatten_chart_items(ST.chart_items(ST.read_chart_pages(spark, path)), F.lit(None).cast("string"))
-    return flat.drop("fetched_at", "raw_json")
+    return flat.drop("fetched_at")
 
 
 @register("flatten_song_features", O.FLATTEN_SONG_FEATURES)
@@ -417,7 +416,7 @@ def _weather_docs(spark, sf):
 
 @register("dim_location", O.DIM_LOCATION)
 def _locations(spark, sf):
-    return ST.location_dimension(TD.read_table(spark, sf, "nation"))
+    return ST.location_dimension(TD.fixture_locations(TD.read_table(spark, sf, "nation")))
 
 
 def _staged_chart_rows(fx) -> DataFrame:
@@ -443,7 +442,11 @@ def _staged_chart_rows(fx) -> DataFrame:
 def _chart_csv(spark, sf):
     fx = TD.load_fixture(spark, sf)
     path = ST.shared_path(spark, "charts_csv")
-    ST.write_csv(_staged_chart_rows(fx), path)
+    # as exported by a data-frame library: whole numbers as 5.0, quotes, commas and line breaks in names
+    odd = F.concat(F.lit('The "'), F.col("song_name"), F.lit('", part\none'))
+    exported = _staged_chart_rows(fx).withColumn("song_name", odd).withColumns(
+        {c: F.format_string("%.1f", F.col(c).cast("double")) for c in ("position", "streams")})
+    ST.write_csv(exported, path)
     return ST.read_chart_csv(spark, path).drop("fetched_at", "raw_json")
 
 
@@ -451,7 +454,10 @@ def _chart_csv(spark, sf):
 def _feature_csv(spark, sf):
     fx = TD.load_fixture(spark, sf)
     path = ST.shared_path(spark, "features_csv")
-    ST.write_csv(fx.features_staged, path)
+    odd = F.concat(F.col("song_name"), F.lit(', "live"\ntake 2'))
+    exported = fx.features_all.withColumn("song_name", odd).withColumns(
+        {c: F.col(c).cast("double") for c in ("key", "mode", "time_signature")})
+    ST.write_csv(exported, path)
     return ST.read_feature_csv(spark, path)
 
 
@@ -575,25 +581,21 @@ def _warehouse_counts(spark, sf):
     return WH.row_counts(WH.read_star(spark, root))
 
 
-@register("warehouse_build_dq", O.DQ_REPORT)
+@register("warehouse_build_dq", O.DQ_BUILD)
 def _warehouse_build(spark, sf):
     fx = TD.load_fixture(spark, sf)
     src = WH.Sources(
         chart_entries=fx.chart_raw,
-        features=fx.features_staged,
+        features=fx.features_all.unionByName(fx.features_all),  # staged twice: one row per song is loaded
         weather_readings=TD.weather_readings(fx.weather_raw),
         dim_time=fx.dim_time,
     )
     root = ST.shared_path(spark, "warehouse")
-    # full load of the fixture; tracks come from the fixture dimension
-    star = WH.build_star(spark, src)
-    WH.write_star(TD.Star(dim_time=star.dim_time, dim_track=fx.dim_track, dim_weather=star.dim_weather,
-                          fact=star.fact), root)
-    return Q.dq_report(WH.read_star(spark, root), _expected_days(fx))
+    WH.build_warehouse(spark, src, root)
+    return WH.build_warehouse(spark, src, root)  # a second run adds nothing
 
 
-@register("warehouse_refresh_twice", O.WAREHOUSE_REFRESH)
-def _warehouse_refresh(spark, sf):
+def _refreshed_twice(spark, sf) -> TD.Star:
     fx = TD.load_fixture(spark, sf)
     root = ST.shared_path(spark, "warehouse")
     last_ship = fx.bounds.select("last_ship").scalar()
@@ -611,11 +613,21 @@ def _warehouse_refresh(spark, sf):
     landing = WH.Landing(
         chart_entries=_chart_entries(fx),
         weather_readings=TD.weather_readings(fx.weather_raw),
-        features=fx.features_staged,
+        features=fx.features_staged.unionByName(fx.features_staged),
     )
     WH.refresh_warehouse(spark, root, landing, today)
     WH.refresh_warehouse(spark, root, landing, today)
-    return WH.row_counts(WH.read_star(spark, root))
+    return WH.read_star(spark, root)
+
+
+@register("warehouse_refresh_twice", O.WAREHOUSE_REFRESH)
+def _warehouse_refresh(spark, sf):
+    return WH.row_counts(_refreshed_twice(spark, sf))
+
+
+@register("warehouse_refresh_tracks", O.WAREHOUSE_REFRESH_TRACKS)
+def _warehouse_refresh_tracks(spark, sf):
+    return _refreshed_twice(spark, sf).dim_track
 
 
 @register("incremental_stream", O.INCREMENTAL_STREAM)
@@ -664,4 +676,41 @@ def _relink(spark, sf):
     stale = fx.fact.withColumn(
         "weather_id", F.when(F.col("date_id") >= 20010101, F.lit(None).cast("int")).otherwise(F.col("weather_id"))
     )
-    return LD.relink_weather(stale, fx.dim_weather, fx.star.calendar_days)
+    return LD.relink_weather(stale, fx.dim_weather, fx.span)
+
+
+# --- small operators on their own -----------------------------------------------------------
+
+@register("parse_api_dates", O.PARSE_API_DATES)
+def _api_dates(spark, sf):
+    texts = TD.load_fixture(spark, sf).chart_raw.select(CAL.api_noon_label("chart_date").alias("api_date")).distinct()
+    return texts.select("api_date", CAL.parse_api_date(F.col("api_date")).alias("chart_date"))
+
+
+@register("genre_root", O.GENRE_ROOT)
+def _genre_root(spark, sf):
+    return TD.load_fixture(spark, sf).features_all.select(
+        "song_uuid", "genres", SC.genre_root(F.col("genres")).alias("genre_root"),
+        SC.genre_list_non_empty(F.col("genres")).alias("has_genre"))
+
+
+@register("feature_coverage", O.FEATURE_COVERAGE)
+def _coverage(spark, sf):
+    return M.kpis(_star(spark, sf), MART_DE).select("unique_tracks", "tracks_with_features", "feature_coverage_pct")
+
+
+@register("chart_dates", O.CHART_DATES)
+def _chart_dates(spark, sf):
+    s = _star(spark, sf)
+    return s.fact.select("date_id", "country").distinct().join(s.calendar(s.dim_time), "date_id") \
+        .select(F.col("date").alias("chart_date"), "country")
+
+
+@register("chart_seasonal_bars", O.seasonal_streaming_trends(None))
+def _seasonal_bars(spark, sf):
+    return M.seasonal_streaming_trends(_star(spark, sf), MART_ALL)
+
+
+@register("chart_acoustic_bars", O.acoustic_vs_electronic(None, 10))
+def _acoustic_bars(spark, sf):
+    return M.acoustic_vs_electronic(_star(spark, sf), MART_ALL)

@@ -47,7 +47,7 @@ DIM_WEATHER = _struct(
 )
 
 FACT_TRACK_CHART = _struct(
-    ("fact_id", _L, False),
+    ("fact_id", _S, False),
     ("track_id", _S, False),
     ("date_id", _I, False),
     ("weather_id", _I, True),
@@ -127,19 +127,20 @@ CHART_ITEM_DDL = (
     "entryState:string, entryDate:string, rankDate:string, timeOnChart:int, "
     f"timeOnChartUnit:string, song:{SONG_REF}>"
 )
-CHART_PAGE_DDL = f"chart_date string, country string, items array<{CHART_ITEM_DDL}>"
+# Items stay text, so that fields outside the declared ones are kept.
+CHART_PAGE_DDL = "chart_date string, country string, items array<string>"
 
 AUDIO_DDL = (
     "struct<acousticness:double, danceability:double, energy:double, instrumentalness:double, "
     "key:int, liveness:double, loudness:double, mode:int, speechiness:double, tempo:double, "
     "timeSignature:int, valence:double>"
 )
+GENRES_DDL = "array<struct<root:string>>"
 SONG_OBJECT_DDL = (
     "struct<name:string, creditName:string, releaseDate:string, duration:double, "
     "explicit:boolean, languageCode:string, imageUrl:string, copyright:string, "
-    f"genres:array<struct<root:string>>, audio:{AUDIO_DDL}>"
+    f"audio:{AUDIO_DDL}>"
 )
-GENRES_DDL = "array<struct<root:string>>"
 
 WEATHER_DOC_DDL = (
     "location string, daily struct<time:array<string>, temperature_2m_mean:array<double>, "

@@ -45,6 +45,7 @@ def chart_item(chart_raw: DataFrame) -> DataFrame:
         (p % 9 + 1).alias("timeOnChart"),
         F.lit("week").alias("timeOnChartUnit"),
         song.alias("song"),
+        F.struct((p % 3).alias("id")).alias("label"),  # a field no schema declares
     )
     return chart_raw.select(
         F.concat(cal.iso_label("chart_date"), F.lit("T00:00:00+00:00")).alias("chart_date"),
@@ -66,11 +67,11 @@ def song_docs_json(part: DataFrame) -> DataFrame:
     string for odd ones; audio is all-NULL for k % 7 == 0 and absent for
     k % 11 == 0; genres vary (one, none, absent, two)."""
     k = F.col("p_partkey")
-    genre = F.struct(F.col("p_type").alias("root"))
+    genre = F.struct(F.col("p_type").alias("root"), F.array(F.lit("sub a")).alias("sub"))
     genres = (
         F.when(k % 4 == 0, F.array(genre))
-        .when(k % 4 == 1, F.array().cast("array<struct<root:string>>"))
-        .when(k % 4 == 3, F.array(genre, F.struct(F.lit("pop").alias("root"))))
+        .when(k % 4 == 1, F.array().cast("array<struct<root:string,sub:array<string>>>"))
+        .when(k % 4 == 3, F.array(genre, F.struct(F.lit("pop").alias("root"), F.array(F.lit("sub b")).alias("sub"))))
     )
     audio_values = F.struct(
         _ratio(k * 23, 1000).alias("acousticness"),

@@ -8,11 +8,11 @@ as landed JSON files (one document per line) with declared schemas.
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chartlake import schemas as S
 from chartlake.functions import calendar as cal
@@ -34,19 +34,38 @@ def shared_path(spark: SparkSession, *parts: str) -> str:
 
 # --- CSV (SRC-1, SRC-2) ---------------------------------------------------------
 
+# The files' dialect: quotes doubled inside quoted fields, which may hold
+# commas and line breaks; whole numbers may come as "5.0".  Files with line
+# breaks in fields cannot be split, so a large staging area should be many files.
+CSV_DIALECT = {"header": True, "escape": '"', "multiLine": True, "mode": "PERMISSIVE"}
+
+
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Text columns cast to ``schema``: numbers through double, NULL where they do not parse."""
+    text = T.StructType([T.StructField(f.name, T.StringType()) for f in schema.fields])
+    raw = spark.read.schema(text).options(**CSV_DIALECT).csv(path)
+
+    def typed(f: T.StructField) -> Column:
+        if isinstance(f.dataType, (T.IntegerType, T.LongType)):
+            # exact for plain whole numbers of any length, through double for "5.0"
+            return F.coalesce(F.col(f.name).try_cast(f.dataType), F.col(f.name).try_cast("double").try_cast(f.dataType))
+        return F.col(f.name) if isinstance(f.dataType, T.StringType) else F.col(f.name).try_cast(f.dataType)
+
+    return raw.select(*[typed(f).alias(f.name) for f in schema.fields])
+
+
 def read_chart_csv(spark: SparkSession, path: str) -> DataFrame:
     """Chart history CSV with header, declared schema; chart_date parsed."""
-    raw = spark.read.schema(S.CHART_ENTRY).option("header", True).option("mode", "PERMISSIVE").csv(path)
-    return raw.withColumn("chart_date", cal.parse_api_date(F.col("chart_date")))
+    return _read_csv(spark, path, S.CHART_ENTRY).withColumn("chart_date", cal.parse_api_date(F.col("chart_date")))
 
 
 def read_feature_csv(spark: SparkSession, path: str) -> DataFrame:
     """Song feature CSV with header, declared schema."""
-    return spark.read.schema(S.SONG_FEATURES).option("header", True).option("mode", "PERMISSIVE").csv(path)
+    return _read_csv(spark, path, S.SONG_FEATURES)
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    df.write.mode(mode).option("header", True).csv(path)
+    df.write.mode(mode).option("header", True).option("escape", '"').csv(path)
 
 
 # --- chart pages (SRC-3, SRC-9) ----------------------------------------------------
@@ -62,10 +81,12 @@ def parse_chart_pages(text: DataFrame, col: str = "value") -> DataFrame:
 
 
 def chart_items(pages: DataFrame, top_n: int | None = None) -> DataFrame:
-    """Pages of one chart -> one row per item; with ``top_n`` only the first N
-    positions of every (chart date[, country]) are kept (SRC-9)."""
+    """Pages of one chart -> one row per item: ``item`` (declared fields) and
+    ``item_json`` (the whole item as text); with ``top_n`` only the positions up
+    to N of every (chart date[, country]) are kept (SRC-9)."""
     keys = [c for c in pages.columns if c != "items"]
-    items = pages.select(*keys, F.explode("items").alias("item"))
+    items = pages.select(*keys, F.explode("items").alias("item_json")) \
+        .withColumn("item", F.from_json("item_json", S.CHART_ITEM_DDL))
     if top_n is not None:
         items = items.filter(F.col("item.position") <= top_n)
     return items
@@ -75,11 +96,11 @@ def flatten_chart_items(items: DataFrame, fetched_at: Column | None = None) -> D
     """Chart entry struct -> the 16 flat staging columns (SRC-3, SC-8, SC-9).
 
     Nested ``song.*`` fields are lifted; a missing song gives NULLs; the whole
-    item is kept as JSON text.
+    item, undeclared and null fields included, is kept as JSON text.
     """
     i = F.col("item")
     song = i.getField("song")
-    keys = [c for c in items.columns if c not in ("item", "chart_date")]
+    keys = [c for c in items.columns if c not in ("item", "item_json", "chart_date")]
     return items.select(
         F.col("chart_date").cast("string").alias("chart_date"),
         (fetched_at if fetched_at is not None else F.current_timestamp().cast("string")).alias("fetched_at"),
@@ -96,7 +117,7 @@ def flatten_chart_items(items: DataFrame, fetched_at: Column | None = None) -> D
         song.getField("name").alias("song_name"),
         song.getField("creditName").alias("artist_name"),
         song.getField("imageUrl").alias("image_url"),
-        F.to_json(i).alias("raw_json"),
+        F.col("item_json").alias("raw_json"),
         *keys,
     )
 
@@ -114,6 +135,7 @@ def flatten_song_features(docs: DataFrame, uuid_col: str = "song_uuid", json_col
         F.col(uuid_col).alias("song_uuid"),
         obj.alias("o"),
         F.get_json_object(F.col(json_col), "$.object.isrc").alias("_isrc_raw"),
+        F.get_json_object(F.col(json_col), "$.object.genres").alias("_genres_raw"),
     )
     audio_fields = [
         "acousticness", "danceability", "energy", "instrumentalness", "key", "liveness",
@@ -146,7 +168,7 @@ def flatten_song_features(docs: DataFrame, uuid_col: str = "song_uuid", json_col
         a.getField("timeSignature").alias("time_signature"),
         a.getField("valence").alias("valence"),
         o.getField("imageUrl").alias("image_url"),
-        F.to_json(F.coalesce(o.getField("genres"), F.array().cast(S.GENRES_DDL))).alias("genres"),
+        F.coalesce(F.col("_genres_raw"), F.lit("[]")).alias("genres"),
         o.getField("copyright").alias("copyright"),
     )
 
@@ -175,25 +197,27 @@ def explode_weather_arrays(docs: DataFrame) -> DataFrame:
     )
 
 
-def location_dimension(nation: DataFrame, count: int = 16) -> DataFrame:
-    """Static weather-location dimension (SRC-7): the first ``count`` nations."""
-    return nation.filter(F.col("n_nationkey") < count).select(
-        F.col("n_nationkey").alias("location_id"), F.col("n_name").alias("location")
-    )
+def location_dimension(locations: DataFrame) -> DataFrame:
+    """Static weather-location dimension (SRC-7): (location_id, location, lat, lon) of every named place."""
+    return locations.select(
+        "location_id", "location", F.col("lat").cast("double").alias("lat"), F.col("lon").cast("double").alias("lon")
+    ).filter(F.col("location").isNotNull())
 
 
 # --- staging rewrites (SNK-2, SNK-3) ----------------------------------------------------------
 
 def union_sorted_charts(existing: DataFrame | None, new: DataFrame) -> DataFrame:
     """Staging charts = old ∪ new, chart_date as ISO text, ordered by
-    (chart_date, position) (SNK-2, ST-1, SO-4)."""
+    (chart_date, position, then country and song for a total order) (SNK-2, ST-1, SO-4)."""
     both = new if existing is None else existing.unionByName(new, allowMissingColumns=True)
-    return both.withColumn("chart_date", cal.iso_label(F.col("chart_date").cast("date"))).orderBy("chart_date", "position")
+    return both.withColumn("chart_date", cal.iso_label(F.col("chart_date").cast("date"))).orderBy(
+        "chart_date", "position", *[c for c in ("country", "song_uuid") if c in both.columns])
 
 
 def write_staged_charts(df: DataFrame, path: str) -> None:
-    """Partitioned by chart date, rows in position order inside each file."""
-    df.repartition("chart_date").sortWithinPartitions("position").write.mode("overwrite").partitionBy("chart_date").parquet(path)
+    """Partitioned by chart date, rows in position order inside each file; range
+    partitions, so a date with very many rows is dealt over several tasks."""
+    df.repartitionByRange("chart_date", "position").sortWithinPartitions("chart_date", "position").write.mode("overwrite").partitionBy("chart_date").parquet(path)
 
 
 def union_first_wins(existing: DataFrame | None, new: DataFrame, key: str = "song_uuid") -> DataFrame:
@@ -212,9 +236,8 @@ def append_parquet(df: DataFrame, path: str) -> None:
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when a table folder exists (local or any Hadoop file system)."""
-    if path.startswith("file:") or path.startswith("/"):
-        return os.path.exists(path.replace("file:", "", 1))
+    """True when a table folder exists in the session's file system (asked
+    through Hadoop: a path of the driver's own disk says nothing on a cluster)."""
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -5,10 +5,12 @@ queries derive the four warehouse tables from ``lineitem``, ``part`` and
 ``nation`` by fixed rules.  Every derived table grows with its input:
 
 * ``chart_raw``: one row per (chart Sunday, country, part) from lineitem,
-  top ``TOP_N`` per (country, week);
-* ``weather_raw``: time dimension x 16 nations (explode of a fixed key list
-  and an equi-join to ``nation``, not a cross join);
-* ``dim_track`` from ``part``; ``features_staged`` from every third part.
+  every one with its position in the week's chart;
+* ``weather_raw``: time dimension x all nations (explode of the fixed 25-row
+  table as one array, not a cross join);
+* ``dim_track`` from ``part``; ``features_all`` from every part,
+  ``features_staged`` from every third (the input of merges and backlogs, which
+  need tracks without staged features).
 
 The loaders of :mod:`chartlake.operators.loaders` turn these into the
 warehouse tables, exactly as a production load would.
@@ -17,9 +19,9 @@ warehouse tables, exactly as a production load would.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartlake import config as C
@@ -28,22 +30,22 @@ from chartlake.functions import calendar as cal
 from chartlake.functions import scalars as sc
 from chartlake.operators import loaders as ld
 from chartlake.operators.dims import Star
+from chartlake.operators.ranges import ordered_index
 from chartlake.session import cut_lineage
 
 # Fixed values of the fixture rules (FIXTURES.md B).
 # ---------------------------------------------------------------------------
 TAIL_DAYS = 28              # time dimension runs 28 days past the last shipdate
-WEATHER_NATIONS = 16        # nations 0..15 act as weather locations
 WEATHER_LAST_DAY = 29       # weather only on day-of-month < 30
 RAIN_EPOCH = "1995-01-01"   # wet spell: 14 of every 70 days from this date
 AT_SUPPKEY_MOD = 4          # l_suppkey % 4 == 0 -> country 'at', else 'de'
 # Event periods and baseline year for the period comparison on this data.
 PERIODS = (
-    (_dt.date(1995, 3, 22), _dt.date(1995, 5, 31)),
-    (_dt.date(1995, 11, 2), _dt.date(1996, 5, 31)),
-    (_dt.date(1996, 12, 2), _dt.date(1997, 3, 31)),
+    (_dt.date(1993, 6, 1), _dt.date(1993, 9, 30)),
+    (_dt.date(1995, 1, 15), _dt.date(1995, 4, 10)),
+    (_dt.date(1995, 4, 1), _dt.date(1995, 7, 31)),  # overlaps the one before
 )
-BASELINE = (_dt.date(2000, 1, 1), _dt.date(2000, 12, 31))
+BASELINE = (_dt.date(1998, 1, 1), _dt.date(1998, 12, 31))
 # ---------------------------------------------------------------------------
 
 MART = C.MartConfig(periods=PERIODS, baseline=BASELINE)
@@ -58,31 +60,67 @@ def _ratio(n: Column, mod: int) -> Column:
     return (n % mod).cast("double") / float(mod)
 
 
-@dataclass(frozen=True)
 class Fixture:
-    star: Star
-    chart_raw: DataFrame
-    weather_raw: DataFrame
-    features_staged: DataFrame
-    lineitem: DataFrame
-    part: DataFrame
-    bounds: DataFrame  # one row: first_ship, last_ship
-
-    @property
+    """The derived tables, each built when it is first asked for.
+
+    With ``materialize`` the two results computed from ``lineitem`` -- the
+    calendar bounds (one row) and the ranked weekly charts -- are checkpointed
+    into the shared checkpoint folder, so a query that uses the fact table in
+    several branches aggregates ``lineitem`` once instead of once per branch.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, labels: C.Labels = C.Labels(), materialize: bool = True):
+        self.labels = labels
+        self._keep = cut_lineage if materialize else (lambda df: df)
+        self.lineitem = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
+        self.part = read_table(spark, sf_dir, "part")
+        self.nation = read_table(spark, sf_dir, "nation")
+
+    @cached_property
+    def bounds(self) -> DataFrame:
+        """One row: first_ship, last_ship."""
+        return self._keep(ship_bounds(self.lineitem))
+
+    @cached_property
+    def span(self) -> int | None:
+        return calendar_span(self.bounds)
+
+    @cached_property
+    def chart_raw(self) -> DataFrame:
+        return self._keep(rank_charts(chart_totals(self.lineitem)))
+
+    @cached_property
     def dim_time(self) -> DataFrame:
-        return self.star.dim_time
+        return fixture_dim_time(self.bounds, self.labels)
 
-    @property
-    def dim_track(self) -> DataFrame:
-        return self.star.dim_track
+    @cached_property
+    def weather_raw(self) -> DataFrame:
+        return fixture_weather_raw(self.bounds, self.nation)
 
-    @property
+    @cached_property
     def dim_weather(self) -> DataFrame:
-        return self.star.dim_weather
+        return ld.load_weather(ld.daily_weather(weather_readings(self.weather_raw)), self.dim_time, self.span)
+
+    @cached_property
+    def dim_track(self) -> DataFrame:
+        return fixture_dim_track(self.part)
 
-    @property
+    @cached_property
+    def features_all(self) -> DataFrame:
+        return fixture_features(self.part)
+
+    @cached_property
+    def features_staged(self) -> DataFrame:
+        return fixture_features(self.part.filter(F.col("p_partkey") % 3 == 0))
+
+    @cached_property
     def fact(self) -> DataFrame:
-        return self.star.fact
+        return ld.load_facts(self.chart_raw, self.dim_time, self.dim_weather, span_days=self.span)
+
+    @cached_property
+    def star(self) -> Star:
+        return Star(dim_time=self.dim_time, dim_track=self.dim_track, dim_weather=self.dim_weather, fact=self.fact,
+                    calendar_days=self.span)
 
 
 def ship_bounds(lineitem: DataFrame) -> DataFrame:
@@ -113,12 +151,10 @@ def fixture_weather_raw(bounds: DataFrame, nation: DataFrame) -> DataFrame:
     spine = bounds.select(
         F.explode(F.sequence("first_ship", "last_ship", F.expr("interval 1 day"))).alias("date")
     )
-    per_loc = spine.filter(F.dayofmonth("date") <= WEATHER_LAST_DAY).select(
-        "date", F.explode(F.sequence(F.lit(0), F.lit(WEATHER_NATIONS - 1))).alias("n")
-    )
-    # nation is a fixed 25-row table.
-    locs = F.broadcast(nation.select(F.col("n_nationkey").alias("n"), F.col("n_name").alias("location")))
-    r = per_loc.join(locs, "n", "inner")
+    # nation is a fixed 25-row table: one array
+    locs = nation.agg(F.collect_list(F.struct(F.col("n_nationkey").alias("n"), F.col("n_name").alias("location")))).scalar()
+    r = spine.filter(F.dayofmonth("date") <= WEATHER_LAST_DAY).withColumn("locs", locs) \
+        .select("date", F.inline("locs"))
     did = cal.date_key(F.col("date"))
     month = F.month("date")
     n = F.col("n")
@@ -165,15 +201,17 @@ def chart_totals(lineitem: DataFrame) -> DataFrame:
     )
 
 
-def rank_charts(totals: DataFrame, top_n: int = C.TOP_N) -> DataFrame:
-    """Position per (country, week) by streams desc, song id; keep the top N.
+def rank_charts(totals: DataFrame) -> DataFrame:
+    """Position of every entry in its (country, week) by streams desc, song id.
 
-    ``row_number() <= N`` plans as a WindowGroupLimit, applied before the
-    shuffle as well as after it, so each (country, week) ships at most N
-    rows per map task however hot the country is.
+    One ordered index over all entries minus the first index of the group, so
+    no task holds a whole group, however hot the country or the week is.
     """
-    w = Window.partitionBy("country", "chart_date").orderBy(F.col("streams").desc(), F.col("song_uuid").asc())
-    return totals.withColumn("position", F.row_number().over(w)).filter(F.col("position") <= top_n)
+    week = ["country", "chart_date"]
+    indexed = ordered_index(totals, [*[F.col(c).asc() for c in week], F.col("streams").desc(), F.col("song_uuid").asc()], name="_i")
+    first = indexed.groupBy(*week).agg(F.min("_i").alias("_first"))
+    return indexed.join(first, week).withColumn("position", (F.col("_i") - F.col("_first") + 1).cast("int")) \
+        .select(*totals.columns, "position")
 
 
 def fixture_dim_track(part: DataFrame) -> DataFrame:
@@ -204,8 +242,8 @@ def fixture_dim_track(part: DataFrame) -> DataFrame:
     return part.select(*[cols[f.name].alias(f.name) for f in S.DIM_TRACK.fields])
 
 
-def fixture_features_staged(part: DataFrame) -> DataFrame:
-    """Staged feature rows for every third part (input of the feature merge)."""
+def fixture_features(part: DataFrame) -> DataFrame:
+    """Staged feature rows, one per part."""
     k = F.col("p_partkey")
     genres = (
         F.when(k % 4 == 0, F.concat(F.lit('[{"root":"'), F.col("p_type"), F.lit('"}]')))
@@ -237,48 +275,16 @@ def fixture_features_staged(part: DataFrame) -> DataFrame:
         "genres": genres,
         "copyright": F.lit(None).cast("string"),
     }
-    return part.filter(k % 3 == 0).select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in S.SONG_FEATURES.fields])
-
-
-def load_fixture(
-    spark: SparkSession,
-    sf_dir: str,
-    labels: C.Labels = C.Labels(),
-    top_n: int = C.TOP_N,
-    materialize: bool = True,
-) -> Fixture:
-    """All derived tables of the test star schema.
-
-    With ``materialize`` (the default) the two results computed from
-    ``lineitem`` -- the calendar bounds (one row) and the ranked weekly charts
-    (at most ``top_n`` rows per country and week) -- are checkpointed into the
-    shared checkpoint folder as they are built, so a query that uses the fact
-    table in several branches aggregates ``lineitem`` exactly once instead of
-    once per branch.
-    """
-    keep = cut_lineage if materialize else (lambda df: df)
-    lineitem = read_table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_quantity", "l_shipdate")
-    part = read_table(spark, sf_dir, "part")
-    nation = read_table(spark, sf_dir, "nation")
-
-    # Only the two results that scan lineitem are materialised; the calendar,
-    # weather and fact tables derive from them cheaply (per-day tables and
-    # joins of small tables), so they stay lazy.
-    bounds = keep(ship_bounds(lineitem))
-    span = calendar_span(bounds)
-    dim_time = fixture_dim_time(bounds, labels)
-    weather_raw = fixture_weather_raw(bounds, nation)
-    dim_weather = ld.load_weather(ld.daily_weather(weather_readings(weather_raw)), dim_time, span)
-    chart_raw = keep(rank_charts(chart_totals(lineitem), top_n))
-    fact = ld.load_facts(chart_raw, dim_time, dim_weather, span_days=span)
-    star = Star(dim_time=dim_time, dim_track=fixture_dim_track(part), dim_weather=dim_weather, fact=fact,
-                calendar_days=span)
-    return Fixture(
-        star=star,
-        chart_raw=chart_raw,
-        weather_raw=weather_raw,
-        features_staged=fixture_features_staged(part),
-        lineitem=lineitem,
-        part=part,
-        bounds=bounds,
-    )
+    return part.select(*[cols[f.name].cast(f.dataType).alias(f.name) for f in S.SONG_FEATURES.fields])
+
+
+def load_fixture(spark: SparkSession, sf_dir: str, labels: C.Labels = C.Labels(), materialize: bool = True) -> Fixture:
+    """The derived tables of the test star schema."""
+    return Fixture(spark, sf_dir, labels, materialize)
+
+
+def fixture_locations(nation: DataFrame) -> DataFrame:
+    """Every nation as a weather location with made-up coordinates."""
+    n = F.col("n_nationkey")
+    return nation.select(n.alias("location_id"), F.col("n_name").alias("location"),
+                         ((n * 7) % 180 - 90).cast("double").alias("lat"), ((n * 13) % 360 - 180).cast("double").alias("lon"))

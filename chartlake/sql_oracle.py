@@ -38,7 +38,7 @@ weather_raw AS (
          CAST(greatest(0, 3600 * (14 - 3 * abs(t.month - 6)) + (t.date_id * 31 + n.n_nationkey * 17) % 1800) AS DOUBLE)
            AS sunshine_duration
   FROM dim_time t
-  JOIN nation n ON n.n_nationkey < 16
+  JOIN nation n ON TRUE
   JOIN bounds b ON t.date <= b.last_ship
   WHERE day(t.date) < 30
 ),
@@ -62,14 +62,12 @@ chart_totals AS (
   FROM li GROUP BY 1, 2, 3
 ),
 chart_raw AS (
-  SELECT * FROM (
-    SELECT chart_date, country, song_uuid, streams,
-           CAST(row_number() OVER (PARTITION BY country, chart_date ORDER BY streams DESC, song_uuid) AS INTEGER) AS position
-    FROM chart_totals)
-  WHERE position <= 200
+  SELECT chart_date, country, song_uuid, streams,
+         CAST(row_number() OVER (PARTITION BY country, chart_date ORDER BY streams DESC, song_uuid) AS INTEGER) AS position
+  FROM chart_totals
 ),
 fact_track_chart AS (
-  SELECT CAST(t.date_id AS BIGINT) * 1000 + (CASE WHEN c.country = 'at' THEN 500 ELSE 0 END) + c.position AS fact_id,
+  SELECT CAST(t.date_id AS VARCHAR) || '|' || c.country || '|' || c.song_uuid AS fact_id,
          c.song_uuid AS track_id, t.date_id, w.weather_id, c.country,
          c.streams AS stream_count, c.position AS chart_position
   FROM chart_raw c
@@ -95,7 +93,7 @@ dim_track AS (
          CAST(3 + p_partkey % 2 AS INTEGER) AS time_signature
   FROM part
 ),
-features_staged AS (
+features_all AS (
   SELECT CAST(p_partkey AS VARCHAR) AS song_uuid,
          CASE WHEN p_partkey % 6 = 0 THEN NULL ELSE p_name || ' v2' END AS song_name,
          p_brand AS artist_name,
@@ -118,8 +116,9 @@ features_staged AS (
          CAST(NULL AS VARCHAR) AS image_url,
          CASE p_partkey % 4 WHEN 0 THEN '[{"root":"' || p_type || '"}]' WHEN 1 THEN '[]' WHEN 2 THEN 'not json' END AS genres,
          CAST(NULL AS VARCHAR) AS copyright
-  FROM part WHERE p_partkey % 3 = 0
-)
+  FROM part
+),
+features_staged AS (SELECT * FROM features_all WHERE CAST(song_uuid AS BIGINT) % 3 = 0)
 """
 
 
@@ -154,11 +153,11 @@ def with_fixture(select: str) -> str:
 
 # Event periods and baseline year of the fixture (same as testdata.PERIODS).
 PERIOD_PRED = (
-    "(t.date BETWEEN DATE '1995-03-22' AND DATE '1995-05-31' OR "
-    "t.date BETWEEN DATE '1995-11-02' AND DATE '1996-05-31' OR "
-    "t.date BETWEEN DATE '1996-12-02' AND DATE '1997-03-31')"
+    "(t.date BETWEEN DATE '1993-06-01' AND DATE '1993-09-30' OR "
+    "t.date BETWEEN DATE '1995-01-15' AND DATE '1995-04-10' OR "
+    "t.date BETWEEN DATE '1995-04-01' AND DATE '1995-07-31')"
 )
-BASELINE_PRED = "t.date BETWEEN DATE '2000-01-01' AND DATE '2000-12-31'"
+BASELINE_PRED = "t.date BETWEEN DATE '1998-01-01' AND DATE '1998-12-31'"
 
 
 def _ctry(alias: str, country: str | None) -> str:
@@ -507,7 +506,7 @@ SELECT song_uuid AS track_id,
        round(acousticness, 6) AS acousticness, round(instrumentalness, 6) AS instrumentalness,
        round(liveness, 6) AS liveness,
        CAST(key AS INTEGER) AS key, CAST(mode AS INTEGER) AS mode, CAST(time_signature AS INTEGER) AS time_signature
-FROM features_staged WHERE song_uuid IS NOT NULL
+FROM features_all WHERE song_uuid IS NOT NULL
 """)
 
 FACT_LOAD = with_fixture("SELECT * FROM fact_track_chart")
@@ -527,12 +526,13 @@ _ENTRIES = """, entries AS (
 _KNOWN = """(SELECT track_id FROM dim_track
    WHERE track_id IN (SELECT song_uuid FROM chart_raw WHERE chart_date < DATE '1995-07-01'))"""
 
-PLACEHOLDER_TRACKS = with_fixture(_ENTRIES + f"""
+_FIRSTS = _ENTRIES + f"""
 , known AS {_KNOWN},
 firsts AS (
   SELECT *, row_number() OVER (PARTITION BY song_uuid ORDER BY chart_date, position) AS rn
   FROM entries WHERE song_uuid NOT IN (SELECT track_id FROM known))
-SELECT song_uuid AS track_id, coalesce(song_name, 'Unknown') AS track_name,
+"""
+_PLACEHOLDERS = """SELECT song_uuid AS track_id, coalesce(song_name, 'Unknown') AS track_name,
        coalesce(artist_name, 'Unknown') AS artist_names,
        CAST(NULL AS VARCHAR) AS genre, CAST(NULL AS INTEGER) AS duration_ms, CAST(NULL AS VARCHAR) AS release_date,
        CAST(NULL AS VARCHAR) AS language_code, image_url,
@@ -541,12 +541,13 @@ SELECT song_uuid AS track_id, coalesce(song_name, 'Unknown') AS track_name,
        CAST(NULL AS DOUBLE) AS acousticness, CAST(NULL AS DOUBLE) AS instrumentalness, CAST(NULL AS DOUBLE) AS liveness,
        CAST(NULL AS INTEGER) AS key, CAST(NULL AS INTEGER) AS mode, CAST(NULL AS INTEGER) AS time_signature
 FROM firsts WHERE rn = 1
-""")
+"""
+PLACEHOLDER_TRACKS = with_fixture(_FIRSTS + _PLACEHOLDERS)
 
 INCREMENTAL_CHART_LOAD = with_fixture("SELECT * FROM fact_track_chart WHERE date_id >= 20010901")
 
 _HIT = "s.song_uuid IS NOT NULL"
-TRACK_FEATURE_MERGE = with_fixture(f"""
+_MERGE_SELECT = f"""
 SELECT k.track_id,
        coalesce(s.song_name, k.track_name) AS track_name,
        coalesce(s.artist_name, k.artist_names) AS artist_names,
@@ -561,8 +562,8 @@ SELECT k.track_id,
                    'instrumentalness', 'liveness'])},
        {', '.join(f"CAST(CASE WHEN {_HIT} THEN s.{c} ELSE k.{c} END AS INTEGER) AS {c}" for c in
                   ['key', 'mode', 'time_signature'])}
-FROM dim_track k LEFT JOIN features_staged s ON s.song_uuid = k.track_id
-""")
+"""
+TRACK_FEATURE_MERGE = with_fixture(_MERGE_SELECT + "FROM dim_track k LEFT JOIN features_staged s ON s.song_uuid = k.track_id")
 
 UPDATED_TRACK_COUNT = with_fixture(
     "SELECT count(*) AS updated FROM dim_track WHERE track_id IN (SELECT song_uuid FROM features_staged)"
@@ -581,7 +582,7 @@ FROM dim_time WHERE date > {_LATEST_FACT} AND isodow(date) = 7
 MISSING_WEATHER_DATES = with_fixture(f"SELECT date FROM dim_time WHERE date > {_LATEST_WEATHER}")
 
 MISSING_FEATURES = with_fixture(
-    "SELECT track_id FROM dim_track WHERE danceability IS NULL ORDER BY track_id LIMIT 200"
+    "SELECT track_id FROM dim_track WHERE danceability IS NULL"
 )
 
 WEATHER_GAP_RANGES = with_fixture("""
@@ -605,9 +606,10 @@ SELECT * FROM backlog ORDER BY latest_chart_date DESC, best_position, song_uuid
 
 BACKLOG_BATCHES = with_fixture(_BACKLOG + """
 , numbered AS (
-  SELECT song_uuid, row_number() OVER (ORDER BY latest_chart_date DESC, best_position, song_uuid) - 1 AS pos
+  SELECT *, row_number() OVER (ORDER BY latest_chart_date DESC, best_position, song_uuid) - 1 AS pos
   FROM backlog)
-SELECT song_uuid, CAST(pos AS BIGINT) AS position_in_backlog, CAST(pos // 50 AS BIGINT) AS batch FROM numbered
+SELECT song_uuid, latest_chart_date, best_position, total_streams, CAST(pos AS BIGINT) AS position_in_backlog,
+       CAST(pos // 50 AS BIGINT) AS batch FROM numbered
 """)
 
 REMAINING_DATES = with_fixture("""
@@ -626,8 +628,7 @@ INCREMENTAL_PLAN = with_fixture(f"""
 , c AS (
   SELECT (SELECT count(*) FROM dim_time WHERE date > {_LATEST_WEATHER}) AS missing_weather_dates,
          (SELECT count(*) FROM dim_time WHERE date > {_LATEST_FACT} AND isodow(date) = 7) AS missing_chart_sundays,
-         (SELECT count(*) FROM (SELECT track_id FROM dim_track WHERE danceability IS NULL
-                                ORDER BY track_id LIMIT 200)) AS missing_features)
+         (SELECT count(*) FROM dim_track WHERE danceability IS NULL) AS missing_features)
 SELECT *, missing_weather_dates + missing_chart_sundays + missing_features = 0 AS up_to_date FROM c
 """)
 
@@ -653,6 +654,16 @@ SELECT strftime(chart_date, '%Y-%m-%d') || 'T00:00:00+00:00' AS chart_date,
        CASE WHEN position % 50 = 0 THEN NULL ELSE 'Title ' || song_uuid END AS song_name,
        CASE WHEN position % 50 = 0 OR position % 7 = 0 THEN NULL ELSE 'Artist ' || song_uuid END AS artist_name,
        CASE WHEN position % 50 = 0 THEN NULL ELSE 'cover/' || song_uuid || '.jpg' END AS image_url,
+       '{"position":' || position
+         || CASE WHEN position % 5 = 0 THEN '' ELSE ',"oldPosition":' || (position + 1) || ',"positionEvolution":1' END
+         || ',"metric":' || streams || ',"entryState":"' || CASE WHEN position <= 10 THEN 'UP' ELSE 'STABLE' END
+         || '","entryDate":"' || strftime(chart_date - CAST((position % 4) * 7 AS INTEGER), '%Y-%m-%d')
+         || '","rankDate":"' || strftime(chart_date, '%Y-%m-%d') || '","timeOnChart":' || (position % 9 + 1)
+         || ',"timeOnChartUnit":"week"'
+         || CASE WHEN position % 50 = 0 THEN '' ELSE ',"song":{"uuid":"' || song_uuid || '","name":"Title ' || song_uuid || '"'
+              || CASE WHEN position % 7 = 0 THEN '' ELSE ',"creditName":"Artist ' || song_uuid || '"' END
+              || ',"imageUrl":"cover/' || song_uuid || '.jpg"}' END
+         || ',"label":{"id":' || (position % 3) || '}}' AS raw_json,
        country
 FROM chart_raw
 """)
@@ -684,8 +695,8 @@ SELECT CAST(p_partkey AS VARCHAR) AS song_uuid,
        CASE WHEN p_partkey % 5 = 0 THEN NULL ELSE round({_ratio('p_partkey', 59)}, 6) END AS valence,
        'cover/' || CAST(p_partkey AS VARCHAR) || '.jpg' AS image_url,
        CASE p_partkey % 4
-         WHEN 0 THEN '[{{"root":"' || p_type || '"}}]'
-         WHEN 3 THEN '[{{"root":"' || p_type || '"}},{{"root":"pop"}}]'
+         WHEN 0 THEN '[{{"root":"' || p_type || '","sub":["sub a"]}}]'
+         WHEN 3 THEN '[{{"root":"' || p_type || '","sub":["sub a"]}},{{"root":"pop","sub":["sub b"]}}]'
          ELSE '[]' END AS genres,
        p_brand || ' records' AS copyright
 FROM part
@@ -701,24 +712,25 @@ SELECT date, location,
 FROM weather_raw
 """)
 
-DIM_LOCATION = "SELECT n_nationkey AS location_id, n_name AS location FROM nation WHERE n_nationkey < 16"
+DIM_LOCATION = """SELECT n_nationkey AS location_id, n_name AS location, CAST((n_nationkey * 7) % 180 - 90 AS DOUBLE) AS lat,
+       CAST((n_nationkey * 13) % 360 - 180 AS DOUBLE) AS lon FROM nation"""
 
 SRC_CHART_CSV = with_fixture(_ENTRIES + """
 SELECT chart_date, position, CAST(NULL AS INTEGER) AS old_position, CAST(NULL AS INTEGER) AS position_change,
        streams, 'STABLE' AS entry_state, CAST(NULL AS VARCHAR) AS entry_date, CAST(NULL AS VARCHAR) AS rank_date,
        CAST(NULL AS INTEGER) AS weeks_on_chart, 'week' AS time_unit,
-       song_uuid, song_name, artist_name, image_url
+       song_uuid, 'The "' || song_name || '", part' || chr(10) || 'one' AS song_name, artist_name, image_url
 FROM entries
 """)
 
 SRC_FEATURE_CSV = with_fixture("""
-SELECT song_uuid, song_name, artist_name, isrc, release_date, round(duration, 6) AS duration, explicit,
+SELECT song_uuid, song_name || ', "live"' || chr(10) || 'take 2' AS song_name, artist_name, isrc, release_date, round(duration, 6) AS duration, explicit,
        language_code, round(acousticness, 6) AS acousticness, round(danceability, 6) AS danceability,
        round(energy, 6) AS energy, round(instrumentalness, 6) AS instrumentalness, key,
        round(liveness, 6) AS liveness, round(loudness, 6) AS loudness, mode, round(speechiness, 6) AS speechiness,
        round(tempo, 6) AS tempo, CAST(time_signature AS INTEGER) AS time_signature, round(valence, 6) AS valence,
        image_url, genres, copyright
-FROM features_staged
+FROM features_all
 """)
 
 STAGING_UNION_SORTED = with_fixture("""
@@ -760,6 +772,9 @@ _RULES = _COUNTS + """
 
 DQ_REPORT = with_fixture(_RULES + "SELECT rule, severity, actual, threshold, passed FROM rules")
 
+# a full load whose tracks come from the staged features
+DQ_BUILD = with_fixture((_RULES + "SELECT rule, severity, actual, threshold, passed FROM rules").replace("dim_track", "features_all"))
+
 DQ_PASSED = with_fixture(_RULES + """
 SELECT coalesce(bool_and(passed OR severity <> 'error'), true) AS passed,
        count(*) FILTER (WHERE NOT passed AND severity = 'error') AS errors,
@@ -966,6 +981,11 @@ UNION ALL SELECT 'dim_weather', count(*) FROM dim_weather
 UNION ALL SELECT 'fact_track_chart', count(*) FROM fact_track_chart
 """)
 
+WAREHOUSE_REFRESH_TRACKS = with_fixture(_FIRSTS + f"""
+, base AS (SELECT * FROM dim_track WHERE track_id IN (SELECT track_id FROM known)
+           UNION ALL BY NAME ({_PLACEHOLDERS}))
+""" + _MERGE_SELECT + "FROM base k LEFT JOIN features_staged s ON s.song_uuid = k.track_id AND k.danceability IS NULL")
+
 INCREMENTAL_STREAM = with_fixture("""
 SELECT * FROM fact_track_chart WHERE date_id < 20010901 OR chart_position % 50 <> 0
 """)
@@ -986,3 +1006,22 @@ DATE_RANGES = with_fixture(f"""
 g AS (SELECT date, date - CAST(row_number() OVER (ORDER BY date) AS INTEGER) AS grp FROM d)
 SELECT min(date) AS start, max(date) AS "end", count(*) AS days FROM g GROUP BY grp
 """)
+
+
+# --- small operators on their own -----------------------------------------------------------
+
+PARSE_API_DATES = with_fixture("""
+SELECT DISTINCT strftime(chart_date, '%Y-%m-%d') || 'T12:00:00+00:00' AS api_date, chart_date FROM chart_raw
+""")
+
+GENRE_ROOT = with_fixture(f"""
+SELECT song_uuid, genres, {_GENRE_ROOT.format(g='genres')} AS genre_root,
+       CASE WHEN json_valid(genres) THEN json_array_length(genres) > 0 ELSE false END AS has_genre
+FROM features_all
+""")
+
+FEATURE_COVERAGE = f"SELECT unique_tracks, tracks_with_features, feature_coverage_pct FROM ({kpis('de')})"
+
+CHART_DATES = with_fixture("""
+SELECT DISTINCT t.date AS chart_date, f.country FROM fact_track_chart f JOIN dim_time t ON t.date_id = f.date_id
+""")

@@ -41,7 +41,7 @@ def load_batch(root: str, cfg: C.LoadConfig = C.DEFAULT_LOAD):
         entries = batch.filter(F.col("song_uuid").isNotNull())
         star = wh.read_star(spark, root)
         placeholders = ld.placeholder_tracks(entries, star.dim_track, cfg)
-        wh.write_dim_track_version(placeholders, root, wh.current_track_version(spark, root))
+        wh.write_dim_track_version(placeholders, root, wh.current_track_version(spark, root), append=True)
         star = wh.read_star(spark, root)
         facts = ld.new_chart_facts(entries, star.dim_time, star.dim_weather, star.fact, cfg, star.calendar_days)
         wh.append_table(facts, root, "fact_track_chart")

@@ -67,7 +67,7 @@ def test_facts_skip_unknown_dates_and_null_weather(spark):
         "chart_date date, song_uuid string, streams long, position int")
     facts = {r.track_id: r for r in ld.load_facts(charts, t, w).collect()}
     assert set(facts) == {"a", "b"} and facts["a"].weather_id == 20240107 and facts["b"].weather_id is None
-    assert facts["a"].country == "de" and facts["a"].fact_id == 20240107001
+    assert facts["a"].country == "de" and facts["a"].fact_id == "20240107|de|a"
     assert ld.skipped_dates(charts.select("chart_date"), t, "chart_date").count() == 1
 
 

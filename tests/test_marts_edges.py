@@ -125,5 +125,7 @@ def test_empty_star_gives_empty_marts_and_zero_kpis(spark):
                  M.audio_features_by_weather, M.danceability_by_sunshine, M.seasonal_streaming_trends,
                  M.acoustic_vs_electronic, M.key_distribution, M.weekly_change_history, M.trailing_weather):
         assert mart(s, cfg).count() == 0, mart.__name__
-    p = M.period_comparison(s, cfg).collect()
+    ranges = C.MartConfig(country=None, periods=((dt.date(2024, 1, 1), dt.date(2024, 1, 31)),),
+                          baseline=(dt.date(2024, 2, 1), dt.date(2024, 2, 29)))
+    p = M.period_comparison(s, ranges).collect()
     assert len(p) == 3 and all(r.period_avg is None and r.period_sample == 0 for r in p)

@@ -39,7 +39,7 @@ def facts(spark, rows):
         tid, d, c, streams, pos = r[:5]
         k = int(d.strftime("%Y%m%d"))
         w = r[5] if len(r) > 5 else k
-        data.append((k * 1000 + pos + (500 if c == "at" else 0), tid, k, w, c, streams, pos))
+        data.append((f"{k}|{c}|{tid}", tid, k, w, c, streams, pos))
     return spark.createDataFrame(data, S.FACT_TRACK_CHART)
 
 
