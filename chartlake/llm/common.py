@@ -3,6 +3,7 @@ cannot clash, lineage cuts and connected components."""
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,6 +29,22 @@ def lower_utf8(text: str) -> bytes:
     return text.encode("utf-8", "surrogatepass").translate(_TO_LOWER)
 
 
+#: Bytes or characters of a text whose words are held as a list at a time.
+PIECE = 4 << 20
+_BLANK = {str: re.compile("[\x20\x09-\x0D]"), bytes: re.compile(rb"[\x20\x09-\x0D]")}
+
+
+def pieces(text):
+    """A text (str or bytes) in order, cut at blanks every ``PIECE`` or a little
+    more, so that a very long text never becomes one list of words."""
+    start = 0
+    while start < len(text):
+        cut = _BLANK[type(text)].search(text, start + PIECE)
+        end = cut.start() if cut else len(text)
+        yield text[start:end]
+        start = end
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,14 +22,14 @@ from __future__ import annotations
 
 import pickle
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartlake.llm.common import col, fresh, lower_ascii, text_or_empty
+from chartlake.llm.common import PIECE, col, fresh, lower_ascii, pieces, text_or_empty
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Words of one automaton (about 100 MB in a Python worker at most).
@@ -40,6 +40,11 @@ def words(text: str) -> list[str]:
     return WORD.findall(lower_ascii(text))
 
 
+def word_stream(text: str) -> Iterable[str]:
+    """The words of a whole text, a piece at a time."""
+    return words(text) if len(text) <= PIECE else (w for piece in pieces(text) for w in words(piece))
+
+
 class Automaton:
     """Suffix automaton over words with, for each state, the items that end a window there."""
 
@@ -112,13 +117,14 @@ class Automaton:
             state = self.link[state]
         return state
 
-    def scan(self, doc: list[str]) -> tuple[list[list[int]], set[str]]:
-        """Hit spans [first word, last word] in order, not overlapping, and the items met."""
+    def scan(self, doc: Iterable[str]) -> tuple[int, list[list[int]], set[str]]:
+        """The number of words, hit spans [first word, last word] in order, not
+        overlapping, and the items met."""
         moves, link, length, window, near = self.moves, self.link, self.length, self.window, self.near
         spans: list[list[int]] = []
         met: set[str] = set()
         root = moves[0]
-        state, n = 0, 0
+        state, n, i = 0, 0, -1
         for i, w in enumerate(doc):
             to = moves[state].get(w)
             if to is None:
@@ -161,7 +167,7 @@ class Automaton:
                         spans[-1] = [min(a, first), max(b, i)]
                 else:
                     spans.append([first, i])
-        return spans, met
+        return i + 1, spans, met
 
 
 def _merge(spans: list[list[int]]) -> list[list[int]]:
@@ -231,12 +237,11 @@ def find_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_co
                     rows = []
                     before = batch.column(batch.num_columns - 1)
                     for text, old in zip(batch.column(at), before, strict=True):
-                        doc = words(text.as_py() or "")
-                        spans, met = automaton.scan(doc)
+                        n_words, spans, met = automaton.scan(word_stream(text.as_py() or ""))
                         if old.is_valid:
                             spans = _merge(spans + old["spans"].as_py())
                             met |= set(old["items"].as_py())
-                        rows.append({"n_words": len(doc), "spans": spans, "items": sorted(met)})
+                        rows.append({"n_words": n_words, "spans": spans, "items": sorted(met)})
                     yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(rows, _HITS)], names=batch.schema.names)
 
         out = out.mapInArrow(scan, schema)

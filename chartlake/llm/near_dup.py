@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartlake.llm.common import col, components, fresh, lower_utf8
+from chartlake.llm.common import col, components, fresh, lower_utf8, pieces
 from chartlake.session import cut_lineage
 
 HASHES, BAND = 128, 4
@@ -65,11 +65,11 @@ def _mix(x: np.ndarray) -> np.ndarray:
 
 def shingles(text: str | None, width: int = 5) -> np.ndarray:
     """Sorted distinct 64-bit hashes of the word shingles of a whole text."""
-    words = lower_utf8(text or "").split()
-    n = len(words)
+    parts = [np.fromiter(map(xxhash.xxh3_64_intdigest, x.split()), np.uint64) for x in pieces(lower_utf8(text or ""))]
+    hashes = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
+    n = len(hashes)
     if not n:
-        return np.zeros(0, np.uint64)
-    hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, n)
+        return hashes
     k = min(width, n)
     mixed = np.full(n - k + 1, np.uint64(k))  # a short sequence never equals a full shingle
     for i in range(k):

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartlake.llm.common import col, fresh
+from chartlake.llm.common import col, fresh, pieces
 
 MAX_LABELLED = 2048
 DIM = 64
@@ -62,8 +62,15 @@ def terms(text: str) -> np.ndarray:
     """Square roots of term frequencies of a whole text."""
     out = np.zeros(TERMS, np.float32)
     data = text.encode("utf-8", "surrogatepass")
-    words = data.split()
-    if not words:
+    n, repeated, distinct, last = 0, 0, set(), None
+    for piece in pieces(data):
+        words = piece.split()
+        if words:
+            n += len(words)
+            repeated += sum(map(eq, words, words[1:])) + (words[0] == last)
+            distinct.update(words)
+            last = words[-1]
+    if not n:
         out[-1] = 1
         return out
     c = CLASSES[np.frombuffer(data, np.uint8)]
@@ -72,10 +79,9 @@ def terms(text: str) -> np.ndarray:
         out[:SHAPES] = np.sqrt(np.bincount(codes, minlength=SHAPES) / len(codes))
     counts = np.bincount(c, minlength=16)
     letters = max(1, counts[1] + counts[2])
-    n = len(words)
     ratios = (
-        sum(map(eq, words, words[1:])) / max(1, n - 1),
-        len(set(words)) / min(n, 2000),
+        repeated / max(1, n - 1),
+        len(distinct) / min(n, 2000),
         counts[3] / len(c),
         counts[1] / letters,
         min(1.0, len(c) / n / 32),

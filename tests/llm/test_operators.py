@@ -73,13 +73,24 @@ def test_suffix_automaton_on_random_words():
     for _ in range(60):
         items = [(str(i), [r.choice("abc") for _ in range(r.randrange(1, 25))]) for i in range(4)]
         doc = [r.choice("abcd") for _ in range(200)]
-        spans, met = decontaminate.Automaton(items, 6).scan(doc)
+        n, spans, met = decontaminate.Automaton(items, 6).scan(doc)
+        assert n == len(doc)
         want = brute.decontaminate([(0, " ".join(doc))], [(k, " ".join(v)) for k, v in items], 6)[0]
         assert sum(b - a + 1 for a, b in spans) == want[1]
         assert len(met) == want[2]
         assert all(x[1] + 1 < y[0] for x, y in zip(spans, spans[1:], strict=False))
 
 
+def test_long_texts_are_read_in_pieces(monkeypatch):
+    from chartlake.llm import common
+
+    texts = [words(900, 1) + "\n\t" + "é" * 300 + " " + words(50, 1), "x" * 1000, " ", ""]
+    whole = [(near_dup.shingles(t).tolist(), quality_knn.terms(t).tolist(), list(decontaminate.word_stream(t))) for t in texts]
+    monkeypatch.setattr(common, "PIECE", 50)
+    monkeypatch.setattr(decontaminate, "PIECE", 50)
+    assert whole == [(near_dup.shingles(t).tolist(), quality_knn.terms(t).tolist(), list(decontaminate.word_stream(t))) for t in texts]
+
+
 def test_decontamination_cuts_spans_and_drops_covered_rows(spark):
     rows = [(1, "Before, ONE two three; after", 28), (2, "one two three", 13), (3, None, None), (4, "clean", 5)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars int")
