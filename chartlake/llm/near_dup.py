@@ -265,7 +265,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 miss: float = MISS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """One row per row of ``docs``: (id_col, n_shingles, component_id, kept)."""
     described = describe(docs, id_col, text_col, width)
-    linked = components(cut_lineage(links(docs, described, id_col, text_col, width, threshold, miss, block_shingles)))
+    linked = cut_lineage(components(cut_lineage(links(docs, described, id_col, text_col, width, threshold, miss, block_shingles))))
     placed = described.join(linked, "node", "left") \
         .select("id", "n", F.coalesce("root", "node").alias("class"), F.col("sig").isNotNull().alias("full"))
     full = placed.where("full")
