@@ -94,7 +94,7 @@ def terms(text: str) -> np.ndarray:
 
 
 class Space:
-    """The fitted model: idf, projection, labelled vectors and labels."""
+    """The fitted model: idf, projection, labelled vectors and labels; ``rows`` is overwritten."""
 
     def __init__(self, rows: np.ndarray, labels: np.ndarray, dim: int, neighbours: int):
         self.neighbours = neighbours
@@ -105,7 +105,9 @@ class Space:
         df = (rows > 0).sum(0)
         self.idf = (np.log((1 + len(rows)) / (1 + df)) + 0.1).astype(np.float32)
         self.idf[df == 0] = 0
-        weighted = self._weighted(rows)
+        weighted = rows  # the caller's matrix is used up, so that the driver holds it once
+        weighted *= self.idf
+        weighted /= np.maximum(np.linalg.norm(weighted, axis=1, keepdims=True), 1e-12)
         # right singular vectors through the Gram matrix of the rows
         values, vectors = np.linalg.eigh((weighted @ weighted.T).astype(np.float64))
         best = np.argsort(values)[::-1][:dim]
