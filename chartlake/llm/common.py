@@ -116,6 +116,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
         e = pairs(both.where("b > a").join(low, "a").select(F.col("b").alias("a"), F.col("m").alias("b")))
         # small star: each node and its smaller neighbours move to the smallest of them
+        e = cut_lineage(e)
         low = cut_lineage(e.groupBy("a").agg(F.min("b").alias("m")))
         moved = e.join(low, "a")
         e = cut_lineage(pairs(moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))))
