@@ -111,8 +111,10 @@ def drop_lines(docs: DataFrame, frequent: DataFrame, text_col: str = "text") ->
 
     Only hashes and positions of lines are shuffled to meet the runs; the texts
     are shuffled once, by 128 bits of their content, to meet their positions.
-    Equal texts have equal positions, so nothing depends on an id."""
-    drops, kept, t1, t2, f1, f2, at = fresh(docs, "line_drops", "line_kept", "text_h1", "text_h2", "found_h1", "found_h2", "found_at")
+    Equal texts have equal positions, so nothing depends on an id.  The positions
+    that stay are a hashed set difference and fetch their lines from an array, so
+    a text costs time in proportion to its lines, however many of them go."""
+    drops, kept, t1, t2, f1, f2, at, lines = fresh(docs, "line_drops", "line_kept", "text_h1", "text_h2", "found_h1", "found_h2", "found_at", "text_lines")
     text = text_or_empty(text_col)
     k1, k2 = content_key(text)
     keyed = docs.withColumn(t1, k1).withColumn(t2, k2)
@@ -123,7 +125,9 @@ def drop_lines(docs: DataFrame, frequent: DataFrame, text_col: str = "text") ->
         .groupBy("t1", "t2").agg(F.collect_set("at").alias("found"))
     found = cut_lineage(found)  # written, so that the skew join may split the rows of a text with many copies
     joined = keyed.join(found.toDF(f1, f2, at), (col(t1) == col(f1)) & (col(t2) == col(f2)), "left")
-    keep = F.filter(lines_of(text), lambda _, i: ~F.array_contains(col(drops), i))
+    # ``lines`` is named twice below, so the optimiser keeps it as a column instead of splitting the text for each line
+    stay = F.array_except(F.sequence(F.lit(0), F.size(col(lines)) - 1), col(drops))
+    keep = F.transform(stay, lambda i: F.get(col(lines), i))
     return joined.withColumn(drops, F.coalesce(col(at), F.array().cast("array<int>"))) \
-        .select(*[col(c) for c in docs.columns], col(drops)) \
-        .withColumn(kept, F.when(F.size(col(drops)) == 0, text).otherwise(F.array_join(keep, "\n")))
+        .select(*[col(c) for c in docs.columns], col(drops), F.when(F.size(col(drops)) > 0, lines_of(text)).alias(lines)) \
+        .select(*[col(c) for c in docs.columns], col(drops), F.when(F.size(col(drops)) == 0, text).otherwise(F.array_join(keep, "\n")).alias(kept))
