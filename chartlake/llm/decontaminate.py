@@ -9,7 +9,8 @@ marked state on the suffix path of the current state.
 The automaton is a broadcast of bounded size: the items are dealt into blocks
 of at most ``BLOCK_WORDS`` words (an item larger than that is a block of its own), each block
 is one automaton and one pass over the documents, and the passes add up their
-hits in a column.  A usual benchmark is one block.
+hits in a column.  A pass is written before the next one starts, so a task holds
+one automaton, however many there are.  A usual benchmark is one block.
 
 Words: A-Z lower-cased, then runs of [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F].
 Defined results: null and wordless texts have no words and are never hit; null
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chartlake.llm.common import PIECE, col, fresh, lower_ascii, pieces, text_or_empty
+from chartlake.session import cut_lineage
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 #: Words of one automaton (about 100 MB in a Python worker at most).
@@ -246,6 +248,9 @@ def find_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_co
 
         out = out.mapInArrow(scan, schema)
         first = next(blocks, None)
+        if first is not None:
+            out = cut_lineage(out)
+            shared.destroy()
     return out, hits
 
 
