@@ -7,9 +7,12 @@
    candidates.  Each bucket ties its members to its smallest node (a star, not
    all pairs), and the connected components of these ties are the candidate
    groups.
-3. The sets and signatures of a group meet in one task (a group larger than
-   ``BLOCK_SHINGLES`` is cut into blocks, and each pair of blocks is a task of
-   its own).  There a node's signature is compared with those of the nodes it
+3. The sets and signatures of a group meet in one task.  A group larger than
+   ``BLOCK_SHINGLES`` falls back into its band buckets (one of those with the
+   same members), so texts that only chains of chance collisions tie together
+   are not compared.  A bucket that is still larger is cut into blocks, and each
+   pair of blocks is a task of its own.
+   There a node's signature is compared with those of the nodes it
    is not yet linked to, a batch of hashes at a time; after each batch,
    nodes drop out whose posterior probability of a similarity of ``threshold``
    or more is below ``miss``.  Survivors are verified on the full shingle sets,
@@ -127,7 +130,7 @@ def _describe(width: int, at: int):
 
 
 def _shingle_rows(width: int):
-    """(grp, part, node, side, sig, text) with the text replaced by its shingle set."""
+    """(units, node, sig, text) with the text replaced by its shingle set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for i in range(0, whole.num_rows, 512):
@@ -135,8 +138,8 @@ def _shingle_rows(width: int):
                 sets = [shingles(x.as_py(), width).tobytes() for x in batch.column("text")]
                 # rows that share an id with the node's row but have another set are left out
                 own = pa.array([_set_hash(x, 1) for x in sets], pa.int64())
-                made = pa.RecordBatch.from_arrays([batch.column("grp"), batch.column("blocks"), batch.column("node"), batch.column("sig"), pa.array(sets, pa.binary())],
-                                                  names=["grp", "blocks", "node", "sig", "members"])
+                made = pa.RecordBatch.from_arrays([batch.column("units"), batch.column("node"), batch.column("sig"), pa.array(sets, pa.binary())],
+                                                  names=["units", "node", "sig", "members"])
                 yield made.filter(pc.equal(own, batch.column("node")))
     return run
 
@@ -197,10 +200,10 @@ def _verify(threshold: float, miss: float):
             held.clear()
 
         for batch in batches:
-            for grp, tile_no, node, side, sig, members in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                if (grp, tile_no) != now:
+            for unit, tile_no, node, side, sig, members in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
+                if (unit, tile_no) != now:
                     close()
-                    now = (grp, tile_no)
+                    now = (unit, tile_no)
                 held.append((node, side, sig, members))
             if len(found) > 1 << 14:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], names=["a", "b"])
@@ -222,17 +225,43 @@ def describe(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     return cut_lineage(chosen.mapInArrow(_describe(width, 1), f"id {kind}, n long, node long, check long, sig binary"))
 
 
+def band_buckets():
+    """The band buckets of a signature, one row each."""
+    return F.explode(F.array(*[F.xxhash64(F.lit(b), F.substring("sig", 4 * BAND * b + 1, 4 * BAND)) for b in range(BANDS)])).alias("bucket")
+
+
 def candidate_groups(nodes: DataFrame) -> DataFrame:
     """(node, grp) of all nodes that share a band bucket with another one."""
-    bands = F.explode(F.array(*[
-        F.xxhash64(F.lit(b), F.substring("sig", 4 * BAND * b + 1, 4 * BAND)) for b in range(BANDS)])).alias("bucket")
-    members = nodes.select("node", bands)
+    members = nodes.select("node", band_buckets())
     heads = members.groupBy("bucket").agg(F.min("node").alias("head"), F.max("node").alias("last")).where("head < last").select("bucket", "head")
     heads = cut_lineage(heads)  # written, so that the skew join may split a hot bucket of the members
     ties = members.join(heads, "bucket").where("node != head").select(F.col("node").alias("a"), F.col("head").alias("b")).distinct()
     return components(cut_lineage(ties)).select("node", F.col("root").alias("grp"))
 
 
+def _blocks(block_shingles: int):
+    return F.ceil(F.sum("n") / F.lit(block_shingles)).cast("int").alias("blocks")
+
+
+def candidate_units(members: DataFrame, block_shingles: int) -> DataFrame:
+    """(id, node, sig, units): the units in which a node meets others, each a
+    group or a band bucket with the number of its blocks.  A node has one unit,
+    or in a large group at most ``BANDS``."""
+    sized = cut_lineage(members.groupBy("grp").agg(_blocks(block_shingles)))
+    grouped = members.join(sized, "grp")
+    whole = grouped.where("blocks = 1").select("id", "node", "sig", F.array(F.struct(F.col("grp").alias("unit"), "blocks")).alias("units"))
+    if not sized.where("blocks > 1").limit(1).count():
+        return whole
+    large = grouped.where("blocks > 1").select("id", "node", "sig", "n")
+    held = cut_lineage(large.select("node", "n", band_buckets()))
+    # buckets with the same members are one: two copies share most of theirs
+    buckets = held.groupBy("bucket").agg(F.count(F.lit(1)).alias("nodes"), _blocks(block_shingles), F.bit_xor(F.xxhash64("node")).alias("x1"),
+                                         F.bit_xor(F.xxhash64(F.lit("second"), "node")).alias("x2")).where("nodes > 1")
+    chosen = cut_lineage(buckets.groupBy("nodes", "x1", "x2", "blocks").agg(F.min("bucket").alias("bucket")).select("bucket", "blocks"))
+    placed = held.join(chosen, "bucket").groupBy("node").agg(F.collect_list(F.struct(F.col("bucket").alias("unit"), "blocks")).alias("units"))
+    return whole.unionByName(large.join(placed, "node").select("id", "node", "sig", "units"))
+
+
 def links(docs: DataFrame, described: DataFrame, id_col: str, text_col: str, width: int, threshold: float, miss: float,
           block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """(a, b): spanning links between nodes, verified on full sets."""
@@ -240,24 +269,22 @@ def links(docs: DataFrame, described: DataFrame, id_col: str, text_col: str, wid
         F.min("check").alias("check"), F.max("check").alias("check2"), F.min("id").alias("id"), F.first("sig").alias("sig"), F.max("n").alias("n")))
     if nodes.where("check != check2").limit(1).count():
         raise ValueError("two shingle sets share a 64-bit hash")
-    # a group's shingles decide the number of its blocks
-    members = cut_lineage(nodes.join(candidate_groups(nodes.select("node", "sig")), "node"))
-    blocks = members.groupBy("grp").agg(F.ceil(F.sum("n") / F.lit(block_shingles)).cast("int").alias("blocks"))
-    wanted = members.join(blocks, "grp").select("id", "node", "sig", "grp", "blocks")
+    wanted = candidate_units(cut_lineage(nodes.join(candidate_groups(nodes.select("node", "sig")), "node")), block_shingles)
 
     # each node's text: that of one row with its set (rows equal in id but not in text are told apart by the set)
     texts = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text"))
     joined = texts.join(wanted.withColumnRenamed("id", "want"), F.col("id").eqNullSafe(F.col("want"))) \
-        .select("grp", "blocks", "node", "sig", "text") \
-        .mapInArrow(_shingle_rows(width), "grp long, blocks int, node long, sig binary, members binary")
+        .select("units", "node", "sig", "text") \
+        .mapInArrow(_shingle_rows(width), "units array<struct<unit: long, blocks: int>>, node long, sig binary, members binary") \
+        .select(F.inline("units"), "node", "sig", "members")
     own = F.pmod(F.xxhash64(F.lit("block"), F.col("node")), F.col("blocks")).cast("int")
-    # block pairs (i, j), i <= j, as one number; a group of one block is the single tile 0
+    # block pairs (i, j), i <= j, as one number; a unit of one block is the single tile 0
     tiles = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(
         (F.least(F.col("own"), o) * F.col("blocks") + F.greatest(F.col("own"), o)).cast("long").alias("tile"),
         F.when(F.col("own") > o, 1).otherwise(0).alias("side")))
-    dealt = joined.withColumn("own", own).select("grp", F.explode(tiles).alias("t"), "node", "sig", "members") \
-        .select("grp", "t.tile", "node", "t.side", "sig", "members")
-    return dealt.repartition("grp", "tile").sortWithinPartitions("grp", "tile", "node") \
+    dealt = joined.withColumn("own", own).select("unit", F.explode(tiles).alias("t"), "node", "sig", "members") \
+        .select("unit", "t.tile", "node", "t.side", "sig", "members")
+    return dealt.repartition("unit", "tile").sortWithinPartitions("unit", "tile", "node") \
         .mapInArrow(_verify(threshold, miss), "a long, b long")
 
 

@@ -171,7 +171,7 @@ def test_chat_states_and_flags(spark):
 # ------------------------------------------------------------ near duplicates
 
 
-@pytest.mark.parametrize("block_shingles", [near_dup.BLOCK_SHINGLES, 300])
+@pytest.mark.parametrize("block_shingles", [near_dup.BLOCK_SHINGLES, 900, 300])
 def test_near_groups_match_brute_force(spark, block_shingles):
     r = random.Random(3)
     base = words(120, 30).split()
@@ -260,7 +260,7 @@ def test_repeats_of_nothing(spark):
 
 
 def test_lines_match_brute_force(spark):
-    texts = edge_texts() + [f"common LINE\nown {i}\n  tail\u0085 " for i in range(9)] + ["x\n" + "same\n" * 12] * 3
+    texts = edge_texts() + [f"common LINE\nown {i}\n  tail\u0085 " for i in range(9)] + ["x\n" + "same\n" * 12] * 3 + ["common line\nown\n" * 10_000]
     docs, plain = documents(spark, texts)
     runs = line_runs.build_runs(docs, min_docs=10, batches=5, fanout=2)
     done = line_runs.drop_lines(docs, runs.frequent())
