@@ -32,6 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartlake.llm.common import col, shared_folder
+from chartlake.session import cut_lineage
 
 #: Payload bytes of one archive value or file.
 ARCHIVE_BYTES = 4 << 20
@@ -197,11 +198,12 @@ def _record_id(page_id, digest):
 def to_warc(records: DataFrame, min_bytes: int = 0) -> DataFrame:
     """(page_id, warc): the text of one WARC record per ARC record, without the
     two line ends behind it.  Winners per digest are combined on the map side;
-    records meet them by digest."""
-    best = records.where(F.col("payload_bytes") >= min_bytes).groupBy(F.col("payload_digest").alias("d")) \
-        .agg(F.max("page_id").alias("best"), F.count(F.lit(1)).alias("n"))
+    those of repeated digests are written before the records meet them, so that
+    the skew join may split a payload that many pages share."""
+    best = cut_lineage(records.where(F.col("payload_bytes") >= min_bytes).groupBy(F.col("payload_digest").alias("d"))
+                       .agg(F.max("page_id").alias("best"), F.count(F.lit(1)).alias("n")).where("n > 1").select("d", "best"))
     joined = records.join(best, (F.col("payload_digest") == F.col("d")) & (F.col("payload_bytes") >= min_bytes), "left")
-    revisit = F.coalesce((F.col("n") > 1) & ~F.col("page_id").eqNullSafe(F.col("best")), F.lit(False))
+    revisit = F.col("d").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("best"))
     date = F.regexp_replace("arc_date", r"^(\d{4})(\d\d)(\d\d)(\d\d)(\d\d)(\d\d)$", "$1-$2-$3T$4:$5:$6Z")
     # an HTTP header in text form, then its length in bytes
     body = F.when(revisit, F.concat("head", F.lit("\r\n\r\n"))).otherwise(F.concat("head", F.lit("\r\n\r\n"), "payload"))
@@ -270,6 +272,22 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     return files.mapInArrow(parse, READ)
 
 
+def with_referents(records: DataFrame) -> DataFrame:
+    """Records as ``read_warc`` gives them, with refers_to: the page id of the
+    response that a revisit names (null for responses).
+
+    Only revisits are joined, as the responses' missing names would all meet in
+    one task; the named responses are written first, so that the revisits of one
+    response can be split."""
+    held = cut_lineage(records)  # the archives are parsed once
+    revisits = held.where(F.col("refers_to_id").isNotNull())
+    named = cut_lineage(held.where(F.col("record_type") == "response").select("record_id", "page_id")
+                        .join(revisits.select(F.col("refers_to_id").alias("record_id")).distinct(), "record_id", "left_semi")
+                        .groupBy(F.col("record_id").alias("refers_to_id")).agg(F.max("page_id").alias("refers_to")))
+    responses = held.where(F.col("refers_to_id").isNull()).withColumn("refers_to", F.lit(None).cast("long"))
+    return revisits.join(named, "refers_to_id", "left").unionByName(responses)
+
+
 def convert(pages: DataFrame, min_bytes: int = 0) -> tuple[DataFrame, str]:
     """Pages through ARC archives into WARC archives and back: (records read back, folder)."""
     spark = pages.sparkSession

@@ -137,8 +137,8 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     back, _ = arc_warc.convert(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
-    named = back.groupBy(F.col("record_id").alias("refers_to_id")).agg(F.max("page_id").alias("refers_to"))
-    return back.join(named, "refers_to_id", "left").select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    digests = ("page_id", "payload_bytes", "payload_digest", "record_type")
+    return arc_warc.with_referents(back.select(*digests, "record_id", "refers_to_id")).select(*digests, "refers_to")
 
 
 @query()

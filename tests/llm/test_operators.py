@@ -308,13 +308,12 @@ def test_warc_round_trip(spark):
     pages = [(1, "http://a/ b", nasty), (2, None, None), (3, "u", ""), (4, "http://x/%20", nasty), (5, "u\nv", "z" * 300_000), (6, "u", "one\n\n"), (7, "u", "one\n\n")]
     df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2)
     back, _ = arc_warc.convert(df)
-    names = back.groupBy(F.col("record_id").alias("refers_to_id")).agg(F.max("page_id").alias("refers_to"))
-    got = by_id(back.join(names, "refers_to_id", "left"), ("payload_bytes", "payload_digest", "record_type", "refers_to"), "page_id")
+    got = by_id(arc_warc.with_referents(back), ("payload_bytes", "payload_digest", "record_type", "refers_to"), "page_id")
     assert got == brute.warc([(p, h) for p, _, h in pages])
     for r in back.collect():
         assert r.body_digest == (r.payload_digest if r.record_type == "response" else arc_warc.digest_of(b""))
         assert r.warc_date == "2026-01-01T00:00:00Z"
-    assert arc_warc.convert(df.limit(0))[0].count() == 0
+    assert arc_warc.with_referents(arc_warc.convert(df.limit(0))[0]).count() == 0
 
 
 def test_arc_versions_and_lengths(spark):
