@@ -20,7 +20,7 @@
 4. Connected components of the links are the classes.
 
 Nothing of this passes through the driver.  Shingles are compared by 64-bit
-hashes; the set hash is checked for collisions by a second one.
+hashes; sets that share their hash are told apart by a second one.
 
 Words: A-Z lower-cased, runs of [^\\x20\\x09-\\x0D].  A document of fewer than
 ``width`` words has its whole sequence as one shingle; null, empty and blank
@@ -51,6 +51,8 @@ BATCH = 16
 MISS = 1e-6
 #: Shingles of one block (8 bytes each).
 BLOCK_SHINGLES = 2_000_000
+#: A node counts as so many shingles at least, which bounds the nodes of a block too.
+NODE_SHINGLES = 64
 #: Shingles hashed at a time (128 x 4 bytes each).
 CHUNK = 2048
 
@@ -137,10 +139,10 @@ def _shingle_rows(width: int):
                 batch = whole.slice(i, 512)
                 sets = [shingles(x.as_py(), width).tobytes() for x in batch.column("text")]
                 # rows that share an id with the node's row but have another set are left out
-                own = pa.array([_set_hash(x, 1) for x in sets], pa.int64())
+                own, other = (pa.array([_set_hash(x, seed) for x in sets], pa.int64()) for seed in (1, 2))
                 made = pa.RecordBatch.from_arrays([batch.column("units"), batch.column("node"), batch.column("sig"), pa.array(sets, pa.binary())],
                                                   names=["units", "node", "sig", "members"])
-                yield made.filter(pc.equal(own, batch.column("node")))
+                yield made.filter(pc.or_(pc.equal(own, batch.column("node")), pc.equal(other, batch.column("node"))))
     return run
 
 
@@ -240,7 +242,7 @@ def candidate_groups(nodes: DataFrame) -> DataFrame:
 
 
 def _blocks(block_shingles: int):
-    return F.ceil(F.sum("n") / F.lit(block_shingles)).cast("int").alias("blocks")
+    return F.ceil(F.sum(F.greatest("n", F.lit(NODE_SHINGLES))) / F.lit(block_shingles)).cast("int").alias("blocks")
 
 
 def candidate_units(members: DataFrame, block_shingles: int) -> DataFrame:
@@ -262,13 +264,28 @@ def candidate_units(members: DataFrame, block_shingles: int) -> DataFrame:
     return whole.unionByName(large.join(placed, "node").select("id", "node", "sig", "units"))
 
 
-def links(docs: DataFrame, described: DataFrame, id_col: str, text_col: str, width: int, threshold: float, miss: float,
+def distinct_sets(described: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(node, id, sig, n) per distinct set, and ``described`` with the nodes that
+    these have.  Sets that share the first hash (among many billions some do) are
+    told apart by the second: all but those of the smallest take it as their node."""
+    def reduce(rows: DataFrame) -> DataFrame:
+        return cut_lineage(rows.where(F.col("sig").isNotNull()).groupBy("node").agg(
+            F.min("check").alias("check"), F.max("check").alias("check2"), F.min("id").alias("id"), F.first("sig").alias("sig"), F.max("n").alias("n")))
+
+    nodes, shared = reduce(described), F.col("check") != F.col("check2")
+    if nodes.where(shared).limit(1).count():
+        clash = cut_lineage(nodes.where(shared).select("node", F.col("check").alias("least")))
+        described = cut_lineage(described.join(clash, "node", "left").select(
+            "id", "n", F.when(F.col("check") != F.col("least"), F.col("check")).otherwise(F.col("node")).alias("node"), "check", "sig"))
+        nodes = reduce(described)
+        if nodes.where(shared).limit(1).count():
+            raise ValueError("two shingle sets share both of their hashes")
+    return nodes.select("node", "id", "sig", "n"), described
+
+
+def links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width: int, threshold: float, miss: float,
           block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """(a, b): spanning links between nodes, verified on full sets."""
-    nodes = cut_lineage(described.where(F.col("sig").isNotNull()).groupBy("node").agg(
-        F.min("check").alias("check"), F.max("check").alias("check2"), F.min("id").alias("id"), F.first("sig").alias("sig"), F.max("n").alias("n")))
-    if nodes.where("check != check2").limit(1).count():
-        raise ValueError("two shingle sets share a 64-bit hash")
     wanted = candidate_units(cut_lineage(nodes.join(candidate_groups(nodes.select("node", "sig")), "node")), block_shingles)
 
     # each node's text: that of one row with its set (rows equal in id but not in text are told apart by the set)
@@ -291,8 +308,8 @@ def links(docs: DataFrame, described: DataFrame, id_col: str, text_col: str, wid
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.75,
                 miss: float = MISS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """One row per row of ``docs``: (id_col, n_shingles, component_id, kept)."""
-    described = describe(docs, id_col, text_col, width)
-    linked = cut_lineage(components(cut_lineage(links(docs, described, id_col, text_col, width, threshold, miss, block_shingles))))
+    nodes, described = distinct_sets(describe(docs, id_col, text_col, width))
+    linked = cut_lineage(components(cut_lineage(links(docs, nodes, id_col, text_col, width, threshold, miss, block_shingles))))
     placed = described.join(linked, "node", "left") \
         .select("id", "n", F.coalesce("root", "node").alias("class"), F.col("sig").isNotNull().alias("full"))
     full = placed.where("full")

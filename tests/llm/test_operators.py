@@ -87,6 +87,7 @@ def test_long_texts_are_read_in_pieces(monkeypatch):
     texts = [words(900, 1) + "\n\t" + "é" * 300 + " " + words(50, 1), "x" * 1000, " ", ""]
     whole = [(near_dup.shingles(t).tolist(), quality_knn.terms(t).tolist(), list(decontaminate.word_stream(t))) for t in texts]
     monkeypatch.setattr(common, "PIECE", 50)
+    assert quality_knn.terms("ab")[:quality_knn.SHAPES].sum() == 0
     monkeypatch.setattr(decontaminate, "PIECE", 50)
     assert whole == [(near_dup.shingles(t).tolist(), quality_knn.terms(t).tolist(), list(decontaminate.word_stream(t))) for t in texts]
 
@@ -195,6 +196,22 @@ def test_near_groups_of_null_ids_repeats_and_nothing(spark):
     assert near_dup.dedup(documents(spark)[0]).columns == DOCS.replace(",", "").split()[::2]
 
 
+def test_sets_that_share_a_hash_are_told_apart(spark):
+    docs, plain = documents(spark)
+    described = near_dup.describe(docs)
+    nodes, same = near_dup.distinct_sets(described)
+    assert same is described
+    # two sets (documents 8 and 20 with their copies) are given one first hash
+    by = {r.id: r for r in described.collect()}
+    clashing = described.withColumn("node", F.when(F.col("node") == by[20].node, by[8].node).otherwise(F.col("node")))
+    found, told = near_dup.distinct_sets(clashing)
+    assert found.count() == nodes.count()
+    after = {r.id: r.node for r in told.collect()}
+    assert {after[8], after[20]} == {by[8].node, max(by[8].check, by[20].check)}
+    assert all(after[i] == by[i].node for i in after if by[i].node not in (by[8].node, by[20].node))
+    assert after[8] == after[9] == after[10] == after[12]
+
+
 def test_posterior_floor_is_the_beta_tail():
     # the posterior is beta(m + 1, n - m + 1); integrate it on a grid
     x = np.linspace(0, 1, 200_001)
