@@ -262,6 +262,20 @@ def hit_counts(hits: str):
     return n_hit, F.size(h["items"]).cast("long"), F.when(n_words > 0, n_hit / n_words).otherwise(F.lit(0.0))
 
 
+def without(text: str, runs: list[list[int]]) -> str:
+    """A text without the runs of words [first, last], from the start of the first to the end of the last."""
+    found = enumerate(WORD.finditer(lower_ascii(text)))
+    kept, start = [], 0
+    for first, last in runs:
+        for i, word in found:
+            if i == first:
+                kept.append(text[start:word.start()])
+            if i == last:
+                start = word.end()
+                break
+    return "".join([*kept, text[start:]])
+
+
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
                   item_text_col: str = "text", window: int = 10, max_coverage: float = 0.5,
                   chars_col: str | None = None, block_words: int = BLOCK_WORDS) -> DataFrame:
@@ -283,14 +297,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
                 continue
             texts = []
             for text, runs in zip(batch.column(at).to_pylist(), spans, strict=True):
-                if runs:
-                    ends = [m.span() for m in WORD.finditer(lower_ascii(text))]
-                    kept, start = [], 0
-                    for a, b in runs:
-                        kept.append(text[start:ends[a][0]])
-                        start = ends[b][1]
-                    text = "".join([*kept, text[start:]])
-                texts.append(text)
+                texts.append(without(text, runs) if runs else text)
             columns = list(batch.columns)
             columns[at] = pa.array(texts, batch.schema.field(at).type)
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)

@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chartlake.llm import common
 from chartlake.llm.common import col, fresh, pieces
 
 MAX_LABELLED = 2048
@@ -51,6 +52,8 @@ SHAPES = 16 ** 3
 BINS = 16
 RATIOS = 7
 TERMS = SHAPES + BINS * RATIOS + 1
+#: Distinct words at which a text counts as fully varied.
+FULL = 2000
 
 
 def _bin(x: float) -> int:
@@ -68,25 +71,29 @@ def terms(text: str) -> np.ndarray:
         if words:
             n += len(words)
             repeated += sum(map(eq, words, words[1:])) + (words[0] == last)
-            distinct.update(words)
+            if len(distinct) < FULL:  # the ratio is at its end from there on
+                distinct.update(words)
             last = words[-1]
     if not n:
         out[-1] = 1
         return out
-    c = CLASSES[np.frombuffer(data, np.uint8)]
-    if len(c) >= 3:
-        codes = (c[:-2] << 8) + (c[1:-1] << 4) + c[2:]
-        out[:SHAPES] = np.sqrt(np.bincount(codes, minlength=SHAPES) / len(codes))
-    counts = np.bincount(c, minlength=16)
+    counts, shapes = np.zeros(16, np.int64), np.zeros(SHAPES, np.int64)
+    for i in range(0, len(data), common.PIECE):
+        c = CLASSES[np.frombuffer(data, np.uint8, min(common.PIECE + 2, len(data) - i), i)]
+        counts += np.bincount(c[:common.PIECE], minlength=16)
+        if len(c) >= 3:
+            shapes += np.bincount((c[:-2] << 8) + (c[1:-1] << 4) + c[2:], minlength=SHAPES)
+    if len(data) >= 3:
+        out[:SHAPES] = np.sqrt(shapes / (len(data) - 2))
     letters = max(1, counts[1] + counts[2])
     ratios = (
         repeated / max(1, n - 1),
-        len(distinct) / min(n, 2000),
-        counts[3] / len(c),
+        len(distinct) / min(n, FULL),
+        counts[3] / len(data),
         counts[1] / letters,
-        min(1.0, len(c) / n / 32),
+        min(1.0, len(data) / n / 32),
         min(1.0, (counts[5] + 1) / n),
-        counts[7:].sum() / len(c),
+        counts[7:].sum() / len(data),
     )
     for i, x in enumerate(ratios):
         out[SHAPES + i * BINS + _bin(x)] = 0.5
