@@ -87,6 +87,13 @@ def remove_folder(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark free the shuffles, broadcasts and checkpoints of frames that are
+    no longer held: its cleaner acts when the driver's JVM collects garbage, which
+    a driver that only plans many small jobs seldom does by itself."""
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -96,21 +103,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     node of its connected component.
 
     Alternating large-star and small-star steps: each is one aggregation by
-    node and one join on it, so nothing passes through the driver but a count
-    and a checksum.  The smallest neighbours are written before the join, so both of
+    node and one join on it, until every pair joins a node to a root that has no
+    smaller neighbour itself.  The smallest neighbours are written before the join, so both of
     its sides are plain exchanges and the adaptive skew join may split a hub.  Self edges are allowed, an empty input gives no rows.
     """
     def pairs(df: DataFrame) -> DataFrame:
         return df.where("a != b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
-    def mark(df: DataFrame) -> tuple:
-        row = df.agg(F.count(F.lit(1)).alias("n"), F.sum((F.xxhash64("a", "b") % 1000003).cast("long")).alias("h")).first()
-        return row["n"], row["h"]
+    def done(df: DataFrame) -> bool:
+        sides = df.select(F.col("a").alias("node"), F.lit(1).alias("up")).unionByName(df.select(F.col("b").alias("node"), F.lit(0).alias("up")))
+        return not sides.groupBy("node").agg(F.sum("up").alias("up"), F.min("up").alias("low")).where("up > 1 or (up = 1 and low = 0)").limit(1).count()
 
     nodes = edges.select(F.explode(F.array(col(a), col(b))).alias("node")).distinct()
     e = cut_lineage(pairs(edges.select(col(a).alias("a"), col(b).alias("b"))))
-    before = mark(e)
-    while before[0]:
+    while not done(e):
         # large star: the larger neighbours of each node move to the smallest of its neighbourhood
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = cut_lineage(both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m")))
@@ -120,9 +126,6 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         low = cut_lineage(e.groupBy("a").agg(F.min("b").alias("m")))
         moved = e.join(low, "a")
         e = cut_lineage(pairs(moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionByName(low.select("a", F.col("m").alias("b")))))
-        now = mark(e)
-        if now == before:
-            break
-        before = now
+        release(e.sparkSession)
     root = e.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("root"))
     return nodes.join(root, "node", "left").select("node", F.coalesce("root", "node").alias("root"))

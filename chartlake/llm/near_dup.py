@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartlake.llm.common import col, components, fresh, lower_utf8, pieces
+from chartlake.llm.common import col, components, fresh, lower_utf8, pieces, release
 from chartlake.session import cut_lineage
 
 HASHES, BAND = 128, 4
@@ -308,8 +308,10 @@ def links(docs: DataFrame, nodes: DataFrame, id_col: str, text_col: str, width:
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, threshold: float = 0.75,
                 miss: float = MISS, block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
     """One row per row of ``docs``: (id_col, n_shingles, component_id, kept)."""
+    release(docs.sparkSession)
     nodes, described = distinct_sets(describe(docs, id_col, text_col, width))
     linked = cut_lineage(components(cut_lineage(links(docs, nodes, id_col, text_col, width, threshold, miss, block_shingles))))
+    release(docs.sparkSession)
     placed = described.join(linked, "node", "left") \
         .select("id", "n", F.coalesce("root", "node").alias("class"), F.col("sig").isNotNull().alias("full"))
     full = placed.where("full")
