@@ -1,8 +1,11 @@
 """Secret scan with a random forest that removes false positives
 (DataFrame, SQL and JVM machine-learning functions only).
 
-Candidates are runs of 16 or more characters of [A-Za-z0-9+/_-] with a digit, over
-whole texts.  Each becomes a row of features: length; character transitions
+Candidates are, over whole texts, runs of 16 or more characters of
+[A-Za-z0-9+/_-] and, whatever their length and characters, the whole values of
+key-word contexts: what stands in quotes behind a name that holds a key word, or
+what is assigned to it (up to a blank where it has no quotes; up to a quote as well if it
+holds one).  A value that is just such a run is one candidate.  Each becomes a row of features: length; character transitions
 (letter to digit and back, lower to upper), class shares and distinct
 characters; dictionary coverage (the share of its letters that are runs the
 corpus uses as words in ``min_docs`` documents or more); path (what the path
@@ -33,6 +36,12 @@ from chartlake.session import cut_lineage
 
 CANDIDATE = r"[A-Za-z0-9+/_\-]{16,}+"
 KEY_WORDS = "token|secret|passw|api.?key|auth|credential|bearer|private"
+_NAME = r"(?<![\w.\-])(?=[\w.\-]*?(?i:" + KEY_WORDS + r"))[\w.\-]++(?: (?i:key|token|value|phrase|word|id)[\w.\-]*+)?+(?:\\*+[\"'`])?+[\])]?+"
+_ASSIGN = r"\s*+(?::[ \t]*+[A-Za-z_][\w.]*+[ \t]*+=(?!=)|=>|:=|={1,3}+|:{1,2}+)\s*+"
+#: A key-word context.  Groups: 1 the opening quotes, 2 the quoted value, 3 what follows it, 4 the value without
+#: quotes, 5 what follows it.  A quoted value is only looked at, so that contexts inside it are met as well.
+CONTEXT = (_NAME + "(?:(?:" + _ASSIGN + r"|[\s(\[{,]++)(\\*+(?:\"\"\"|'''|[\"'`]))(?=((?:(?!\1)(?:\\[\s\S]|[^\\]))++)(\1[\s\S]{0,39}))"
+           "|" + _ASSIGN + r"(?:\\*+[\"'`])?+((?!\\*[\"'`])(?:[^\s&,;]|[&,;](?![\w.\-]++[=:]))++)(?=([\s\S]{0,40})))")
 PLACEHOLDERS = "example|sample|dummy|fake|placeholder|test|xxxx"
 MAX_LABELLED = 20_000
 LEFT, RIGHT = 80, 40
@@ -43,16 +52,29 @@ FEATURES = ("length", "digits", "uppers", "transitions", "distinct_chars", "hex_
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
     """(id, path, ordinal, value, before, after): one row per candidate; ordinal
-    counts the candidates of a text.  The same pattern extracts the candidates
-    and splits the text around them, so the pieces are their surroundings."""
-    text = text_or_empty(text_col)
+    counts the candidates of a text, runs first.  The same pattern extracts the
+    candidates and splits the text around them, so the pieces are their surroundings."""
     path = F.coalesce(col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
-    cut = docs.select(col(id_col).alias("id"), path.alias("path"), F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0)).alias("v"),
-                      F.split(text, CANDIDATE, -1).alias("p"))
-    around = F.transform(F.col("v"), lambda v, i: F.struct(
-        i.alias("ordinal"), v.alias("value"), F.substring(F.get("p", i), -LEFT, LEFT).alias("before"), F.substring(F.get("p", i + 1), 1, RIGHT).alias("after")))
-    return cut.where(F.size("v") > 0).select("id", "path", F.explode(F.filter(around, lambda x: x["value"].rlike("[0-9]"))).alias("c")) \
-        .select("id", "path", "c.*")
+    text, found = F.col("t"), lambda pattern, group=0: F.regexp_extract_all("t", F.lit(pattern), F.lit(group))
+    named = lambda c: F.when(F.col("named"), c)
+    cut = docs.select(col(id_col).alias("id"), path.alias("path"), text_or_empty(text_col).alias("t")).withColumn("named", text.rlike(CONTEXT)) \
+        .select("id", "path", found(CANDIDATE).alias("v"), F.split(text, CANDIDATE, -1).alias("p"), named(F.split(text, CONTEXT, -1)).alias("np"),
+                named(F.arrays_zip(*[found(CONTEXT, k).alias(n) for k, n in ((0, "all"), (2, "q"), (3, "q_after"), (4, "u"), (5, "u_after"))])).alias("n"))
+    runs = F.transform(F.col("v"), lambda v, i: F.struct(
+        v.alias("value"), F.substring(F.get("p", i), -LEFT, LEFT).alias("before"), F.substring(F.get("p", i + 1), 1, RIGHT).alias("after")))
+    values = F.transform(F.col("n"), lambda n, i: F.struct(
+        F.concat(n["q"], n["u"]).alias("value"),
+        F.substring(F.concat(F.get("np", i), F.substring(n["all"], F.lit(1), F.length(n["all"]) - F.length(n["u"]))), -LEFT, LEFT).alias("before"),
+        F.substring(F.concat(n["q_after"], n["u_after"]), 1, RIGHT).alias("after")))
+    # where quotes end a value without quotes is open (it's, or "?token=x"): both readings are candidates
+    head = lambda x: F.regexp_extract(x["value"], "^([^\"'`]+?)\\\\*[\"'`]", 1)
+    heads = F.transform(F.filter(F.arrays_zip(F.col("n.u").alias("u"), values.alias("x")), lambda z: z["u"].rlike("[\"'`]")), lambda z: F.struct(
+        head(z["x"]).alias("value"), z["x"]["before"].alias("before"),
+        F.substring(F.concat(F.substring(z["u"], F.length(head(z["x"])) + 1, F.lit(RIGHT)), z["x"]["after"]), 1, RIGHT).alias("after")))
+    # a value that is a whole run is among the runs
+    other = F.filter(F.concat(values, heads), lambda x: ~x["value"].rlike("^" + CANDIDATE + r"\z"))
+    return cut.select("id", "path", F.posexplode(F.concat(runs, F.coalesce(other, F.array().cast(
+        "array<struct<value:string,before:string,after:string>>")))).alias("ordinal", "c")).select("id", "path", "ordinal", "c.*")
 
 
 def letter_runs(text: Column) -> Column:

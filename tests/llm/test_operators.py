@@ -393,3 +393,32 @@ def test_forest_tells_keys_from_numbers(spark):
     assert len(found) == 60 + 120 + 2
     assert np.mean([(x.score >= 0.5) == bool(x.label) for x in found]) > 0.98
     assert secrets_forest.scan(docs.limit(0), secrets_forest.weak_labels).count() == 0
+
+
+def test_candidates_of_any_length_and_characters(spark):
+    run = "abcdefghijKLMNOPQRSTUV"
+    texts = {
+        'password = "hunter2!" x': ["hunter2!"], "a secret = 'p@ssw0rd-2024';": ["p@ssw0rd-2024"], f"key {run} end": [run],
+        f'token = "{run}"': [run], "db.password: s3cr&t,x\n": ["s3cr&t,x"], "?token=ab&secret=c!": ["ab", "c!"],
+        '{"password": "a \\"b\\" c", "x": 1}': ['a \\"b\\" c'], '"{\\"apiKey\\": \\"k y\\"}"': ["k y"], 'set_password("x y")': ["x y"],
+        'PRIVATE KEY: str = """one\ntwo"""': ["one\ntwo"], 'secret: "password=hunter2!"': ["password=hunter2!", "hunter2!", 'hunter2!"'],
+        f'auth="https://h/?sig={run}"': [run, f"https://h/?sig={run}"], 'password = ""': [], 'password = "open': ["open"], "hello = 'x'": [],
+        'token = "é' + "z!" * 50_000 + '"': ["é" + "z!" * 50_000], "token=" * 3000 + "x": ["token=" * 2999 + "x"], "token" * 20_000: ["token" * 20_000],
+    }
+    rows = secrets_forest.candidates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    found = {}
+    for x in sorted(rows, key=lambda x: (x.id, x.ordinal)):
+        found.setdefault(x.id, []).append(x.value)
+        assert x.before == "" or list(texts)[x.id].count(x.before + x.value + x.after)
+    for i, (text, values) in enumerate(texts.items()):
+        assert sorted(found.get(i, [])) == sorted(values), text[:80]
+    assert all([x.ordinal for x in rows if x.id == i] == list(range(len(v))) for i, v in found.items())
+
+
+def test_short_and_digit_free_secrets_are_labelled_and_scored(spark):
+    r = random.Random(9)
+    kinds = ["hunter2!", "p@ssw0rd-2024", "QwErTyUiOpAsDfGhJkLzXc"]
+    rows = [(i, f'{words(20, i)} password = "{kinds[i % 3]}" {words(5, i)} id {r.randrange(10**15, 10**16)} end', "src/a") for i in range(60)]
+    found = secrets_forest.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"), secrets_forest.weak_labels, min_docs=50).collect()
+    assert {(x.value, x.label) for x in found if x.label} == {(k, 1) for k in kinds} and len(found) == 120
+    assert all((x.score >= 0.5) == bool(x.label) for x in found)
