@@ -14,7 +14,8 @@ signs just before and after).  A random forest trained from labelled findings
 scores them; findings below the threshold are false positives.
 
 The fit takes at most ``MAX_LABELLED`` labelled findings, those with the
-smallest hash; candidates, dictionary counts and scores cover all rows.
+smallest hash of each class (half of them each, or all of a smaller class),
+weighted by the full counts of the classes; candidates, dictionary counts and scores cover all rows.
 
 Defined results: null and empty texts have no candidates; a null path is empty;
 null ids and repeated rows are kept as they are, one finding each; labelled
@@ -24,6 +25,8 @@ score (0.5 for none); an empty table gives no rows.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
@@ -122,13 +125,19 @@ def fit(labelled: DataFrame, trees: int = 20, depth: int = 5, seed: int = 7, max
     """labelled: feature columns and label (0 or 1).  A fitted model, or a
     number where the labels have one class only."""
     order = F.xxhash64("value", F.col("id").cast("string"), "ordinal")
-    sample = cut_lineage(labelled.where("label is not null").orderBy(order, "value").limit(max_labelled).select(*FEATURES, F.col("label").cast("double")))
-    seen = sorted(r["label"] for r in sample.select("label").distinct().collect())
+    labelled = labelled.where("label is not null").withColumn("label", F.col("label").cast("double"))
+    seen = {r["label"]: r["count"] for r in labelled.groupBy("label").count().collect()}
     if len(seen) < 2:
-        return seen[0] if seen else 0.5
+        return next(iter(seen), 0.5)
+    # what one class leaves of its half goes to the other; weights give the classes their full counts back
+    total = sum(seen.values())
+    taken = {k: min(n, max(1, max_labelled // 2, max_labelled - (total - n))) for k, n in seen.items()}
+    sample = cut_lineage(reduce(DataFrame.unionByName, (
+        labelled.where(F.col("label") == k).orderBy(order, "value").limit(taken[k]).select(*FEATURES, "label", F.lit(seen[k] / taken[k]).alias("weight"))
+        for k in sorted(seen))))
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(FEATURES), outputCol="features"),
-        RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=seed, minInstancesPerNode=2, featureSubsetStrategy="sqrt"),
+        RandomForestClassifier(weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed, minInstancesPerNode=2, featureSubsetStrategy="sqrt"),
     ]).fit(sample)
 
 

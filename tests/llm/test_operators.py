@@ -422,3 +422,16 @@ def test_short_and_digit_free_secrets_are_labelled_and_scored(spark):
     found = secrets_forest.scan(spark.createDataFrame(rows, "doc_id long, text string, source string"), secrets_forest.weak_labels, min_docs=50).collect()
     assert {(x.value, x.label) for x in found if x.label} == {(k, 1) for k in kinds} and len(found) == 120
     assert all((x.score >= 0.5) == bool(x.label) for x in found)
+
+
+def test_rare_class_is_in_the_bounded_fit(spark):
+    r = random.Random(10)
+    hexes = lambda: "".join(r.choice("0123456789abcdef") for _ in range(40))
+    rows = [(i, f'token = "{hexes()}"' if i % 100 == 0 else f"commit {hexes()} end", "src/a") for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    featured = secrets_forest.with_features(secrets_forest.candidates(docs, path_col="source"), secrets_forest.dictionary(docs))
+    labelled = featured.withColumn("label", secrets_forest.weak_labels(featured))
+    found = secrets_forest.score(labelled, secrets_forest.fit(labelled, max_labelled=20)).collect()
+    assert len(found) == 800 and sum(x.label for x in found) == 8
+    assert all((x.score >= 0.5) == bool(x.label) for x in found)
+    assert secrets_forest.fit(labelled.where("label = 1"), max_labelled=20) == 1.0
