@@ -10,8 +10,8 @@ blocks of a matrix product.  The ``neighbours`` nearest vote with their
 similarity.
 
 The fit is bounded: at most ``MAX_LABELLED`` labelled rows (those with the
-smallest hash of their id, so the choice does not depend on order), each a
-vector of ``DIM`` numbers, whatever the size of the corpus.
+smallest hash of their id, so the choice does not depend on order; of the rows
+that share an id the one with the smallest text), each a vector of ``DIM`` numbers, whatever the size of the corpus.
 
 Labels, language, source and id are never inputs of a score.  Defined results:
 null and empty texts have the one term "empty" and are scored like others;
@@ -162,9 +162,10 @@ def fit(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array(at, pa.binary()), pa.array(values, pa.binary()), batch.column(1), batch.column(2)],
                                              names=["at", "x", "label", "id"])
 
+    # rows that share an id count once, by their smallest text
     rows = docs.select(col(id_col).alias("id"), col(text_col).cast("string").alias("text")).join(chosen, "id") \
-        .select("text", "label", col("id").cast("string").alias("id")).mapInArrow(sparse, "at binary, x binary, label int, id string") \
-        .limit(2 * max_labelled).collect()
+        .groupBy("id").agg(F.min("text").alias("text"), F.max("label").alias("label")) \
+        .select("text", "label", col("id").cast("string").alias("id")).mapInArrow(sparse, "at binary, x binary, label int, id string").collect()
     rows.sort(key=lambda r: (r["id"], r["at"], r["x"]))
     matrix = np.zeros((len(rows), TERMS), np.float32)
     for i, r in enumerate(rows):

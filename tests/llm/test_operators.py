@@ -435,3 +435,13 @@ def test_rare_class_is_in_the_bounded_fit(spark):
     assert len(found) == 800 and sum(x.label for x in found) == 8
     assert all((x.score >= 0.5) == bool(x.label) for x in found)
     assert secrets_forest.fit(labelled.where("label = 1"), max_labelled=20) == 1.0
+
+
+def test_quality_fit_takes_one_row_per_id(spark):
+    rows = [(1, words(20 + i, i)) for i in range(30)] + [(i, words(20, 100 + i)) for i in range(2, 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 5)], "doc_id long, quality int")
+    spaces = [quality_knn.fit(d, labels, max_labelled=4) for d in (docs, docs.repartition(7))]
+    assert sorted(spaces[0].labels) == [0, 0, 1, 1]
+    one = np.stack([quality_knn.terms(min(t for i, t in rows if i == k)) for k in range(1, 5)])
+    assert np.array_equal(spaces[0].scores(one), spaces[1].scores(one))
