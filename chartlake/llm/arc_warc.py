@@ -249,7 +249,7 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict, bytes]]:
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """One row per record of the archives in ``folder``; the body's own length
-    and digest are computed anew."""
+    and digest are computed anew, and a response whose headers tell others fails."""
     schema = pa.schema([(a, pa.int64() if b == "long" else pa.string()) for a, b in (x.split() for x in READ.split(", "))])
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,11 +260,14 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
                     head, _, payload = block.partition(b"\r\n\r\n")
                     http = dict(x.split(": ", 1) for x in head.decode("utf-8", "surrogatepass").split("\r\n")[1:] if ": " in x)
                     page = http.get("X-Page-Id")
+                    size, digest = int(http["Content-Length"]), headers["WARC-Payload-Digest"].removeprefix("sha1:")
+                    body = digest_of(payload)
+                    if headers["WARC-Type"] == "response" and (len(payload), body) != (size, digest):  # a revisit has no body of its own
+                        raise ValueError(f"the body of a WARC record is not the one its headers tell of: {headers['WARC-Record-ID']}")
                     rows.append({
                         "record_id": headers["WARC-Record-ID"], "record_type": headers["WARC-Type"], "refers_to_id": headers.get("WARC-Refers-To"),
                         "page_id": None if page is None else int(page), "url": headers["WARC-Target-URI"], "warc_date": headers["WARC-Date"],
-                        "payload_bytes": int(http["Content-Length"]), "payload_digest": headers["WARC-Payload-Digest"].removeprefix("sha1:"),
-                        "body_bytes": len(payload), "body_digest": digest_of(payload)})
+                        "payload_bytes": size, "payload_digest": digest, "body_bytes": len(payload), "body_digest": body})
                 if rows:
                     yield pa.RecordBatch.from_pylist(rows, schema=schema)
 

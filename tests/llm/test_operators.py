@@ -2,6 +2,7 @@
 column, empty and very long texts, ties, repeated rows, empty tables, extra
 columns whose names clash with the operators' own."""
 
+import gzip
 import hashlib
 import random
 
@@ -445,3 +446,14 @@ def test_quality_fit_takes_one_row_per_id(spark):
     assert sorted(spaces[0].labels) == [0, 0, 1, 1]
     one = np.stack([quality_knn.terms(min(t for i, t in rows if i == k)) for k in range(1, 5)])
     assert np.array_equal(spaces[0].scores(one), spaces[1].scores(one))
+
+
+def test_altered_warc_bodies_are_refused(spark, tmp_path):
+    df = spark.createDataFrame([(1, "u", "first page"), (2, "v", "first page")], "page_id long, url string, html string")
+    arc_warc.write_warc(arc_warc.to_warc(arc_warc.records_of(df.coalesce(1))), str(tmp_path / "whole"), 10)
+    assert sorted(r.body_bytes for r in arc_warc.read_warc(spark, str(tmp_path / "whole")).collect()) == [0, 10]
+    data = b"".join(arc_warc.gunzip(f.read_bytes()) for f in (tmp_path / "whole").glob("part-*"))
+    (tmp_path / "altered").mkdir()
+    (tmp_path / "altered" / "part-0.gz").write_bytes(gzip.compress(data.replace(b"first page", b"other page")))
+    with pytest.raises(Exception, match="not the one its headers tell of"):
+        arc_warc.read_warc(spark, str(tmp_path / "altered")).collect()
