@@ -161,7 +161,8 @@ def scan(docs: DataFrame, labels, id_col: str = "doc_id", text_col: str = "text"
     function of the featured candidates that gives the label column (null where
     a finding has none); rows under ``held_out`` (a column over ``id``) never
     take part in the fit."""
-    featured = cut_lineage(with_features(candidates(docs, id_col, text_col, path_col), dictionary(docs, text_col, min_docs)))
+    found = cut_lineage(candidates(docs, id_col, text_col, path_col))  # used twice, read from the texts once
+    featured = cut_lineage(with_features(found, dictionary(docs, text_col, min_docs)))
     labelled = featured.withColumn("label", labels(featured))
     model = fit(labelled.where(~held_out) if held_out is not None else labelled)
     return score(labelled, model)
