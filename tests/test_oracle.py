@@ -10,7 +10,7 @@ import __spark_entry__ as E
 from chartlake.registry import QUERIES
 from tools.oracle_check import TABLES, digest
 
-from conftest import SF_SMALL
+from tiny import SF_SMALL
 
 NAMES = sorted(E.oracle_sql())
 

@@ -84,7 +84,7 @@ def test_mart_without_broadcast_gives_same_rows(spark):
 
     from chartlake.plans import marts as M
     from chartlake.sources import testdata as TD
-    from conftest import SF_SMALL
+    from tiny import SF_SMALL
 
     star = TD.load_fixture(spark, SF_SMALL).star
     wide = dataclasses.replace(star, calendar_days=10**6)  # forces the shuffle-join path

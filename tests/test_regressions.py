@@ -14,8 +14,7 @@ from chartlake.session import ensure_checkpoint_dir
 from chartlake.sources import staging as st
 from chartlake.sources import testdata as TD
 
-from conftest import SF_SMALL
-from tiny import dim_time, tracks, weather
+from tiny import SF_SMALL, dim_time, tracks, weather
 
 D = dt.date
 ENTRY = "chart_date date, country string, song_uuid string, streams long, position int"

@@ -9,7 +9,7 @@ from chartlake.plans import warehouse as WH
 from chartlake.sources import staging as ST
 from chartlake.sources import testdata as TD
 
-from conftest import SF_SMALL
+from tiny import SF_SMALL
 
 
 def counts(spark, root):

@@ -1,4 +1,4 @@
-"""Hand-made star schemas for edge-rule tests."""
+"""Hand-made star schemas for edge-rule tests, and the smallest given tables."""
 
 import datetime as dt
 
@@ -6,6 +6,8 @@ from chartlake import schemas as S
 from chartlake.functions import calendar as cal
 from chartlake.operators.dims import Star
 
+SF_SMALL = "/root/testdata/sf0.001"
+
 
 def dim_time(spark, start, end):
     days = cal.date_spine(cal.literal_range(spark, start, end))
