@@ -2,8 +2,11 @@
 
 import base64
 import hashlib
+import itertools
+import math
 import re
 from collections import Counter, defaultdict
+from decimal import Decimal
 
 BLANK = re.compile(r"[\x20\x09-\x0D]+")
 ITEM_WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -128,3 +131,107 @@ def chat(turns, loss_role="assistant"):
         loss = "".join(x for _, r, x in own if r == loss_role)
         out[c] = (len(own), sha("".join(f"{r}\n{x}\n" for _, r, x in own)), len(loss), sha(loss))
     return out
+
+
+def repeat_words(words):
+    """Words inside 3-word windows found twice or more."""
+    grams = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    found = Counter(grams)
+    return len({i + k for i, g in enumerate(grams) if found[g] > 1 for k in range(3)})
+
+
+def quality_counts(text):
+    """{name: count} of a text"""
+    t = text or ""
+    w = WORD.findall(t)
+    lines = [x for x in t.split("\n") if WORD.search(x)]
+    return {"n_words": len(w), "word_chars": sum(map(len, w)), "n_symbols": len(re.findall(r"[#*$%&|<>]", t)), "n_lines": len(lines),
+            "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": repeat_words(w), "n_upper": len(re.findall("[A-Z]", t)),
+            "n_marks": len(re.findall("[!?]", t))}
+
+
+def binomial_tail(k, n, rate):
+    p = Decimal(rate)
+    return float(sum(math.comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(k + 1)))
+
+
+def quality_rules(docs, labels, rules, risk, miss):
+    """docs: (id, stratum, text) -> [(id, counts, base_failed, kept)] in order"""
+    rows = []
+    for d, s, t in docs:
+        c = quality_counts(t)
+        rows.append((d, s, c, c["n_words"] < 50 or 100 * c["n_repeat_words"] > 50 * c["n_words"]))
+    marks = defaultdict(set)
+    for d, q in labels:
+        if d is not None and q is not None:
+            marks[d].add(q)
+    good = [(s, c) for d, s, c, failed in rows if not failed and marks.get(d) == {1}]
+    strata = {s for s, _ in good}
+
+    def rejects(rule, cutoff, c):
+        a, b = 100 * c[rule.part], cutoff * c[rule.whole]
+        return a > b if rule.above else a < b
+
+    cut = {}
+    for s in strata:
+        own = [c for x, c in good if x == s]
+        for rule in rules:
+            for cutoff in rule.grid:
+                k = sum(rejects(rule, cutoff, c) for c in own)
+                if binomial_tail(k, len(own), risk / len(rules)) > miss / (len(strata) * len(rules)):
+                    break
+                cut[s, rule.name] = cutoff
+    return [(d, c, failed, not failed and not any((s, r.name) in cut and rejects(r, cut[s, r.name], c) for r in rules)) for d, s, c, failed in rows]
+
+
+SEARCH_TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def lexical(docs, queries, k=10):
+    """{(query, rank): (id, score)} by scoring every document for every query."""
+    rows = [(d, Counter(SEARCH_TERM.findall(low(t)))) for d, t in docs]
+    rows = [(d, c) for d, c in rows if c]
+    total = sum(sum(c.values()) for _, c in rows)
+    df = Counter(t for _, c in rows for t in c)
+    asked = defaultdict(Counter)
+    for q, t in queries:
+        asked[q].update(SEARCH_TERM.findall(low(t)))
+    out = {}
+    for q, terms in asked.items():
+        scored = []
+        for d, c in rows:
+            m = 25 + 75 * sum(c.values()) * len(rows) // total
+            s = sum(n * math.floor(1000 * math.log((2 * len(rows) + 2) / (2 * df[t] + 1))) * (10 ** 9 * c[t] // (1000 * c[t] + 8 * m)) for t, n in terms.items() if t in c)
+            if s > 0:
+                scored.append((-s, d is None, d))
+        for i, x in enumerate(sorted(scored, key=lambda x: (x[0], x[1], 0 if x[1] else x[2]))[:k]):
+            out[q, i + 1] = (x[2], -x[0])
+    return out
+
+
+def audit(docs, labels):
+    """docs: (id, part, text); labels: (id, quality, toxic) -> {(part, order, step): counts} by applying every order."""
+    least = {}
+    for d, _, t in docs:
+        if d is not None:
+            least[t or ""] = min(d, least.get(t or "", d))
+    good, toxic = ({d for d, *x in labels if x[i] == 1 and d is not None} for i in (0, 1))
+    rows = defaultdict(list)
+    for d, p, t in docs:
+        t = t or ""
+        w = WORD.findall(t)
+        fails = {"A": len(w) < 100, "B": 100 * len(set(w)) < 80 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 10 * len(t),
+                 "D": bool(re.search(r"[#$%&*|]", t)), "E": d is not None and least[t] < d}
+        rows[p or ""].append((d, {x for x, y in fails.items() if y}))
+    out, sums = {}, Counter()
+    for part, own in rows.items():
+        for order in itertools.permutations("ABCDE"):
+            kept = own
+            for i, x in enumerate(order):
+                gone = [r for r in kept if x in r[1]]
+                kept = [r for r in kept if x not in r[1]]
+                failing = sum(x in r[1] for r in own)
+                sums[part, x] += len(gone)
+                out[part, "".join(order), i + 1] = [len(kept), len(gone), failing - len(gone), sum(r[1] == {x} for r in own),
+                                                    sum(r[0] in good for r in gone), sum(r[0] in toxic for r in gone), x]
+    return {key: (*v[:-1], sums[key[0], v[-1]]) for key, v in out.items()}

@@ -9,7 +9,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_queries_are_named_by_operator():
-    assert sorted(QUERIES) == sorted(["pipeline", *[k for n in range(1, 11) for k in QUERIES if k.startswith(f"op{n}_")]])
+    assert sorted(QUERIES) == sorted(["pipeline", *[k for n in range(1, 14) for k in QUERIES if k.startswith(f"op{n}_")]])
 
 
 def test_stages(spark, tmp_path):
