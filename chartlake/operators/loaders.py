@@ -255,47 +255,64 @@ def latest_staged(staged: DataFrame, order_col: str | None = None) -> DataFrame:
     return first_per_key(staged.filter(F.col("song_uuid").isNotNull()), "song_uuid", order, last=True)
 
 
+def feature_changes(staged: DataFrame, order_col: str | None = None) -> DataFrame:
+    """Staged features -> one change per song (TRACK_CHANGE): the values a merge
+    applies.  Work in proportion to the staged rows; the dimension is not read."""
+    s = latest_staged(staged, order_col)
+    cols = {
+        "track_id": F.col("song_uuid"),
+        "track_name": F.col("song_name"),
+        "artist_names": F.col("artist_name"),
+        "genre": sc.genre_root(F.col("genres")),
+        "duration_ms": sc.seconds_to_ms(F.col("duration")),
+        "release_date": F.col("release_date").cast("string"),
+        "language_code": F.col("language_code"),
+        "image_url": F.col("image_url"),
+        **{c: F.col(c).cast("double") for c in S.AUDIO_DOUBLES},
+        **{c: sc.nullable_int(F.col(c)) for c in S.AUDIO_INTS},
+        "genre_set": F.coalesce(sc.genre_list_non_empty(F.col("genres")), F.lit(False)),
+    }
+    return s.select(*[cols[f.name].alias(f.name) for f in S.TRACK_CHANGE.fields])
+
+
+def overlay_changes(tracks: DataFrame, changes: DataFrame, seq: str, broadcast: bool = False) -> DataFrame:
+    """Track rows with all later changes applied, in order (merge on read).
+
+    Both sides carry ``seq``; a change applies to a track row that is not younger
+    than it, so changes of tracks that were not known then never apply (JN-15).
+    Name and artist are the last ones that are not NULL, the genre the last one
+    whose text named a genre, every other column that of the last change, even
+    NULL.  A track has at most one change per merge, so its list is as short as
+    the number of merges since the last compaction."""
+    values = [f.name for f in S.TRACK_CHANGE.fields if f.name != "track_id"]
+    per_track = changes.groupBy("track_id").agg(
+        F.sort_array(F.collect_list(F.struct(seq, *values)), asc=False).alias("_changes"))
+    j = tracks.join(F.broadcast(per_track) if broadcast else per_track, "track_id", "left") \
+        .withColumn("_later", F.filter("_changes", lambda c: c[seq] >= F.col(seq)))
+    last = F.get(F.col("_later"), F.lit(0))
+
+    def value(n: str) -> Column:
+        if n == "track_id":
+            return F.col(n)
+        if n in ("track_name", "artist_names"):
+            return F.coalesce(F.get(F.filter("_later", lambda c: c[n].isNotNull()), F.lit(0))[n], F.col(n))
+        if n == "genre":
+            named = F.get(F.filter("_later", lambda c: c["genre_set"]), F.lit(0))
+            return F.when(named.isNotNull(), named[n]).otherwise(F.col(n))
+        return F.when(last.isNotNull(), last[n]).otherwise(F.col(n))
+
+    return j.select(*[value(f.name).alias(f.name) for f in S.DIM_TRACK.fields])
+
+
 def merge_track_features(dim_track: DataFrame, staged: DataFrame, order_col: str | None = None) -> DataFrame:
-    """New version of the track dimension with staged features applied (LD-5).
+    """The track dimension with staged features applied (LD-5).
 
     Only known tracks change (unmatched staged rows are ignored, JN-15).
     Name and artist change only when the staged value is not NULL; every
     other column is overwritten, even by NULL; the genre changes only when
     the staged text parses to a non-empty list.
     """
-    s = latest_staged(staged, order_col)
-    proj = s.select(
-        F.col("song_uuid").alias("track_id"),
-        F.lit(True).alias("_hit"),
-        F.col("song_name").alias("_s_track_name"),
-        F.col("artist_name").alias("_s_artist_names"),
-        sc.genre_list_non_empty(F.col("genres")).alias("_s_genre_ok"),
-        sc.genre_root(F.col("genres")).alias("_s_genre"),
-        sc.seconds_to_ms(F.col("duration")).alias("_s_duration_ms"),
-        F.col("release_date").cast("string").alias("_s_release_date"),
-        F.col("language_code").alias("_s_language_code"),
-        F.col("image_url").alias("_s_image_url"),
-        *[F.col(c).cast("double").alias("_s_" + c) for c in S.AUDIO_DOUBLES],
-        *[sc.nullable_int(F.col(c)).alias("_s_" + c) for c in S.AUDIO_INTS],
-    )
-    j = dim_track.join(proj, "track_id", "left")
-    hit = F.coalesce(F.col("_hit"), F.lit(False))
-
-    def overwrite(name: str) -> Column:
-        return F.when(hit, F.col("_s_" + name)).otherwise(F.col(name)).alias(name)
-
-    out = []
-    for fld in S.DIM_TRACK.fields:
-        n = fld.name
-        if n == "track_id":
-            out.append(F.col(n))
-        elif n in ("track_name", "artist_names"):
-            out.append(F.coalesce(F.when(hit, F.col("_s_" + n)), F.col(n)).alias(n))
-        elif n == "genre":
-            out.append(F.when(hit & F.col("_s_genre_ok"), F.col("_s_genre")).otherwise(F.col(n)).alias(n))
-        else:
-            out.append(overwrite(n))
-    return j.select(*out)
+    return overlay_changes(dim_track.withColumn("_seq", F.lit(0)), feature_changes(staged, order_col).withColumn("_seq", F.lit(1)), "_seq")
 
 
 def updated_track_count(dim_track: DataFrame, staged: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ few rows, and then take means weighted by the number of entries.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartlake import config as C
@@ -113,6 +113,21 @@ def current_top_tracks(star: Star, cfg: C.MartConfig = C.DEFAULT_MART, country:
     )
 
 
+def latest_chart_tops(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
+    """Top tracks of each country's own latest chart (WN-5); ``cfg.country`` None takes all countries.
+
+    The latest date of a country is a map-side combined maximum; its chart is cut
+    to the first ``top_limit`` rows by a ranking that every task cuts to that many
+    rows a country before they are shuffled, so a hot country is no hot task."""
+    dated = by_country(star.fact, cfg.country).join(star.calendar(star.dim_time.select("date_id", "date")), "date_id")
+    latest = dated.groupBy("country").agg(F.max("date_id").alias("date_id"))
+    place = F.row_number().over(Window.partitionBy("country").orderBy(F.col("chart_position").asc_nulls_first(), "track_id"))
+    top = dated.join(latest, ["country", "date_id"]).withColumn("place", place).filter(F.col("place") <= cfg.top_limit)
+    return top.join(star.dim_track.select("track_id", "track_name", "artist_names", "image_url"), "track_id").select(
+        "country", "place", "track_name", "artist_names", "image_url", F.col("stream_count").alias("streams"),
+        F.col("chart_position").alias("position"), F.col("date").alias("chart_date"))
+
+
 # --- Q3 ---------------------------------------------------------------------------
 
 def weekly_feature_changes(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:

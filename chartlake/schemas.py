@@ -63,6 +63,22 @@ WAREHOUSE = {
     "fact_track_chart": FACT_TRACK_CHART,
 }
 
+# Changes of tracks, merged on read: the values of a staged row, and whether its
+# genre text named a genre.
+TRACK_CHANGE = T.StructType([
+    *[T.StructField(f.name, f.dataType, f.name != "track_id") for f in DIM_TRACK.fields],
+    T.StructField("genre_set", _B, False),
+])
+
+# Files that streaming queries have loaded.
+LOADED_FILE = _struct(("query", _S, False), ("epoch", _L, False), ("file", _S, False))
+
+# Sketches of the distinct tracks of a week, by the fact batch they stand for.
+TRACK_SKETCH = _struct(("country", _S, False), ("date_id", _I, False), ("of_batch", _S, False), ("entries", _L, False), ("sketch", T.BinaryType(), False))
+
+#: All tables that the commit log may name.
+STORED = {**WAREHOUSE, "loaded_file": LOADED_FILE, "track_sketch": TRACK_SKETCH}
+
 # Staging records -----------------------------------------------------------
 
 CHART_ENTRY = _struct(
@@ -127,8 +143,9 @@ CHART_ITEM_DDL = (
     "entryState:string, entryDate:string, rankDate:string, timeOnChart:int, "
     f"timeOnChartUnit:string, song:{SONG_REF}>"
 )
-# Items stay text, so that fields outside the declared ones are kept.
-CHART_PAGE_DDL = "chart_date string, country string, items array<string>"
+# Items stay text, so that fields outside the declared ones are kept; offset is
+# that of the page's request, its place among the pages of the chart.
+CHART_PAGE_DDL = "chart_date string, country string, offset bigint, items array<string>"
 
 AUDIO_DDL = (
     "struct<acousticness:double, danceability:double, energy:double, instrumentalness:double, "

@@ -62,6 +62,19 @@ def chart_pages_json(chart_raw: DataFrame) -> DataFrame:
     return pages.select(F.to_json(F.struct("chart_date", "country", "items")).alias("value"))
 
 
+def short_pages_json(chart_raw: DataFrame, size: int = 20) -> DataFrame:
+    """Pages of ``size`` items in rank order, each with its offset, whose items'
+    positions are partly missing (every sixth) or repeat the one before (every fifth)."""
+    p = F.col("position")
+    odd = chart_raw.select("chart_date", "country", "song_uuid", "streams", p.alias("rank"),
+                           F.when(p % 6 == 0, F.lit(None).cast("int")).when(p % 5 == 0, p - 1).otherwise(p).alias("position"))
+    item = F.struct("position", F.col("streams").alias("metric"), F.struct(F.col("song_uuid").alias("uuid")).alias("song"))
+    paged = odd.select(F.concat(cal.iso_label("chart_date"), F.lit("T00:00:00+00:00")).alias("chart_date"), "country",
+                       (F.floor((F.col("rank") - 1) / size) * size).alias("offset"), F.struct("rank", item.alias("item")).alias("ranked"))
+    pages = paged.groupBy("chart_date", "country", "offset").agg(F.array_sort(F.collect_list("ranked")).alias("ranked"))
+    return pages.select(F.to_json(F.struct("chart_date", "country", "offset", F.col("ranked.item").alias("items"))).alias("value"))
+
+
 def song_docs_json(part: DataFrame) -> DataFrame:
     """Song metadata documents; ``isrc`` is an object for even keys and a bare
     string for odd ones; audio is all-NULL for k % 7 == 0 and absent for

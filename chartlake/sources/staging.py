@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -80,16 +80,32 @@ def parse_chart_pages(text: DataFrame, col: str = "value") -> DataFrame:
     return text.select(F.from_json(F.col(col), S.CHART_PAGE_DDL).alias("p")).select("p.*")
 
 
+def first_items(pages: DataFrame, n: int) -> DataFrame:
+    """Pages cut to the first ``n`` items of each chart's pages, joined in order
+    of their offset (SRC-9, WN-6).
+
+    A chart is a (chart date[, country]).  An item's own position plays no part,
+    so items without one, or with one that repeats, stay in their place.  The
+    first ``n`` pages that hold items are enough and are found by a ranking that
+    each task cuts to ``n`` rows a chart; what is left of ``n`` for a page follows
+    from the sizes of the pages before it, so no items are shuffled alone."""
+    keys = [c for c in pages.columns if c not in ("items", "offset")]
+    order = [F.col("offset").asc_nulls_first(), F.col("items")] if "offset" in pages.columns else [F.col("items")]
+    chart = Window.partitionBy(*keys).orderBy(*order)
+    held = pages.filter(F.size("items") > 0).withColumn("_page", F.row_number().over(chart)).filter(F.col("_page") <= n)
+    before = F.sum(F.size("items")).over(Window.partitionBy(*keys).orderBy("_page").rowsBetween(Window.unboundedPreceding, -1))
+    return held.withColumn("_before", F.coalesce(before, F.lit(0))).filter(F.col("_before") < n) \
+        .withColumn("items", F.slice("items", F.lit(1), (F.lit(n) - F.col("_before")).cast("int"))).select(*pages.columns)
+
+
 def chart_items(pages: DataFrame, top_n: int | None = None) -> DataFrame:
     """Pages of one chart -> one row per item: ``item`` (declared fields) and
-    ``item_json`` (the whole item as text); with ``top_n`` only the positions up
-    to N of every (chart date[, country]) are kept (SRC-9)."""
-    keys = [c for c in pages.columns if c != "items"]
-    items = pages.select(*keys, F.explode("items").alias("item_json")) \
+    ``item_json`` (the whole item as text); with ``top_n`` only the first N items
+    of every (chart date[, country]) (see :func:`first_items`)."""
+    keys = [c for c in pages.columns if c not in ("items", "offset")]
+    pages = pages if top_n is None else first_items(pages, top_n)
+    return pages.select(*keys, F.explode("items").alias("item_json")) \
         .withColumn("item", F.from_json("item_json", S.CHART_ITEM_DDL))
-    if top_n is not None:
-        items = items.filter(F.col("item.position") <= top_n)
-    return items
 
 
 def flatten_chart_items(items: DataFrame, fetched_at: Column | None = None) -> DataFrame:

@@ -204,6 +204,16 @@ LIMIT {limit}
 """)
 
 
+def latest_chart_tops(limit: int) -> str:
+    return with_fixture(f"""
+, charted AS (SELECT f.*, t.date FROM fact_track_chart f JOIN dim_time t ON f.date_id = t.date_id WHERE f.country <> 'at' OR f.date_id < 20010901),
+placed AS (SELECT c.*, CAST(row_number() OVER (PARTITION BY c.country ORDER BY c.chart_position NULLS FIRST, c.track_id) AS INTEGER) AS place
+           FROM charted c JOIN (SELECT country, max(date) AS d FROM charted GROUP BY country) l ON c.country = l.country AND c.date = l.d)
+SELECT p.country, p.place, k.track_name, k.artist_names, k.image_url, p.stream_count AS streams, p.chart_position AS position, p.date AS chart_date
+FROM placed p JOIN dim_track k ON k.track_id = p.track_id WHERE p.place <= {limit}
+""")
+
+
 def weekly_feature_changes(country: str = "de") -> str:
     feats = ["valence", "danceability", "energy", "tempo", "acousticness"]
     weather = [("temperature", "temperature_avg"), ("sunshine", "sunshine_hours"), ("precipitation", "precipitation_mm")]
@@ -635,7 +645,7 @@ SELECT *, missing_weather_dates + missing_chart_sundays + missing_features = 0 A
 # --- sources and sinks ---------------------------------------------------------------------------
 
 CHART_TOP_N = with_fixture("""
-SELECT chart_date, country, position, CASE WHEN position % 50 = 0 THEN NULL ELSE song_uuid END AS song_uuid, streams
+SELECT chart_date, country, CAST(CASE WHEN position % 6 = 0 THEN NULL WHEN position % 5 = 0 THEN position - 1 ELSE position END AS INTEGER) AS position, song_uuid, streams
 FROM chart_raw WHERE position <= 50
 """)
 
@@ -739,10 +749,10 @@ SELECT strftime(chart_date, '%Y-%m-%d') AS chart_date, country, position, song_u
 
 STAGING_UNION_DEDUP = with_fixture("""
 SELECT song_uuid, song_name, artist_name, duration, round(danceability, 6) AS danceability, genres
-FROM features_staged
+FROM features_all
 UNION ALL
-SELECT CAST(p_partkey AS VARCHAR), 'New ' || p_name, p_brand, CAST(p_size * 2.0 AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR)
-FROM part WHERE p_partkey % 2 = 0 AND p_partkey % 3 <> 0
+SELECT 'b' || CAST(p_partkey AS VARCHAR), 'New ' || p_name, p_brand, CAST(p_size * 2.0 AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS VARCHAR)
+FROM part
 """)
 
 # --- quality ----------------------------------------------------------------------------------------
@@ -793,8 +803,8 @@ FROM cnt
 STAGING_SUMMARY = with_fixture("""
 SELECT count(*) AS chart_rows, min(chart_date) AS first_chart_date, max(chart_date) AS last_chart_date,
        count(DISTINCT chart_date) AS chart_weeks, count(DISTINCT song_uuid) AS distinct_songs,
-       (SELECT count(*) FROM features_staged) AS feature_rows,
-       (SELECT count(DISTINCT song_uuid) FROM features_staged) AS feature_songs
+       (SELECT count(*) FROM features_all) AS feature_rows,
+       (SELECT count(DISTINCT song_uuid) FROM features_all) AS feature_songs
 FROM chart_raw
 """)
 
@@ -974,6 +984,24 @@ UNION ALL SELECT 'dim_weather', count(*) FROM dim_weather
 UNION ALL SELECT 'fact_track_chart', count(*) FROM fact_track_chart
 """)
 
+WAREHOUSE_CREATE = f"""
+SELECT "table", CAST(0 AS BIGINT) AS rows_created, rows, true AS created, false AS created_again FROM ({WAREHOUSE_ROW_COUNTS})
+"""
+
+WAREHOUSE_VERSIONS = with_fixture("""
+, v(version) AS (VALUES (1), (2))
+SELECT version, 'dim_time' AS "table", (SELECT count(*) FROM dim_time) AS rows FROM v
+UNION ALL SELECT version, 'dim_track', (SELECT count(*) FROM dim_track) FROM v
+UNION ALL SELECT version, 'dim_weather', (SELECT count(*) FROM dim_weather WHERE version = 2 OR date_id < 20010901) FROM v
+UNION ALL SELECT version, 'fact_track_chart', (SELECT count(*) FROM fact_track_chart WHERE version = 2 OR date_id < 20010901) FROM v
+""")
+
+UNIQUE_TRACKS_SKETCH = with_fixture("""
+SELECT f.country, CAST(year(t.date) AS INTEGER) AS year, CAST(quarter(t.date) AS INTEGER) AS quarter, count(*) AS entries,
+       count(DISTINCT f.track_id) AS unique_tracks, true AS within_3_percent
+FROM fact_track_chart f JOIN dim_time t ON f.date_id = t.date_id GROUP BY ALL
+""")
+
 WAREHOUSE_REFRESH = with_fixture("""
 SELECT 'dim_time' AS "table", count(*) AS rows FROM dim_time
 UNION ALL SELECT 'dim_track', (SELECT count(DISTINCT song_uuid) FROM chart_raw)
