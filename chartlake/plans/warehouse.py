@@ -19,6 +19,7 @@ read; a load into it starts a log with its tables.
 from __future__ import annotations
 
 import datetime as _dt
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,6 +45,10 @@ TRACK_BATCHES = 16
 #: Batches of any other table below this size are rewritten as one when there are ``FANOUT`` of them.
 SMALL_ROWS = 5_000_000
 FANOUT = 16
+#: Times a load is staged where other writers publish first.
+ATTEMPTS = 3
+#: Versions that stay readable.
+KEEP_VERSIONS = 10
 
 
 def _p(root: str, name: str) -> str:
@@ -149,12 +154,36 @@ def compact(tx: Transaction) -> Transaction:
     return tx
 
 
+def publish(spark: SparkSession, root: str, stage: Callable[[Transaction], None]) -> Snapshot:
+    """Run ``stage`` in a transaction, compact and commit.  Where another writer
+    publishes first, stage anew on its state.  Now and then, batches and log
+    files that only old versions name are deleted."""
+    for attempt in range(ATTEMPTS):
+        tx = begin(spark, root)
+        stage(tx)
+        try:
+            at = compact(tx).commit()
+        except log.CommitConflict:
+            if attempt == ATTEMPTS - 1:
+                raise
+            continue
+        if at.version % KEEP_VERSIONS == 0 and at.version != tx.base.version:
+            log.vacuum(spark, root, keep=KEEP_VERSIONS)
+        return at
+    raise AssertionError("no attempt was made")
+
+
 def merge_features(spark: SparkSession, root: str, staged: DataFrame, order_col: str | None = None) -> Snapshot:
     """Merge staged features into the published track dimension (SNK-4, LD-5):
     bytes written grow with the staged rows, not with the dimension."""
-    tx = begin(spark, root)
-    tx.append(ld.feature_changes(staged, order_col), "dim_track", "changes")
-    return compact(tx).commit()
+    return publish(spark, root, lambda tx: tx.append(ld.feature_changes(staged, order_col), "dim_track", "changes"))
+
+
+def facts_between(tx: Transaction, low: int | None, high: int | None) -> DataFrame:
+    """Facts of the batches whose dates meet the closed range [low, high]: the log
+    keeps each batch's range, so other batches are not even listed."""
+    near = [b for b in tx.view.of("fact_track_chart") if low is not None and b.low <= high and b.high >= low]
+    return log.read_batches(tx.spark, tx.root, "fact_track_chart", near)
 
 
 # --- sketches of distinct tracks (AG-5, approximate) ---------------------------------
@@ -255,6 +284,7 @@ def load_star(spark: SparkSession, src: Sources, root: str, cfg: C.LoadConfig =
     tx.append(star.dim_weather.join(old.dim_weather.select("date_id"), "date_id", "left_anti"), "dim_weather")
     tx.append(star.dim_track.join(old.dim_track.select("track_id"), "track_id", "left_anti"), "dim_track")
     staged = read_star(spark, root, tx.view)
+    # a first load has no facts to read; a later one meets those of all dates
     facts = ld.new_chart_facts(src.chart_entries, staged.dim_time, staged.dim_weather, staged.fact, cfg, staged.calendar_days)
     tx.append(facts, "fact_track_chart")
     return tx
@@ -319,30 +349,34 @@ def refresh_warehouse(spark: SparkSession, root: str, landing: Landing, today,
     idempotent, so a re-run (or a retry after a lost executor) loads nothing
     twice.  Returns what is still missing after the run (the incremental plan of
     the new state)."""
-    tx = begin(spark, root)
-    # 1. calendar
-    tx.append(ld.extend_dim_time(read_table(spark, root, "dim_time", tx.view), today), "dim_time")
-    # 2. weather for dates without weather
-    if landing.weather_readings is not None:
-        star = read_star(spark, root, tx.view)
-        daily = ld.daily_weather(landing.weather_readings)
-        new = ld.load_weather(daily, star.dim_time, star.calendar_days).join(
-            star.dim_weather.select("date_id"), "date_id", "left_anti")
-        tx.append(new, "dim_weather")
-    # 3. charts: placeholder tracks for unknown ids, then new facts
-    if landing.chart_entries is not None:
-        stage_charts(tx, landing.chart_entries, cfg)
-    # 4. features for tracks without them
-    if landing.features is not None:
-        tracks = read_dim_track(spark, root, tx.view)
-        wanted = tracks.filter(F.col("danceability").isNull()).select(F.col("track_id").alias("song_uuid"))
-        tx.append(ld.feature_changes(landing.features.join(wanted, "song_uuid", "left_semi")), "dim_track", "changes")
-    compact(tx).commit()
+    def stage(tx: Transaction) -> None:
+        # 1. calendar
+        tx.append(ld.extend_dim_time(read_table(spark, root, "dim_time", tx.view), today), "dim_time")
+        # 2. weather for dates without weather
+        if landing.weather_readings is not None:
+            star = read_star(spark, root, tx.view)
+            daily = ld.daily_weather(landing.weather_readings)
+            new = ld.load_weather(daily, star.dim_time, star.calendar_days).join(
+                star.dim_weather.select("date_id"), "date_id", "left_anti")
+            tx.append(new, "dim_weather")
+        # 3. charts: placeholder tracks for unknown ids, then new facts
+        if landing.chart_entries is not None:
+            stage_charts(tx, landing.chart_entries, cfg)
+        # 4. features for tracks without them
+        if landing.features is not None:
+            tracks = read_dim_track(spark, root, tx.view)
+            wanted = tracks.filter(F.col("danceability").isNull()).select(F.col("track_id").alias("song_uuid"))
+            tx.append(ld.feature_changes(landing.features.join(wanted, "song_uuid", "left_semi")), "dim_track", "changes")
+
+    publish(spark, root, stage)
     return inc.incremental_plan(read_star(spark, root))
 
 
 def stage_charts(tx: Transaction, entries: DataFrame, cfg: C.LoadConfig = C.DEFAULT_LOAD) -> None:
-    """Stage chart entries (LD-4): placeholder tracks for unknown ids, then the facts not there yet."""
+    """Stage chart entries (LD-4): placeholder tracks for unknown ids, then the
+    facts not there yet.  Only fact batches with dates of the entries are read."""
     star = read_star(tx.spark, tx.root, tx.view)
     tx.append(ld.placeholder_tracks(entries, star.dim_track, cfg), "dim_track")
-    tx.append(ld.new_chart_facts(entries, star.dim_time, star.dim_weather, star.fact, cfg, star.calendar_days), "fact_track_chart")
+    day = cal.date_key(F.col("chart_date").cast("date"))
+    low, high = entries.agg(F.min(day), F.max(day)).first()
+    tx.append(ld.new_chart_facts(entries, star.dim_time, star.dim_weather, facts_between(tx, low, high), cfg, star.calendar_days), "fact_track_chart")

@@ -55,19 +55,21 @@ def load_batch(root: str, cfg: C.LoadConfig = C.DEFAULT_LOAD):
     def _load(batch: DataFrame, epoch_id: int) -> None:
         spark = batch.sparkSession
         query = spark.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
-        tx = wh.begin(spark, root)
-        if query and epoch_id <= tx.base.loads.get(query, -1):
+        if query and epoch_id <= wh.log.current(spark, root).loads.get(query, -1):
             return
-        files = cut_lineage(new_files(tx, batch))
-        n = files.count()
-        if n:
-            entries = batch.join(F.broadcast(files) if n <= BROADCAST_FILES else files, FILE, "left_semi").filter(F.col("song_uuid").isNotNull()).drop(FILE)
-            wh.stage_charts(tx, entries, cfg)
-            tx.append(files.select(F.lit(query).alias("query"), F.lit(epoch_id).alias("epoch"), F.col(FILE).alias("file")), "loaded_file")
-        if query:
-            tx.loads.pop(query, None)  # the last to publish stands last
-            tx.loads[query] = epoch_id
-        wh.compact(tx).commit()
+
+        def stage(tx: wh.Transaction) -> None:
+            files = cut_lineage(new_files(tx, batch))
+            n = files.count()
+            if n:
+                entries = batch.join(F.broadcast(files) if n <= BROADCAST_FILES else files, FILE, "left_semi")
+                wh.stage_charts(tx, entries.filter(F.col("song_uuid").isNotNull()).drop(FILE), cfg)
+                tx.append(files.select(F.lit(query).alias("query"), F.lit(epoch_id).alias("epoch"), F.col(FILE).alias("file")), "loaded_file")
+            if query:
+                tx.loads.pop(query, None)  # the last to publish stands last
+                tx.loads[query] = epoch_id
+
+        wh.publish(spark, root, stage)
 
     return _load
 

@@ -324,3 +324,31 @@ def test_latest_chart_of_each_country(spark):
     assert M.latest_chart_tops(s, C.MartConfig(country="at", top_limit=2)).count() == 1
     empty = star(spark, [], [], [])
     assert M.latest_chart_tops(empty, C.MartConfig(country=None)).count() == 0
+
+
+def test_a_load_is_staged_anew_after_another_writer(spark):
+    root = ST.shared_path(spark, "test_anew")
+    WH.write_star(small_star(spark), root)
+    seen = []
+
+    def stage(tx):
+        seen.append(tx.base.version)
+        if len(seen) == 1:  # another writer publishes meanwhile
+            WH.merge_features(spark, root, staged(spark, [{"song_uuid": "b", "danceability": 0.25}]))
+        tx.append(facts(spark, [("c", D(2024, 1, 7), "de", 1, 9)]), "fact_track_chart")
+
+    at = WH.publish(spark, root, stage)
+    assert seen == [1, 2] and at.version == 3 and counts(spark, root)["fact_track_chart"] == 7
+    assert WH.read_dim_track(spark, root).filter("danceability = 0.25").count() == 1
+
+
+def test_only_batches_of_the_dates_are_read(spark):
+    root = ST.shared_path(spark, "test_zones")
+    WH.write_star(small_star(spark), root)
+    tx = WH.begin(spark, root)
+    tx.append(facts(spark, [("c", D(2025, 1, 5), "de", 1, 9)]), "fact_track_chart")
+    assert WH.facts_between(tx, 20240114, 20240120).count() == 6
+    assert WH.facts_between(tx, 20240115, 20250105).count() == 1
+    assert WH.facts_between(tx, 20240101, 20260101).count() == 7
+    assert WH.facts_between(tx, None, None).count() == 0
+    assert len(WH.facts_between(tx, 20240115, 20250105).inputFiles()) == 1
