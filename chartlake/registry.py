@@ -716,6 +716,23 @@ def _unique_tracks(spark, sf):
         "country", "year", "quarter", "entries", "unique_tracks", (F.abs(F.col("estimate") - F.col("unique_tracks")) <= 0.03 * F.col("unique_tracks")).alias("within_3_percent"))
 
 
+@register("season_by_track_layout", O.audio_features_by_season(None))
+def _season_layout(spark, sf):
+    """Q4 over the bucketed copy of facts and tracks, written in two steps."""
+    from chartlake.plans import track_layout as TL
+
+    fx = TD.load_fixture(spark, sf)
+    root = ST.shared_path(spark, "warehouse")
+    early = F.col("date_id") < INCREMENTAL_CUTOFF_ID
+    WH.write_star(replace(fx.star, fact=fx.fact.filter(early)), root)
+    TL.refresh_layout(spark, root, buckets=8)
+    tx = WH.begin(spark, root)
+    tx.append(fx.fact.filter(~early), "fact_track_chart")
+    tx.commit()
+    TL.refresh_layout(spark, root)
+    return M.audio_features_by_season(TL.open_layout(spark, root), MART_ALL)
+
+
 @register("incremental_stream_replay", O.INCREMENTAL_STREAM)
 def _stream_replay(spark, sf):
     """The stream of ``incremental_stream`` run again after its checkpoint was lost: its files are in the ledger."""
