@@ -88,8 +88,8 @@ def main() -> None:
         results[f"wh_{name}"] = timed(lambda b=build: run(b()))
 
     raw = {
-        "audio_features_by_season": lambda: M.audio_features_by_season(TD.load_fixture(spark, sf_dir).star, cfg_de),
-        "audio_features_by_weather": lambda: M.audio_features_by_weather(TD.load_fixture(spark, sf_dir).star, cfg_de),
+        "audio_features_by_season": lambda: M.audio_features_by_season(TD.load_fixture(spark, sf_dir).plain_star, cfg_de),
+        "audio_features_by_weather": lambda: M.audio_features_by_weather(TD.load_fixture(spark, sf_dir).plain_star, cfg_de),
     }
     for name, build in raw.items():
         results[f"raw_{name}"] = timed(lambda b=build: run(b()))

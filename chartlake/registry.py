@@ -59,6 +59,11 @@ def register(name: str, oracle: str | None = None):
 
 
 def _star(spark: SparkSession, sf_dir: str):
+    """The star for queries that do not name chart positions."""
+    return TD.load_fixture(spark, sf_dir).plain_star
+
+
+def _ranked_star(spark: SparkSession, sf_dir: str):
     return TD.load_fixture(spark, sf_dir).star
 
 
@@ -86,12 +91,12 @@ def _kpis_all(spark, sf):
 
 @register("current_top_tracks", O.current_top_tracks("de", 3))
 def _top(spark, sf):
-    return M.current_top_tracks(_star(spark, sf), MART_DE)
+    return M.current_top_tracks(_ranked_star(spark, sf), MART_DE)
 
 
 @register("current_top_tracks_at10", O.current_top_tracks("at", 10))
 def _top_at(spark, sf):
-    return M.current_top_tracks(_star(spark, sf), C.MartConfig(country="at", top_limit=10))
+    return M.current_top_tracks(_ranked_star(spark, sf), C.MartConfig(country="at", top_limit=10))
 
 
 @register("latest_chart_tops", O.latest_chart_tops(10))
@@ -101,7 +106,7 @@ def _latest_tops(spark, sf):
 
 def _late_at(spark, sf):
     """The star without the last charts of one country, so that countries differ in their latest chart."""
-    star = _star(spark, sf)
+    star = _ranked_star(spark, sf)
     return replace(star, fact=star.fact.filter((F.col("country") != "at") | (F.col("date_id") < INCREMENTAL_CUTOFF_ID)))
 
 
@@ -542,7 +547,7 @@ def _staging_summary(spark, sf):
 
 @register("chart_top_cards", O.CHART_TOP_CARDS)
 def _cards(spark, sf):
-    return CT.top_cards(_star(spark, sf), MART_DE)
+    return CT.top_cards(_ranked_star(spark, sf), MART_DE)
 
 
 @register("weekly_trend_labels", O.WEEKLY_TREND_LABELS)

@@ -117,6 +117,13 @@ class Fixture:
     def fact(self) -> DataFrame:
         return ld.load_facts(self.chart_raw, self.dim_time, self.dim_weather, span_days=self.span)
 
+    @cached_property
+    def plain_star(self) -> Star:
+        """The star without chart positions, for queries that do not name them: their facts need no order of all entries."""
+        entries = self._keep(chart_totals(self.lineitem)).withColumn("position", F.lit(None).cast("int"))
+        fact = ld.load_facts(entries, self.dim_time, self.dim_weather, span_days=self.span)
+        return Star(dim_time=self.dim_time, dim_track=self.dim_track, dim_weather=self.dim_weather, fact=fact, calendar_days=self.span)
+
     @cached_property
     def star(self) -> Star:
         return Star(dim_time=self.dim_time, dim_track=self.dim_track, dim_weather=self.dim_weather, fact=self.fact,
