@@ -4,21 +4,21 @@ Every byte covered by a ``length``-byte string that also starts anywhere else
 (same document included) goes.  Texts are UTF-8 bytes; matches never cross
 documents and are judged on the input.
 
-* Bucket identifiers are 64-bit names of byte strings.  The name of a long
-  string is made from the identifiers of its halves: name(p, 2h) =
-  mix(name(p, h), name(p + h, h)), and each round reuses the names of the one
-  before (25, 50, 100, 200, 400 bytes).
-* Initial buckets: of all q-grams (q = length / 4) a document keeps the
-  smallest name of every window of ``length`` bytes (about one position in
-  150).  Equal strings keep equal names, so a string can repeat only if such a
-  bucket holds two positions.  Buckets of one position end here, after a
-  shuffle of one name and position per 150 bytes.
+* The initial buckets are those of q-grams (q = length / 4), by 64-bit names: the
+  name of a string is made from the names of its parts.
+* Of all q-grams a document keeps the smallest name of every window of
+  ``length`` bytes (about one position in 150).  Equal strings keep equal names,
+  so a string can repeat only if such a bucket holds two positions.  Buckets of
+  one position end here, after a shuffle of one name and position per 150 bytes.
 * The positions left bring their surroundings (every ``length``-byte string that
-  contains the q-gram) to their bucket's task, which refines the q-gram names
-  to ``length`` bytes by the names at later offsets and finds the strings that
-  still share a bucket.  Equal surroundings count as one with a weight.
+  contains the q-gram) to their bucket's task.  There the q-gram buckets of all
+  their positions are refined by sorting on the bucket at the later offset, to 2q
+  and then 4q bytes; each round uses the buckets that the round before has
+  refined, and a string whose later part shares no bucket any more is done with.
+  Strings that still share a bucket are compared byte by byte, so equal names
+  of different strings remove nothing.  Equal surroundings count as one with a weight.
 * A bucket of more than ``HOT`` positions is refined by Spark instead: one row
-  per string, combined on the map side and joined back.
+  per string, combined on the map side by 128 bits of names and joined back.
 
 A text that occurs as a whole in several rows takes part once; its copies are
 covered as a whole if they have ``length`` bytes.
@@ -34,7 +34,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -44,45 +43,46 @@ from chartlake.session import cut_lineage
 
 LENGTH = 400
 #: Positions of a bucket that one task refines (700 bytes each).
-HOT = 32_768
+HOT = 16_384
 #: Bytes of surroundings refined together.
 BATCH_BYTES = 4 << 20
 #: Bytes of a text handled at a time when initial buckets are made.
 SEGMENT = 1 << 20
 ALL = (1 << 31) - 1
 
-_rng = np.random.Generator(np.random.PCG64(400))
-BYTE_NAMES = _rng.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-STEP = _rng.integers(0, 1 << 62, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_rng = [np.random.Generator(np.random.PCG64(s)) for s in (400, 401)]
+#: Two independent sets of names: positions of hot buckets are compared by both.
+BYTE_NAMES = [r.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for r in _rng]
+STEP = [r.integers(0, 1 << 62, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for r in _rng]
 TOP = np.uint64(0xFFFFFFFFFFFFFFFF)
 
 
-def _refine(names: np.ndarray, offset: int, step: int) -> np.ndarray:
+def _refine(names: np.ndarray, offset: int, step: int, seed: int) -> np.ndarray:
     """Names of the strings that end ``offset`` bytes later: pairs of names, named again."""
-    out = names[:-offset] * STEP[step]
+    out = names[:-offset] * STEP[seed][step]
     out += names[offset:]
     out ^= out >> np.uint64(29)
     return out
 
 
-def gram_names(data: np.ndarray, quarter: int = 25) -> np.ndarray:
+def gram_names(data: np.ndarray, quarter: int = 25, seed: int = 0) -> np.ndarray:
     """Names of all (4 * quarter)-byte strings."""
-    names, size, step = BYTE_NAMES[data], 1, 0
+    names, size, step = BYTE_NAMES[seed][data], 1, 0
     while size * 2 <= quarter:
-        names = _refine(names, size, step)
+        names = _refine(names, size, step, seed)
         size, step = size * 2, step + 1
     if size < quarter:
-        names = _refine(names, quarter - size, step)
+        names = _refine(names, quarter - size, step, seed)
     for k, offset in ((8, quarter), (9, 2 * quarter)):
-        names = _refine(names, offset, k)
+        names = _refine(names, offset, k, seed)
     return names
 
 
-def string_names(data: np.ndarray, length: int) -> np.ndarray:
+def string_names(data: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
     """Names of all ``length``-byte strings, refined from the q-gram names by those at later offsets."""
     q = length // 4
-    half = _refine(gram_names(data, q // 4), q, 10)
-    return _refine(half, 2 * q, 11)
+    half = _refine(gram_names(data, q // 4, seed), q, 10, seed)
+    return _refine(half, 2 * q, 11, seed)
 
 
 def _sliding(x: np.ndarray, width: int, pick, fill) -> np.ndarray:
@@ -110,7 +110,7 @@ def anchors(data: np.ndarray, length: int = LENGTH) -> tuple[np.ndarray, np.ndar
             break
         names = gram_names(part, q // 4)
         names ^= names >> np.uint64(32)
-        names *= STEP[12]
+        names *= STEP[0][12]
         names ^= names >> np.uint64(31)
         low = _sliding(names, width, np.minimum, TOP)
         edge = np.zeros(width - 1, np.uint64)
@@ -201,14 +201,14 @@ def _packed(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), kinds, strict=True)], names=["h", "w", "t1", "t2", "start", "body"])
 
 
-def _windows(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _windows(bodies: list[bytes], length: int, seed: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(names, body numbers, offsets) of all ``length``-byte strings of the bodies."""
     names, owner, offset = [], [], []
     for i in range(0, len(bodies), 4096):
         part = bodies[i:i + 4096]
         sizes = np.array([len(b) for b in part])
         counts = sizes - length + 1
-        every = string_names(np.frombuffer(b"".join(part), np.uint8), length)
+        every = string_names(np.frombuffer(b"".join(part), np.uint8), length, seed)
         base = np.cumsum(sizes) - sizes
         inside = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
         names.append(every[np.repeat(base, counts) + inside])
@@ -217,16 +217,54 @@ def _windows(bodies: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray,
     return np.concatenate(names), np.concatenate(owner), np.concatenate(offset)
 
 
-def _repeated(rows: list[tuple], length: int) -> list[np.ndarray]:
-    """(t1, t2, start, end) arrays of the repeated runs in whole buckets of rows (h, w, t1, t2, start, body)."""
+def _split(at: np.ndarray, key: np.ndarray, place: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions ``at`` sorted by ``key`` into buckets: (positions that share a
+    bucket with another place, their buckets' numbers); the others are done with."""
+    order = np.argsort(key, kind="stable")
+    at, key = at[order], key[order]
+    runs = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+    placed = place[at]
+    shared = (np.minimum.reduceat(placed, runs) != np.maximum.reduceat(placed, runs)) | np.logical_or.reduceat(many[at], runs)
+    sizes = np.diff([*runs, len(at)])
+    return at[np.repeat(shared, sizes)], np.repeat(np.arange(shared.sum(), dtype=np.int64), sizes[shared])
+
+
+def _check(data: bytes, at: np.ndarray, bucket: np.ndarray, owner: np.ndarray, place: np.ndarray, many: np.ndarray, length: int) -> np.ndarray:
+    """Of positions with the same bucket, those whose strings do repeat, by their
+    bytes: each is compared with the first of its bucket, neighbours that lie
+    alike in one go; buckets with different strings are told apart one by one."""
+    if not len(at):
+        return at
+    first = at[np.searchsorted(bucket, np.arange(bucket[-1] + 1))][bucket]
+    order = np.argsort(at, kind="stable")
+    at, first, bucket = at[order], first[order], bucket[order]
+    breaks = np.flatnonzero((np.diff(at) != 1) | (np.diff(first) != 1) | (np.diff(owner[at]) != 0) | (np.diff(owner[first]) != 0)) + 1
+    wrong: set[int] = set()
+    for a, b in zip([0, *breaks.tolist()], [*breaks.tolist(), len(at)], strict=True):
+        p, q, size = int(at[a]), int(first[a]), b - a - 1 + length
+        if p != q and data[p:p + size] != data[q:q + size]:
+            wrong.update(bucket[a:b].tolist())
+    if not wrong:
+        return at
+    kept = [at[~np.isin(bucket, list(wrong))]]
+    for k in wrong:
+        own: dict[bytes, list[int]] = {}
+        for p in at[bucket == k].tolist():
+            own.setdefault(data[p:p + length], []).append(p)
+        kept += [np.array(x, np.int64) for x in own.values() if len(set(place[x].tolist())) > 1 or many[x].any()]
+    return np.sort(np.concatenate(kept))
+
+
+def _repeated(rows: list[tuple], length: int) -> list[tuple]:
+    """(t1, t2, start, end) of the repeated runs in whole buckets of rows (h, w, t1, t2, start, body)."""
     # bodies by content, each with the distinct places it stands at
-    kind_of: dict[int, int] = {}
+    kind_of: dict[bytes, int] = {}
     places: list[dict] = []
     kinds: dict[int, int] = {}  # by bucket: its kind, -1 for more than one or a q-gram that repeats inside a text
     mine: list[list[int]] = []
     picked_rows: list[tuple] = []
     for x in rows:
-        k = kind_of.setdefault(xxhash.xxh3_64_intdigest(x[5]), len(places))
+        k = kind_of.setdefault(x[5], len(places))
         if k == len(places):
             places.append({})
             mine.append([])
@@ -235,28 +273,39 @@ def _repeated(rows: list[tuple], length: int) -> list[np.ndarray]:
         mine[k].append(x[0])
         kinds[x[0]] = k if x[1] == 1 and kinds.get(x[0], k) == k else -1
     out: list[tuple] = [(*p, p[2] + len(picked_rows[k][5])) for k, at in enumerate(places) if len(at) > 1 for p in at]
-    weight = np.array([len(at) for at in places])
     # buckets of one kind need no refinement
     left = [k for k, own in enumerate(mine) if any(kinds[h] < 0 for h in own)]
     if left:
         picked = [picked_rows[k] for k in left]
-        names, owner, offset = _windows([x[5] for x in picked], length)
+        sizes = np.array([len(x[5]) for x in picked])
+        ends = np.cumsum(sizes)
+        data = b"".join(x[5] for x in picked)
+        owner = np.repeat(np.arange(len(picked), dtype=np.int32), sizes)
         texts = {t: i for i, t in enumerate(dict.fromkeys(x[2:4] for x in picked))}
-        place = np.array([(texts[x[2:4]] << 32) + x[4] for x in picked], np.int64)[owner] + offset
-        many = (weight[left] > 1)[owner]
-        order = np.argsort(names)
-        runs = np.flatnonzero(np.concatenate([[True], np.diff(names[order]) != 0]))
-        placed = place[order]
-        twice = (np.minimum.reduceat(placed, runs) != np.maximum.reduceat(placed, runs)) | np.maximum.reduceat(many[order], runs)
-        flag = np.zeros(len(names), bool)
-        flag[order] = np.repeat(twice, np.diff([*runs, len(order)]))
-        flag &= ~many  # those are covered as a whole already
-        at = np.flatnonzero(flag)
+        place = np.repeat(np.array([(texts[x[2:4]] << 32) + x[4] for x in picked], np.int64) - (ends - sizes), sizes) + np.arange(len(data))
+        many = np.repeat(np.array([len(places[k]) > 1 for k in left]), sizes)
+        room = np.repeat(ends, sizes) - np.arange(len(data))  # bytes up to the end of the body
+        q = length // 4
+        at = np.flatnonzero(room >= q)
+        at, bucket = _split(at, gram_names(np.frombuffer(data, np.uint8), q // 4)[at], place, many)
+        depth = q
+        while depth < length and len(at):
+            # the buckets of ``depth`` bytes are refined by those at the later offset, which are of the same round; a
+            # string whose later part is in no bucket is done with
+            later = np.full(len(data) + depth, -1, np.int64)
+            later[at] = bucket
+            stay = (room[at] >= 2 * depth) & (later[at + depth] >= 0)
+            at, bucket = at[stay], bucket[stay]
+            if len(at):
+                at, bucket = _split(at, bucket * (int(later.max()) + 1) + later[at + depth], place, many)
+            depth *= 2
+        at = _check(data, at, bucket, owner, place, many, length)
+        at = at[~many[at]]  # those are covered as a whole already
         if len(at):
             breaks = np.flatnonzero((np.diff(at) != 1) | (np.diff(owner[at]) != 0))
-            for a, b in zip(at[np.concatenate([[0], breaks + 1])], at[np.concatenate([breaks, [len(at) - 1]])], strict=True):
-                x = picked[owner[a]]
-                out.append((x[2], x[3], x[4] + int(offset[a]), x[4] + int(offset[b]) + length))
+            for a, b in zip(at[np.concatenate([[0], breaks + 1])].tolist(), at[np.concatenate([breaks, [len(at) - 1]])].tolist(), strict=True):
+                x, low = picked[owner[a]], int(place[a]) & 0xFFFFFFFF
+                out.append((x[2], x[3], low, low + b - a + length))
     return out
 
 
@@ -288,10 +337,12 @@ def _all_windows(length: int):
         for whole in batches:
             for i in range(0, whole.num_rows, 1024):
                 batch = whole.slice(i, 1024)
-                names, owner, offset = _windows(batch.column("body").to_pylist(), length)
+                bodies = batch.column("body").to_pylist()
+                names, owner, offset = _windows(bodies, length)
+                second = _windows(bodies, length, 1)[0]
                 t1, t2, start = (batch.column(c).to_numpy() for c in ("t1", "t2", "start"))
-                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(t1[owner]), pa.array(t2[owner]), pa.array((start[owner] + offset).astype(np.int32))],
-                                                 names=["name", "t1", "t2", "pos"])
+                yield pa.RecordBatch.from_arrays([pa.array(names.view(np.int64)), pa.array(second.view(np.int64)), pa.array(t1[owner]), pa.array(t2[owner]),
+                                                  pa.array((start[owner] + offset).astype(np.int32))], names=["name", "second", "t1", "t2", "pos"])
     return run
 
 
@@ -358,10 +409,10 @@ def remove_repeats(docs: DataFrame, text_col: str = "text", length: int = LENGTH
 
     runs = surroundings(left.where("not hot")).repartition("h").sortWithinPartitions("h").mapInArrow(_refine_buckets(length), "t1 long, t2 long, a int, b int")
     if left.where("hot").limit(1).count():
-        # every string of a hot bucket is a row; a name at two places is repeated
-        strings = cut_lineage(surroundings(left.where("hot")).select("t1", "t2", "start", "body").mapInArrow(_all_windows(length), "name long, t1 long, t2 long, pos int"))
-        twice = strings.groupBy("name").agg(F.min(place).alias("p1"), F.max(place).alias("p2")).where("p1 != p2").select("name")
-        runs = runs.unionByName(strings.join(twice, "name", "left_semi").select("t1", "t2", F.col("pos").alias("a"), (F.col("pos") + length).alias("b")))
+        # every string of a hot bucket is a row; two names together (128 bits) at two places are repeated
+        strings = cut_lineage(surroundings(left.where("hot")).select("t1", "t2", "start", "body").mapInArrow(_all_windows(length), "name long, second long, t1 long, t2 long, pos int"))
+        twice = strings.groupBy("name", "second").agg(F.min(place).alias("p1"), F.max(place).alias("p2")).where("p1 != p2").select("name", "second")
+        runs = runs.unionByName(strings.join(twice, ["name", "second"], "left_semi").select("t1", "t2", F.col("pos").alias("a"), (F.col("pos") + length).alias("b")))
     runs = runs.unionByName(copies.select("t1", "t2", F.lit(0).alias("a"), F.lit(ALL).alias("b")))
     per_text = runs.groupBy(F.col("t1").alias(f1), F.col("t2").alias(f2)).agg(F.collect_list(F.struct("a", "b")).alias(found)).hint("merge")
 
