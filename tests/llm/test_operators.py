@@ -339,13 +339,13 @@ def test_arc_versions_and_lengths(spark):
     for version in (1, 2):
         data = arc_warc._version_block(version) + arc_warc._arc_record(version, 8, "http://a b", page.encode()) + arc_warc._arc_record(version, None, "", b"")
         rows = list(arc_warc.parse_arc(data))
-        assert [(r["page_id"], r["url"], r["payload"]) for r in rows] == [(8, "http://a b", page), (None, "", "")]
+        assert [(r["page_id"], r["url"], r["payload"]) for r in rows] == [(8, "http://a b", page.encode()), (None, "", b"")]
     with pytest.raises(ValueError, match="version block"):
         list(arc_warc.parse_arc(arc_warc._arc_record(1, 1, "u", b"x")))
     with pytest.raises(ValueError, match="declares"):
         list(arc_warc.parse_arc(arc_warc._version_block(1) + arc_warc._arc_record(1, 1, "u", b"x" * 50)[:-30]))
     archives = arc_warc.pages_to_arc(spark.createDataFrame([(1, "u", "x"), (None, None, None)], "page_id long, url string, html string"))
-    assert sorted(r.payload for r in arc_warc.read_arc(archives).collect()) == ["", "x"]
+    assert sorted(bytes(r.payload) for r in arc_warc.read_arc(archives).collect()) == [b"", b"x"]
 
 
 # ------------------------------------------------------------ mixing
