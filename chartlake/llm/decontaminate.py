@@ -7,10 +7,11 @@ words it covers; an item of fewer words is one window of its own, found as a
 marked state on the suffix path of the current state.
 
 The automaton is a broadcast of bounded size: the items are dealt into blocks
-of at most ``BLOCK_WORDS`` words (an item larger than that is a block of its own), each block
-is one automaton and one pass over the documents, and the passes add up their
-hits in a column.  A pass is written before the next one starts, so a task holds
-one automaton, however many there are.  A usual benchmark is one block.
+of at most ``BLOCK_WORDS`` words (an item larger than that comes in parts that
+overlap by a window less a word), each block is one automaton and one pass over
+the documents.  All passes but the last write only their hits, so a task holds
+one automaton, however many there are, and no text is written.  A usual
+benchmark is one block.
 
 Words: A-Z lower-cased, then runs of [^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F].
 Defined results: null and wordless texts have no words and are never hit; null
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chartlake.llm.common import PIECE, col, fresh, lower_ascii, pieces, text_or_empty
+from chartlake.llm.common import PIECE, col, content_key, fresh, lower_ascii, pieces, remove_folder, shared_folder, text_or_empty
 from chartlake.session import cut_lineage
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -187,14 +188,32 @@ HITS = T.StructType([
     T.StructField("spans", T.ArrayType(T.ArrayType(T.LongType()))),
     T.StructField("items", T.ArrayType(T.StringType())),
 ])
+_KEYED = pa.schema([("k1", pa.int64()), ("k2", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
 _HITS = pa.struct([("n_words", pa.int64()), ("spans", pa.list_(pa.list_(pa.int64()))), ("items", pa.list_(pa.string()))])
 
 
-def _blocks(items: DataFrame, item_col: str, text_col: str, block_words: int):
-    """Lists of (item id, words), each within the bound; an item that has no word is left out.
+def _item_parts(text: str, size: int, window: int) -> Iterator[list[str]]:
+    """The words of an item, in parts of at most ``size`` that overlap by
+    ``window`` - 1 words, so that every window lies in one of them."""
+    held: list[str] = []
+    fresh_words = 0
+    for w in word_stream(text):
+        held.append(w)
+        fresh_words += 1
+        if len(held) == size:
+            yield held
+            held, fresh_words = held[size - window + 1:], 0
+    if fresh_words:
+        yield held
+
+
+def _blocks(items: DataFrame, item_col: str, text_col: str, block_words: int, window: int) -> Iterator[list[tuple[str, list[str]]]]:
+    """Lists of (item id, words), each within the bound; an item that has no word
+    is left out, one with more words than the bound comes in parts.
 
     Items are numbered by running word counts per hash group; only one block's
     items are on the driver at a time."""
+    block_words = max(block_words, window)
     size = F.size(F.split(text_or_empty(text_col), r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"))  # at least the words
     total = items.agg(F.sum(size.cast("long"))).first()[0] or 0
     n = 1
@@ -204,54 +223,85 @@ def _blocks(items: DataFrame, item_col: str, text_col: str, block_words: int):
         part = items.where(F.pmod(F.xxhash64(col(item_col), col(text_col)), F.lit(n)) == b)
         held, count = [], 0
         for name, text in part.select(col(item_col).cast("string"), text_or_empty(text_col)).toLocalIterator():
-            w = words(text)
-            if not w:
-                continue
-            if held and count + len(w) > block_words:
-                yield held
-                held, count = [], 0
-            held.append((name or "", w))
-            count += len(w)
+            for w in _item_parts(text, block_words, window):
+                if held and count + len(w) > block_words:
+                    yield held
+                    held, count = [], 0
+                held.append((name or "", w))
+                count += len(w)
         if held:
             yield held
 
 
+#: What the blocks before found in a text.
+FOUND = "array<struct<spans array<array<long>>, items array<string>>>"
+
+
 def find_hits(docs: DataFrame, items: DataFrame, text_col: str = "text", item_col: str = "item_id",
               item_text_col: str = "text", window: int = 10, block_words: int = BLOCK_WORDS) -> tuple[DataFrame, str]:
     """``docs`` with one struct column appended, and that column's name:
-    n_words, spans (first and last hit word of each run), items (met, sorted)."""
+    n_words, spans (first and last hit word of each run), items (met, sorted).
+
+    Every block of items is a pass over the documents; all but the last write
+    only what they hit, by 128 bits of the text, which meets the documents
+    once, before the last pass."""
+    spark = docs.sparkSession
+    hits, before, t1, t2, f1, f2 = fresh(docs, "hits", "hits_before", "text_h1", "text_h2", "found_h1", "found_h2")
+    at = docs.columns.index(text_col)
+    blocks = _blocks(items, item_col, item_text_col, block_words, window)
+    block, folders = next(blocks, []), []
+    for following in blocks:
+        folders.append(_hits_only(docs, text_col, block, window))
+        block = following
+    rows = docs.withColumn(before, F.lit(None).cast(FOUND))
+    if folders:
+        k1, k2 = content_key(text_or_empty(text_col))
+        found = cut_lineage(spark.read.parquet(*folders).groupBy("k1", "k2").agg(F.collect_set(F.struct("spans", "items")).alias(before))).toDF(f1, f2, before)
+        for folder in folders:
+            remove_folder(spark, folder)
+        rows = docs.withColumn(t1, k1).withColumn(t2, k2).join(found, (col(t1) == col(f1)) & (col(t2) == col(f2)), "left") \
+            .select(*[col(c) for c in docs.columns], col(before))
+    shared = spark.sparkContext.broadcast(pickle.dumps(Automaton(block, window), protocol=5))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = pickle.loads(shared.value)
+        for whole in batches:
+            for i in range(0, whole.num_rows, 512):
+                batch = whole.slice(i, 512)
+                out = []
+                for text, old in zip(batch.column(at), batch.column(batch.num_columns - 1), strict=True):
+                    n_words, spans, met = automaton.scan(word_stream(text.as_py() or ""))
+                    for x in old.as_py() or []:
+                        spans += x["spans"]
+                        met |= set(x["items"])
+                    out.append({"n_words": n_words, "spans": _merge(spans), "items": sorted(met)})
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(out, _HITS)], names=[*batch.schema.names[:-1], hits])
+
+    return rows.mapInArrow(scan, T.StructType([*docs.schema.fields, T.StructField(hits, HITS)])), hits
+
+
+def _hits_only(docs: DataFrame, text_col: str, block: list, window: int) -> str:
+    """A folder with (k1, k2, spans, items) of the texts that the block's items hit."""
     spark = docs.sparkSession
-    (hits,) = fresh(docs, "hits")
-    columns = docs.columns
-    schema = T.StructType([*docs.schema.fields, T.StructField(hits, HITS)])
-    out = docs.withColumn(hits, F.lit(None).cast(HITS))
-    blocks = _blocks(items, item_col, item_text_col, block_words)
-    first = next(blocks, [])
-    while first is not None:
-        shared = spark.sparkContext.broadcast(pickle.dumps(Automaton(first, window), protocol=5))
-        at = columns.index(text_col)
-
-        def scan(batches: Iterator[pa.RecordBatch], shared=shared, at=at) -> Iterator[pa.RecordBatch]:
-            automaton = pickle.loads(shared.value)
-            for whole in batches:
-                for i in range(0, whole.num_rows, 512):
-                    batch = whole.slice(i, 512)
-                    rows = []
-                    before = batch.column(batch.num_columns - 1)
-                    for text, old in zip(batch.column(at), before, strict=True):
-                        n_words, spans, met = automaton.scan(word_stream(text.as_py() or ""))
-                        if old.is_valid:
-                            spans = _merge(spans + old["spans"].as_py())
-                            met |= set(old["items"].as_py())
-                        rows.append({"n_words": n_words, "spans": spans, "items": sorted(met)})
-                    yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(rows, _HITS)], names=batch.schema.names)
-
-        out = out.mapInArrow(scan, schema)
-        first = next(blocks, None)
-        if first is not None:
-            out = cut_lineage(out)
-            shared.destroy()
-    return out, hits
+    shared = spark.sparkContext.broadcast(pickle.dumps(Automaton(block, window), protocol=5))
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = pickle.loads(shared.value)
+        for batch in batches:
+            out = []
+            for k1, k2, text in zip(*batch.columns, strict=True):
+                _, spans, met = automaton.scan(word_stream(text.as_py()))
+                if spans:
+                    out.append({"k1": k1.as_py(), "k2": k2.as_py(), "spans": _merge(spans), "items": sorted(met)})
+            if out:
+                yield pa.RecordBatch.from_pylist(out, schema=_KEYED)
+
+    folder = shared_folder(spark, "hits")
+    k1, k2 = content_key(text_or_empty(text_col))
+    docs.select(k1.alias("k1"), k2.alias("k2"), text_or_empty(text_col).alias("text")) \
+        .mapInArrow(scan, "k1 long, k2 long, spans array<array<long>>, items array<string>").write.parquet(folder)
+    shared.destroy()
+    return folder
 
 
 def hit_counts(hits: str):
