@@ -74,7 +74,8 @@ def op4_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    found = secrets_forest.scan(docs, secrets_forest.weak_labels, held_out=quality_knn.held_out(F.col("id")))
+    found = secrets_forest.scan(docs, secrets_forest.weak_labels, held_out=quality_knn.held_out(F.col("id")),
+                                features=secrets_forest.INDEPENDENT)
     return found.select(F.col("id").alias("doc_id"), "ordinal", F.sha2(F.col("value").cast("binary"), 256).alias("value_sha256"),
                         F.length("value").cast("long").alias("n_chars"), F.round("score", 6).alias("score"), (F.col("score") >= 0.5).alias("is_secret"),
                         quality_knn.held_out(F.col("id")).alias("held_out"), "label")

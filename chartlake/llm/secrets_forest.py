@@ -10,9 +10,15 @@ holds one).  A value that is just such a run is one candidate.  Each becomes a r
 characters; dictionary coverage (the share of its letters that are runs the
 corpus uses as words in ``min_docs`` documents or more); path (what the path
 column says); neighbouring words (key words, assignment, quotes, mail and URL
-signs just before and after).  A random forest trained from labelled findings
+signs just before and after, and how many words of prose stand around).  A random forest trained from labelled findings
 scores them; findings below the threshold are false positives.
 
+Labels are a table of reviewed findings (id, value, label) or, for corpora that
+have none, a function of the candidates such as ``weak_labels``.  A forest that
+sees what such a rule reads learns the rule back, so with a rule the features it reads
+are left out of the fit (``INDEPENDENT`` for ``weak_labels``): the forest then tells from the value,
+the path and the other neighbours, which the rule does not look at.
+
 The fit takes at most ``MAX_LABELLED`` labelled findings, those with the
 smallest hash of each class (half of them each, or all of a smaller class),
 weighted by the full counts of the classes; candidates, dictionary counts and scores cover all rows.
@@ -20,7 +26,8 @@ weighted by the full counts of the classes; candidates, dictionary counts and sc
 Defined results: null and empty texts have no candidates; a null path is empty;
 null ids and repeated rows are kept as they are, one finding each; labelled
 findings of one class only (or none) give every candidate that class's label as
-score (0.5 for none); an empty table gives no rows.
+score (0.5 for none); a finding reviewed more than once has its largest label;
+the three noncharacters U+FDD0 to U+FDD2 are read as U+FFFD; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -50,24 +57,43 @@ MAX_LABELLED = 20_000
 LEFT, RIGHT = 80, 40
 
 FEATURES = ("length", "digits", "uppers", "transitions", "distinct_chars", "hex_only", "digits_only", "dictionary", "path_test", "path_depth",
-            "key_word_near", "assigned", "quoted", "mail_or_url", "placeholder_near", "letters_before", "same_run")
+            "key_word_near", "assigned", "quoted", "mail_or_url", "placeholder_near", "letters_before", "same_run", "words_before", "words_after")
+#: The features that read nothing of what ``weak_labels`` reads: no name, assignment or quote beside the value.
+INDEPENDENT = tuple(f for f in FEATURES if f not in ("key_word_near", "assigned", "quoted", "letters_before"))
+#: Noncharacters that mark the matches in a text: a match begins, its groups follow, it ends.
+BEGIN, NEXT, END = "\uFDD0", "\uFDD1", "\uFDD2"
+
+
+def _matches(text: Column, pattern: str, *groups: int) -> Column:
+    """What ``pattern`` cuts a text into, in one pass: an array whose first element is the
+    text before the first match and whose others hold END between a match's groups (NEXT between them) and the text after it."""
+    marked = F.regexp_replace(text, F.lit(pattern), F.lit(BEGIN + NEXT.join(f"${g}" for g in groups) + END))
+    return F.split(marked, BEGIN, -1)
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = None) -> DataFrame:
     """(id, path, ordinal, value, before, after): one row per candidate; ordinal
-    counts the candidates of a text, runs first.  The same pattern extracts the
-    candidates and splits the text around them, so the pieces are their surroundings."""
+    counts the candidates of a text, runs first.  Each pattern passes once over a text and
+    marks its matches; the pieces between the marks are their surroundings."""
     path = F.coalesce(col(path_col).cast("string"), F.lit("")) if path_col else F.lit("")
-    text, found = F.col("t"), lambda pattern, group=0: F.regexp_extract_all("t", F.lit(pattern), F.lit(group))
-    named = lambda c: F.when(F.col("named"), c)
-    cut = docs.select(col(id_col).alias("id"), path.alias("path"), text_or_empty(text_col).alias("t")).withColumn("named", text.rlike(CONTEXT)) \
-        .select("id", "path", found(CANDIDATE).alias("v"), F.split(text, CANDIDATE, -1).alias("p"), named(F.split(text, CONTEXT, -1)).alias("np"),
-                named(F.arrays_zip(*[found(CONTEXT, k).alias(n) for k, n in ((0, "all"), (2, "q"), (3, "q_after"), (4, "u"), (5, "u_after"))])).alias("n"))
+    text = text_or_empty(text_col)
+    clean = F.when(text.rlike(f"[{BEGIN}-{END}]"), F.translate(text, BEGIN + NEXT + END, "\uFFFD" * 3)).otherwise(text)
+    rest = lambda x: F.get(F.split(x, END, 2), F.lit(1))
+    group = lambda x, k: F.get(F.split(F.get(F.split(x, END, 2), F.lit(0)), NEXT, -1), F.lit(k))
+    # the text before the first match holds no END, so it is kept apart
+    parts = lambda m, g: F.transform(F.slice(m, 2, F.greatest(F.size(m) - 1, F.lit(0))), lambda x: F.struct(
+        *[group(x, k).alias(n) for k, n in enumerate(g)], rest(x).alias("rest")))
+    cut = docs.select(col(id_col).alias("id"), path.alias("path"), clean.alias("t")) \
+        .select("id", "path", _matches(F.col("t"), CANDIDATE, 0).alias("v"), _matches(F.col("t"), CONTEXT, 0, 2, 3, 4, 5).alias("n")) \
+        .where((F.size("v") > 1) | (F.size("n") > 1)) \
+        .select("id", "path", F.get("v", F.lit(0)).alias("v0"), parts(F.col("v"), ["value"]).alias("v"),
+                F.get("n", F.lit(0)).alias("n0"), parts(F.col("n"), ["all", "q", "q_after", "u", "u_after"]).alias("n"))
+    ahead = lambda items, first, i: F.when(i == 0, F.col(first)).otherwise(F.get(items, i - 1)["rest"])
     runs = F.transform(F.col("v"), lambda v, i: F.struct(
-        v.alias("value"), F.substring(F.get("p", i), -LEFT, LEFT).alias("before"), F.substring(F.get("p", i + 1), 1, RIGHT).alias("after")))
+        v["value"].alias("value"), F.substring(ahead(F.col("v"), "v0", i), -LEFT, LEFT).alias("before"), F.substring(v["rest"], 1, RIGHT).alias("after")))
     values = F.transform(F.col("n"), lambda n, i: F.struct(
         F.concat(n["q"], n["u"]).alias("value"),
-        F.substring(F.concat(F.get("np", i), F.substring(n["all"], F.lit(1), F.length(n["all"]) - F.length(n["u"]))), -LEFT, LEFT).alias("before"),
+        F.substring(F.concat(ahead(F.col("n"), "n0", i), F.substring(n["all"], F.lit(1), F.length(n["all"]) - F.length(n["u"]))), -LEFT, LEFT).alias("before"),
         F.substring(F.concat(n["q_after"], n["u_after"]), 1, RIGHT).alias("after")))
     # where quotes end a value without quotes is open (it's, or "?token=x"): both readings are candidates
     head = lambda x: F.regexp_extract(x["value"], "^([^\"'`]+?)\\\\*[\"'`]", 1)
@@ -76,8 +102,7 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         F.substring(F.concat(F.substring(z["u"], F.length(head(z["x"])) + 1, F.lit(RIGHT)), z["x"]["after"]), 1, RIGHT).alias("after")))
     # a value that is a whole run is among the runs
     other = F.filter(F.concat(values, heads), lambda x: ~x["value"].rlike("^" + CANDIDATE + r"\z"))
-    return cut.select("id", "path", F.posexplode(F.concat(runs, F.coalesce(other, F.array().cast(
-        "array<struct<value:string,before:string,after:string>>")))).alias("ordinal", "c")).select("id", "path", "ordinal", "c.*")
+    return cut.select("id", "path", F.posexplode(F.concat(runs, other)).alias("ordinal", "c")).select("id", "path", "ordinal", "c.*")
 
 
 def letter_runs(text: Column) -> Column:
@@ -118,11 +143,15 @@ def with_features(found: DataFrame, words: DataFrame) -> DataFrame:
         "placeholder_near": flag(before.rlike(PLACEHOLDERS) | after.rlike(PLACEHOLDERS)),
         "letters_before": F.length(F.regexp_extract(before, "([a-z]+)[^a-z]*$", 1)).cast("double"),
         "same_run": flag(v.rlike("(.)\\1{5}")),
+        # words of prose; a name that is assigned to, and what stands in the same word as the value, is none
+        "words_before": F.regexp_count(before, F.lit(r"(?<!\S)[a-z]{2,}[.,;]?\s++(?![=:\"'])")).cast("double"),
+        "words_after": F.regexp_count(after, F.lit(r"(?<=\s)[a-z]{2,}[.,;]?(?=\s)")).cast("double"),
     }).drop("covered")
 
 
-def fit(labelled: DataFrame, trees: int = 20, depth: int = 5, seed: int = 7, max_labelled: int = MAX_LABELLED):
-    """labelled: feature columns and label (0 or 1).  A fitted model, or a
+def fit(labelled: DataFrame, trees: int = 20, depth: int = 5, seed: int = 7, max_labelled: int = MAX_LABELLED,
+        features: tuple[str, ...] = FEATURES):
+    """labelled: feature columns and label (0 or 1).  A model fitted on ``features``, or a
     number where the labels have one class only."""
     order = F.xxhash64("value", F.col("id").cast("string"), "ordinal")
     labelled = labelled.where("label is not null").withColumn("label", F.col("label").cast("double"))
@@ -133,10 +162,10 @@ def fit(labelled: DataFrame, trees: int = 20, depth: int = 5, seed: int = 7, max
     total = sum(seen.values())
     taken = {k: min(n, max(1, max_labelled // 2, max_labelled - (total - n))) for k, n in seen.items()}
     sample = cut_lineage(reduce(DataFrame.unionByName, (
-        labelled.where(F.col("label") == k).orderBy(order, "value").limit(taken[k]).select(*FEATURES, "label", F.lit(seen[k] / taken[k]).alias("weight"))
+        labelled.where(F.col("label") == k).orderBy(order, "value").limit(taken[k]).select(*features, "label", F.lit(seen[k] / taken[k]).alias("weight"))
         for k in sorted(seen))))
     return Pipeline(stages=[
-        VectorAssembler(inputCols=list(FEATURES), outputCol="features"),
+        VectorAssembler(inputCols=list(features), outputCol="features"),
         RandomForestClassifier(weightCol="weight", numTrees=trees, maxDepth=depth, seed=seed, minInstancesPerNode=2, featureSubsetStrategy="sqrt"),
     ]).fit(sample)
 
@@ -155,14 +184,21 @@ def weak_labels(featured: DataFrame) -> Column:
     return (F.col("before").rlike("(?i)\\b(token|secret|password|api_?key)\\s*=\\s*[\"']$") & F.col("after").rlike("^[\"']")).cast("int")
 
 
+def reviewed(featured: DataFrame, findings: DataFrame) -> DataFrame:
+    """Candidates with the labels of reviewed findings (id, value, label): null where nobody looked."""
+    known = findings.groupBy(col("id").alias("f_id"), col("value").alias("f_value")).agg(F.max("label").cast("int").alias("label"))
+    return featured.join(known, F.col("id").eqNullSafe(F.col("f_id")) & (F.col("value") == F.col("f_value")), "left").drop("f_id", "f_value")
+
+
 def scan(docs: DataFrame, labels, id_col: str = "doc_id", text_col: str = "text", path_col: str | None = "source",
-         held_out: Column | None = None, min_docs: int = 20) -> DataFrame:
-    """All candidates of ``docs`` with features, label and score.  labels: a
+         held_out: Column | None = None, min_docs: int = 20, features: tuple[str, ...] = FEATURES) -> DataFrame:
+    """All candidates of ``docs`` with features, label and score.  labels: a table of
+    reviewed findings (id, value, label), or a
     function of the featured candidates that gives the label column (null where
     a finding has none); rows under ``held_out`` (a column over ``id``) never
-    take part in the fit."""
+    take part in the fit, which sees ``features`` only."""
     found = cut_lineage(candidates(docs, id_col, text_col, path_col))  # used twice, read from the texts once
     featured = cut_lineage(with_features(found, dictionary(docs, text_col, min_docs)))
-    labelled = featured.withColumn("label", labels(featured))
-    model = fit(labelled.where(~held_out) if held_out is not None else labelled)
+    labelled = reviewed(featured, labels) if isinstance(labels, DataFrame) else featured.withColumn("label", labels(featured))
+    model = fit(labelled.where(~held_out) if held_out is not None else labelled, features=features)
     return score(labelled, model)
