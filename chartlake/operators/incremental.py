@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from chartlake import config as C
 from chartlake.functions import calendar as cal
 from chartlake.operators.dims import Star
+from chartlake.operators.landed_keys import anti_join
 from chartlake.operators.ranges import batches, date_ranges
 
 
@@ -64,18 +65,21 @@ def missing_weather_ranges(star: Star) -> DataFrame:
     return date_ranges(missing_weather_dates(star), "date")
 
 
-def feature_backlog(charts: DataFrame, landed: DataFrame | None = None) -> DataFrame:
+def feature_backlog(charts: DataFrame, landed: DataFrame | None = None, filters: DataFrame | None = None, blocks: int = 0) -> DataFrame:
     """Songs to fetch features for, newest first (LD-11).
 
     Per song: latest chart date, best position, total streams; songs already
-    landed are removed (anti join).  Order: latest desc, position asc, id.
+    landed are removed (anti join; with the ``filters`` of the landed files only
+    songs that may be landed take part in it).  Order: latest desc, position asc, id.
     """
     per_song = charts.groupBy("song_uuid").agg(
         F.max(F.col("chart_date").cast("date")).alias("latest_chart_date"),
         F.min("position").alias("best_position"),
         F.sum("streams").alias("total_streams"),
     )
-    if landed is not None:
+    if landed is not None and filters is not None:
+        per_song = anti_join(per_song, landed, "song_uuid", filters, blocks)
+    elif landed is not None:
         per_song = per_song.join(landed.select("song_uuid").distinct(), "song_uuid", "left_anti")
     return per_song
 

@@ -20,6 +20,7 @@ from chartlake import sql_oracle as O
 from chartlake.functions import calendar as CAL
 from chartlake.functions import scalars as SC
 from chartlake.operators import incremental as INC
+from chartlake.operators import landed_keys as LK
 from chartlake.operators import loaders as LD
 from chartlake.operators import quality as Q
 from chartlake.plans import chart_tables as CT
@@ -362,6 +363,20 @@ def _backlog(spark, sf):
     return INC.feature_backlog(fx.chart_raw, fx.features_staged)
 
 
+@register("feature_backlog_filtered", O.FEATURE_BACKLOG)
+def _backlog_filtered(spark, sf):
+    """Features land in three files, each with its Bloom filter; the backlog meets the landed songs through them."""
+    fx = TD.load_fixture(spark, sf)
+    landing, filters = ST.shared_path(spark, "features"), ST.shared_path(spark, "feature_filters")
+    blocks = LK.blocks_for(fx.part.count())
+    third = F.crc32(F.col("song_uuid").cast("binary")) % 3
+    for k in range(3):
+        arrived = fx.features_staged.filter(third == k)
+        ST.append_parquet(arrived, landing)
+        ST.append_parquet(LK.key_filters(arrived, "song_uuid", F.lit(k), blocks), filters)
+    return INC.feature_backlog(fx.chart_raw, spark.read.parquet(landing), spark.read.parquet(filters), blocks)
+
+
 @register("backlog_batches", O.BACKLOG_BATCHES)
 def _batches(spark, sf):
     fx = TD.load_fixture(spark, sf)
