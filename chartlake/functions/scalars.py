@@ -159,6 +159,12 @@ def thousands_label(x) -> Column:
     return F.concat((as_col(x).cast("double") / 1e3).cast("long").cast("string"), F.lit("K"))
 
 
+def number_label(x, digits: int = 0) -> Column:
+    """``1,234.5``: thousands separators and a fixed number of decimals (SC-24),
+    halves by the exact binary value to the even digit (0.25 is 0.2), NULL for NULL."""
+    return F.format_number(as_col(x).cast("double"), digits)
+
+
 def ratio(part, whole) -> Column:
     """part / whole as double, NULL when whole is 0 or NULL."""
     return F.try_divide(as_col(part).cast("double"), as_col(whole).cast("double"))

@@ -108,3 +108,28 @@ def period_bars(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
         "*",
         F.row_number().over(Window.orderBy(F.abs("diff_pct").desc_nulls_last(), "feature")).alias("bar_order"),
     )
+
+
+def seasonal_bars(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
+    """Seasonal trend as bars in the order of the months, each with its label and
+    its share of its season's streams (at most 12 rows meet the windows)."""
+    t = M.seasonal_streaming_trends(star, cfg)
+    return t.select(
+        "season", "month", "total_streams",
+        sc.number_label("total_streams").alias("bar_label"),
+        sc.ratio("total_streams", F.sum("total_streams").over(Window.partitionBy("season"))).alias("season_share"),
+        F.row_number().over(Window.orderBy("month", "season")).alias("bar_order"),
+    )
+
+
+def acoustic_bars(star: Star, cfg: C.MartConfig = C.DEFAULT_MART) -> DataFrame:
+    """Acoustic mart as grouped bars: a group per weather (highest bar first, the
+    group without weather last), a bar per track type inside it (at most 9 rows)."""
+    bars = M.acoustic_vs_electronic(star, cfg)
+    highest = F.max("avg_streams").over(Window.partitionBy("weather"))
+    return bars.withColumn("_highest", highest).select(
+        "weather", "track_type", "avg_streams", "sample_size",
+        sc.number_label("avg_streams", 1).alias("bar_label"),
+        F.dense_rank().over(Window.orderBy(F.col("weather").isNull(), F.col("_highest").desc_nulls_last(), "weather")).alias("group_order"),
+        F.row_number().over(Window.partitionBy("weather").orderBy("track_type")).alias("bar_order"),
+    )

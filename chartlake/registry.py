@@ -844,11 +844,11 @@ def _chart_dates(spark, sf):
         .select(F.col("date").alias("chart_date"), "country")
 
 
-@register("chart_seasonal_bars", O.seasonal_streaming_trends(None))
+@register("chart_seasonal_bars", O.chart_seasonal_bars(None))
 def _seasonal_bars(spark, sf):
-    return M.seasonal_streaming_trends(_star(spark, sf), MART_ALL)
+    return CT.seasonal_bars(_star(spark, sf), MART_ALL)
 
 
-@register("chart_acoustic_bars", O.acoustic_vs_electronic(None, 10))
+@register("chart_acoustic_bars", O.chart_acoustic_bars(None, 10))
 def _acoustic_bars(spark, sf):
-    return M.acoustic_vs_electronic(_star(spark, sf), MART_ALL)
+    return CT.acoustic_bars(_star(spark, sf), MART_ALL)

@@ -368,6 +368,24 @@ HAVING count(f.fact_id) > {min_count}
 """)
 
 
+def chart_seasonal_bars(country: str | None = None) -> str:
+    return f"""
+SELECT season, month, total_streams, format('{{:,.0f}}', total_streams::double) AS bar_label,
+       round(total_streams::double / sum(total_streams) OVER (PARTITION BY season), 6) AS season_share,
+       row_number() OVER (ORDER BY month, season)::int AS bar_order
+FROM ({seasonal_streaming_trends(country)})
+"""
+
+
+def chart_acoustic_bars(country: str | None = None, min_count: int = 10) -> str:
+    return f"""
+SELECT weather, track_type, avg_streams, sample_size, format('{{:,.1f}}', avg_streams) AS bar_label,
+       dense_rank() OVER (ORDER BY weather IS NULL, highest DESC NULLS LAST, weather)::int AS group_order,
+       row_number() OVER (PARTITION BY weather ORDER BY track_type)::int AS bar_order
+FROM (SELECT *, max(avg_streams) OVER (PARTITION BY weather) AS highest FROM ({acoustic_vs_electronic(country, min_count)}))
+"""
+
+
 def key_distribution(country: str | None = None) -> str:
     return with_fixture(f"""
 , per_key AS (

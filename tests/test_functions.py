@@ -123,3 +123,11 @@ def test_api_date_parse_and_labels(spark):
 def test_percent_of_guarded(spark):
     df = spark.createDataFrame([(1, 4), (1, 0), (None, 2)], "a int, b int")
     assert [r.p for r in df.select(sc.percent_of("a", "b").alias("p")).collect()] == [25.0, None, None]
+
+
+@pytest.mark.parametrize("value, digits, label", [
+    (0.25, 1, "0.2"), (0.35, 1, "0.3"), (1234567.0, 0, "1,234,567"), (0.5, 0, "0"), (1.5, 0, "2"), (-1234.567, 2, "-1,234.57"), (None, 1, None)])
+def test_number_label(spark, value, digits, label):
+    df = spark.createDataFrame([(value,)], "x double")
+    assert df.select(sc.number_label("x", digits)).first()[0] == label
+    assert label is None or label == f"{value:,.{digits}f}"
