@@ -81,6 +81,13 @@ class LineRuns:
             self._compact(sorted(self.levels), max(self.levels) + 1)
         return self._read(self.settled).select("h1", "h2")
 
+    def remove(self) -> None:
+        """Delete all run folders; frames that still read them must have been written before."""
+        for p in [*self.settled, *(p for x in self.levels.values() for p in x)]:
+            remove_folder(self.spark, p)
+        self.settled.clear()
+        self.levels.clear()
+
 
 def build_runs(docs: DataFrame, text_col: str = "text", min_docs: int = 10, min_chars: int = 1,
                batches: int = 4, fanout: int = 3) -> LineRuns:

@@ -23,7 +23,7 @@ from chartlake.llm import (
     repeats,
     secrets_forest,
 )
-from chartlake.llm.common import table
+from chartlake.llm.common import remove_folder, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -132,6 +132,7 @@ def op8_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     runs = line_runs.build_runs(docs, min_docs=10, min_chars=1)
     done = line_runs.drop_lines(docs, runs.frequent())
+    runs.remove()
     return done.select("doc_id", F.size(line_runs.lines_of(F.coalesce("text", F.lit("")))).cast("long").alias("n_lines"),
                        F.size("line_drops").cast("long").alias("n_dropped"), F.sha2(F.col("line_kept").cast("binary"), 256).alias("kept_sha256"))
 
@@ -151,9 +152,11 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    back, _ = arc_warc.convert(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    back, folder = arc_warc.convert(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     digests = ("page_id", "payload_bytes", "payload_digest", "record_type")
-    return arc_warc.with_referents(back.select(*digests, "record_id", "refers_to_id")).select(*digests, "refers_to")
+    done = arc_warc.with_referents(back.select(*digests, "record_id", "refers_to_id")).select(*digests, "refers_to")
+    remove_folder(spark, folder)  # parsed once, into a checkpoint
+    return done
 
 
 def _rules_sql(rules=quality_rules.RULES, risk: float = 0.05, miss: float = 0.05) -> str:
