@@ -8,9 +8,9 @@ queries derive the four warehouse tables from ``lineitem``, ``part`` and
   every one with its position in the week's chart;
 * ``weather_raw``: time dimension x all nations (explode of the fixed 25-row
   table as one array, not a cross join);
-* ``dim_track`` from ``part``; ``features_all`` from every part,
-  ``features_staged`` from every third (the input of merges and backlogs, which
-  need tracks without staged features).
+* ``dim_track`` from ``part``; ``features_all`` from every part;
+  ``features_staged`` too, but a seventh of the songs come under a new id, so
+  merges and backlogs meet unmatched ids on both sides.
 
 The loaders of :mod:`chartlake.operators.loaders` turn these into the
 warehouse tables, exactly as a production load would.
@@ -111,7 +111,8 @@ class Fixture:
 
     @cached_property
     def features_staged(self) -> DataFrame:
-        return fixture_features(self.part.filter(F.col("p_partkey") % 3 == 0))
+        song = F.col("song_uuid")
+        return self.features_all.withColumn("song_uuid", F.when(song.cast("long") % 7 == 0, F.concat(F.lit("x"), song)).otherwise(song))
 
     @cached_property
     def fact(self) -> DataFrame:

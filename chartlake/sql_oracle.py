@@ -118,7 +118,7 @@ features_all AS (
          CAST(NULL AS VARCHAR) AS copyright
   FROM part
 ),
-features_staged AS (SELECT * FROM features_all WHERE CAST(song_uuid AS BIGINT) % 3 = 0)
+features_staged AS (SELECT * REPLACE (CASE WHEN CAST(song_uuid AS BIGINT) % 7 = 0 THEN 'x' || song_uuid ELSE song_uuid END AS song_uuid) FROM features_all)
 """
 
 
