@@ -22,7 +22,7 @@ file holds ``ARCHIVE_BYTES`` and a record at most, whatever the order of sizes.
 
 Defined results: null html is an empty payload; null urls become an empty
 field; repeated rows give one record each, with the same record id; an empty
-table gives no archives.
+table gives no archives.  Page ids are integers, or texts that spell one; any other text id raises (ANSI casts).
 """
 
 from __future__ import annotations

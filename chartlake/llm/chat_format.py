@@ -15,7 +15,7 @@ Defined results: null text and null role are empty; unknown roles are
 formatted like others and are a violation; a null conversation id is a
 conversation of its own; turns that tie are ordered by role, then text; null
 turns come first; repeated rows are separate turns; an empty table gives no
-rows.
+rows.  Ids are integers, or texts that spell one; any other text id raises (ANSI casts).  Turns are alike.
 """
 
 from __future__ import annotations

@@ -16,7 +16,7 @@ Of equal texts the row with the most code points in the original text stays,
 then the smallest id (nulls last).  Texts are equal when identical after
 deleting every character of [\\x20\\x09-\\x0D]; null counts as empty.  Rows
 equal in id and text are one document (``dedup`` keeps one of them).  An empty
-table gives no rows.
+table gives no rows.  Ids are integers, or texts that spell one; any other text id raises (ANSI casts).
 """
 
 from __future__ import annotations
