@@ -63,6 +63,16 @@ def test_csv_as_a_data_frame_library_writes_it(spark, tmp_path):
     assert (r.key, r.mode, r.time_signature, r.explicit, r.tempo, r.genres, r.copyright) == (5, 1, 4, True, 120.5, '[{"root": "pop, rock"}]', "c")
 
 
+def test_written_csv_files_hold_a_bounded_number_of_rows(spark, tmp_path):
+    k = F.col("id").cast("string")
+    rows = spark.range(95).coalesce(1).select(k.alias("song_uuid"), F.concat(F.lit('The "'), k, F.lit('", part\none')).alias("song_name"))
+    want = rows.select(*[F.col(f.name) if f.name in rows.columns else F.lit(None).cast("string").alias(f.name) for f in S.CHART_ENTRY.fields])
+    st.write_csv(want, f"file://{tmp_path}/csv", file_rows=10)
+    assert len(list((tmp_path / "csv").glob("*.csv"))) == 10
+    got = st.read_chart_csv(spark, f"file://{tmp_path}/csv").select("song_uuid", "song_name").collect()
+    assert sorted(map(tuple, got)) == sorted((str(i), f'The "{i}", part\none') for i in range(95))
+
+
 def test_raw_json_keeps_undeclared_and_null_fields(spark, tmp_path):
     (tmp_path / "p.json").write_text('{"chart_date":"2024-01-07T00:00:00+00:00","country":"de","items":[{"position":1,"x":{"y":[1]},"metric":null}]}\n')
     r = st.flatten_chart_items(st.chart_items(st.read_chart_pages(spark, f"file://{tmp_path}/p.json")), F.lit("t")).first()
