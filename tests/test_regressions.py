@@ -1,6 +1,7 @@
 """Inputs of ordinary shape that once broke a loader or reader."""
 
 import datetime as dt
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +12,7 @@ from chartlake.operators import loaders as ld
 from chartlake.operators.ranges import batches, ordered_index
 from chartlake.plans import warehouse as WH
 from chartlake.session import ensure_checkpoint_dir
+from chartlake.sources import fixture_docs as DOCS
 from chartlake.sources import staging as st
 from chartlake.sources import testdata as TD
 
@@ -73,6 +75,26 @@ def test_written_csv_files_hold_a_bounded_number_of_rows(spark, tmp_path):
     assert sorted(map(tuple, got)) == sorted((str(i), f'The "{i}", part\none') for i in range(95))
 
 
+def test_chart_pages_shuffle_rows_only_and_land_in_bounded_gzip_files(spark, tmp_path):
+    day = D(2024, 1, 7)
+    rows = [(day, "de", str(i), None if i % 30 == 4 else 1000 - i, i) for i in range(1, 251)]
+    chart = spark.createDataFrame(rows, ENTRY).repartition(3)
+    pages = DOCS.chart_pages_json(chart)
+    below = pages._jdf.queryExecution().sparkPlan().toString()
+    below = below[below.rindex("ObjectHashAggregate"):]  # the side of the shuffle that reads the rows
+    assert "collect_list" in below and "Artist" not in below
+    path = DOCS.land_text(pages.coalesce(1), f"file://{tmp_path}/pages", 2)
+    assert len(list((tmp_path / "pages").glob("*.gz"))) == 2
+    got = st.flatten_chart_items(st.chart_items(st.read_chart_pages(spark, path)), F.lit("t")).collect()
+    assert sorted((r.position, r.streams, r.song_uuid, r.artist_name) for r in got if r.position % 50) == [
+        (i, m, u, None if i % 7 == 0 else f"Artist {u}") for _, _, u, m, i in sorted(rows, key=lambda r: r[4]) if i % 50]
+    assert sorted(r.position for r in got) == list(range(1, 251))
+    assert {r.raw_json for r in got if r.position == 50} == {
+        '{"position":50,"metric":950,"entryState":"STABLE","entryDate":"2023-12-24","rankDate":"2024-01-07","timeOnChart":6,"timeOnChartUnit":"week","label":{"id":2}}'}
+    kept = [[x["position"] for x in map(json.loads, r["items"])] for r in st.read_chart_pages(spark, path).collect()]
+    assert sorted(kept) == [list(range(1, 101)), list(range(101, 201)), list(range(201, 251))]  # in order inside a page
+
+
 def test_raw_json_keeps_undeclared_and_null_fields(spark, tmp_path):
     (tmp_path / "p.json").write_text('{"chart_date":"2024-01-07T00:00:00+00:00","country":"de","items":[{"position":1,"x":{"y":[1]},"metric":null}]}\n')
     r = st.flatten_chart_items(st.chart_items(st.read_chart_pages(spark, f"file://{tmp_path}/p.json")), F.lit("t")).first()
