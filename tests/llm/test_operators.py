@@ -259,6 +259,27 @@ def test_repeats_match_brute_force(spark, hot):
     assert got == brute.repeats(plain)
 
 
+def test_a_hot_string_is_split_among_tasks(spark):
+    texts = [words(30, 100 + i) + "Is onhe. " * 400 + words(30, 200 + i) for i in range(60)]
+    docs, plain = documents(spark, texts)
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        done, name = repeats.remove_repeats(docs.repartition(8), hot=1)
+        r = F.col(name)
+        done = done.select("doc_id", r["n_bytes"].alias("n"), F.aggregate(r["spans"], F.lit(0).cast("long"), lambda s, x: s + x[1] - x[0]).alias("g"),
+                           F.size(r["spans"]).alias("s"), F.sha2(r["kept"], 256).alias("sha"))
+        assert by_id(done, ("n", "g", "s", "sha")) == brute.repeats(plain)
+        assert "SortMergeJoin(skew=true) [name" in done._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_repeats_in_segments_and_small_alphabets(monkeypatch):
     r = random.Random(2)
     monkeypatch.setattr(repeats, "SEGMENT", 700)
